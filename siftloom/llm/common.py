@@ -8,6 +8,7 @@ import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 #: The white space between words, and a run of anything else.
 BLANK = "\\x20\\x09-\\x0D"
@@ -56,3 +57,27 @@ def word_count(c: Column) -> Column:
 def crc_mod(c: Column, n: int) -> Column:
     """crc32 of c as text, modulo n; null ids count as the empty string."""
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % n
+
+
+def byte_slices(column, most: int = 8 << 20):
+    """(start, rows) of consecutive slices of an Arrow string column, each of one row or at most
+    most bytes."""
+    import pyarrow.compute as pc
+
+    start, size = 0, 0
+    for k, n in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+        if k > start and size + n > most:
+            yield start, k - start
+            start, size = k, 0
+        size += n
+    if len(column) > start:
+        yield start, len(column) - start
+
+
+def schema_and(df: DataFrame, **more: str) -> StructType:
+    """df's schema and more columns after it."""
+    return StructType([*df.schema.fields, *(StructField(c, _parse(kind)) for c, kind in more.items())])
+
+
+def _parse(kind: str) -> DataType:
+    return StructType.fromDDL(f"c {kind}")["c"].dataType

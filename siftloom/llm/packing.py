@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, schema_and
 from .tokencount import CHUNK, model_path
 
 PIECES = ("piece int", "start bigint", "length bigint", "ids_crc32 bigint")
@@ -220,7 +220,7 @@ def pack(pieces: DataFrame, capacity: int, key: str = "doc_id") -> DataFrame:
         frame["sequence_id"] = bins + (int(group[0]) << 32)
         return frame[names]
 
-    schema = pieces.schema.add("offset", "long").add("sequence_id", "long")
+    schema = schema_and(pieces, offset="bigint", sequence_id="bigint")
     names = schema.names
     dealt = pieces.withColumn("_group", F.pmod(F.xxhash64(key, "piece", "length", "ids_crc32"), F.lit(groups)))
     return dealt.groupBy("_group").applyInPandas(work, schema)

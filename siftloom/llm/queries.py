@@ -6,28 +6,63 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from pyspark.sql import functions as F
+
+from .chat import chat_format, read_back
+from .common import crc_mod, table
+from .exactdedup import exact_dedup
+from .langid import fit, predict
+from .lm import lm_scores
 from .mixing import mix
 from .packing import best_fit_packing
+from .quality import quality_rules
 from .tokencount import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = crc_mod(F.col("doc_id"), 5) == 0
+    model = fit(docs, train=~held)
+    found = predict(docs.select("doc_id", held.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_scores(docs, train=crc_mod(F.col("doc_id"), 5) != 1)
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")], talks.schema)
+    return read_back(chat_format(talks.unionByName(more)))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_source_mixing, op6_best_fit_packing, op10_token_counts)}
+    found = (op1_language_id, op2_lm_scoring, op3_source_mixing, op5_exact_dedup, op6_best_fit_packing, op7_quality_rules, op8_chat_formatting, op10_token_counts)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:

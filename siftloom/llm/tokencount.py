@@ -20,6 +20,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import schema_and
+
 SPACE = "▁"
 #: Entries of a worker's tables; a full table starts anew, which costs time but changes no count.
 WORDS, PREFIXES, PAIRS = 400_000, 400_000, 400_000
@@ -299,7 +301,7 @@ def token_counts(docs: DataFrame, model: str = "piece_bpe_32k.model", limit: int
     """
     new = ["n_bytes", "n_tokens"]
     kept = [c for c in docs.columns if c not in (text, *new, "over_limit")]
-    schema = docs.select(*kept).schema.add("n_bytes", "long").add("n_tokens", "long")
+    schema = schema_and(docs.select(*kept), n_bytes="bigint", n_tokens="bigint")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(model_path(model)).batch
@@ -330,7 +332,7 @@ def prefix_counts(docs: DataFrame, model: str = "piece_bpe_32k.model", text: str
 
     names = [c for c in docs.columns if c not in (text, "prefix_tokens")] + [text]
     frame = docs.select(*names)
-    return frame.mapInArrow(work, frame.schema.add("prefix_tokens", "array<int>"))
+    return frame.mapInArrow(work, schema_and(frame, prefix_tokens="array<int>"))
 
 
 def truncate(docs: DataFrame, budget: int, model: str = "piece_bpe_32k.model", text: str = "text") -> DataFrame:
