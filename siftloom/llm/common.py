@@ -6,6 +6,9 @@ import atexit
 import shutil
 import tempfile
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
@@ -62,8 +65,6 @@ def crc_mod(c: Column, n: int) -> Column:
 def byte_slices(column, most: int = 8 << 20):
     """(start, rows) of consecutive slices of an Arrow string column, each of one row or at most
     most bytes."""
-    import pyarrow.compute as pc
-
     start, size = 0, 0
     for k, n in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
         if k > start and size + n > most:
@@ -81,3 +82,13 @@ def schema_and(df: DataFrame, **more: str) -> StructType:
 
 def _parse(kind: str) -> DataType:
     return StructType.fromDDL(f"c {kind}")["c"].dataType
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Lower-cased words of all texts in a row, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    sizes = lists.value_lengths().to_numpy().astype(np.int64)
+    words = lists.flatten()
+    there = pc.not_equal(words, "")  # white space at either end leaves an empty word
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    return words.filter(there), np.bincount(text[there.to_numpy(zero_copy_only=False)], minlength=len(sizes))

@@ -133,7 +133,7 @@ def calibrate(scores: np.ndarray, labels: np.ndarray) -> float:
         top = s.max(axis=1)
         return float((np.log(np.exp(s - top[:, None]).sum(axis=1)) + top - s[np.arange(len(s)), labels]).mean())
 
-    low, high, cut = math.log(0.05), math.log(5.0), (math.sqrt(5) - 1) / 2
+    low, high, cut = math.log(0.25), math.log(5.0), (math.sqrt(5) - 1) / 2
     for _ in range(40):
         a, b = high - cut * (high - low), low + cut * (high - low)
         low, high = (low, b) if loss(a) < loss(b) else (a, high)

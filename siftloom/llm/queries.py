@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from .chat import chat_format, read_back
 from .common import crc_mod, table
 from .exactdedup import exact_dedup
+from .jaccard import similar_groups
 from .langid import fit, predict
+from .linededup import line_dedup
 from .lm import lm_scores
 from .mixing import mix
 from .packing import best_fit_packing
@@ -38,6 +40,10 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -56,12 +62,16 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(chat_format(talks.unionByName(more)))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_language_id, op2_lm_scoring, op3_source_mixing, op5_exact_dedup, op6_best_fit_packing, op7_quality_rules, op8_chat_formatting, op10_token_counts)
+    found = (op1_language_id, op2_lm_scoring, op3_source_mixing, op4_line_dedup, op5_exact_dedup, op6_best_fit_packing, op7_quality_rules, op8_chat_formatting, op9_ngram_jaccard, op10_token_counts)
     return {f.__name__: f for f in found}
 
 
