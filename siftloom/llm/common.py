@@ -24,19 +24,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and go on from there.
-
-    The folder is the cluster's ``spark.checkpoint.dir``. Only where that is unset, as in tests, a
-    temporary one is made.
-    """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for tables between steps: the cluster's ``spark.checkpoint.dir``. Only where that is
+    unset, as in tests, a temporary one is made."""
+    sc = spark.sparkContext
+    if (folder := sc.getCheckpointDir()) is None:
         folder = sc.getConf().get("spark.checkpoint.dir")
         if folder is None:
             folder = tempfile.mkdtemp(prefix="siftloom-")
             atexit.register(shutil.rmtree, folder, ignore_errors=True)
         sc.setCheckpointDir(folder)
+        folder = sc.getCheckpointDir()
+    return folder
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write df to the shared folder and go on from there, without its history."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut
+from .common import ascii_lower, cut, shared_folder
 
 #: Distinct keys that a bucket may hold before it is split, and the directory's greatest depth; at
 #: that depth a bucket grows without bound, as its owner sorts and spills.
@@ -67,7 +67,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", capaci
     groups = base.groupBy("_h", "_norm").agg(F.max("_key").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     entries = groups.select("_h", F.sha2("_norm", 256).alias("_sha"), "keep_id", "group_size", _slot(F.col("_h"), len(found)).alias("_slot")).join(directory, "_slot")
     owned = entries.repartitionByRange("_bucket", "_h").withColumn("_chain", F.row_number().over(Window.partitionBy("_bucket", "_h").orderBy("_sha")))
-    folder = spark.sparkContext.getCheckpointDir() + f"/index-{uuid.uuid4()}"
+    folder = f"{shared_folder(spark)}/index-{uuid.uuid4()}"
     owned.select("_bucket", "_h", "_chain", "_sha", "keep_id", "group_size").write.parquet(folder)
     index = spark.read.parquet(folder)
 

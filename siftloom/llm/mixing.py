@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, word_count
@@ -79,29 +79,47 @@ def thresholds(docs: DataFrame, budgets: dict[str | None, float], near: float =
     return out
 
 
-def mix(docs: DataFrame, share: float = 1.5, weights: Sequence[float] = (5, 2, 1), most: float = 2.0, text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
-    """key, source, size, source_size, target and taken of every document.
+def _hash(key: str, text: str) -> Column:
+    return F.xxhash64(F.col(key), F.coalesce(text, F.lit("")))
 
-    size is the number of words, 0 for null. taken is size times the number of times that the mix
-    takes the document: a source whose target is above its size is taken whole, and again as far as
-    its threshold reaches. The hash covers key and text, so rows repeated whole go together; reruns
-    agree. Null sources are a source of their own, the last. An empty table gives an empty one.
-    """
-    base = docs.select(F.col(key).alias("_key"), F.col(source).cast("string").alias("_source"), word_count(F.col(text)).alias("size"), F.xxhash64(F.col(key), F.coalesce(text, F.lit(""))).alias("_hash"))
-    base = cut(base)
-    sums = base.groupBy("_source").agg(F.sum("size").alias("size"))
-    found = sums.take(MOST_SOURCES + 1)
+
+def plan(docs: DataFrame, share: float = 1.5, weights: Sequence[float] = (5, 2, 1), most: float = 2.0, text: str = "text", key: str = "doc_id", source: str = "source") -> tuple[DataFrame, DataFrame]:
+    """_key, _source, size and _hash of every row of docs, and the mix's table of sources: _source,
+    source_size, target, how often the source is taken whole, and its threshold for once more."""
+    base = cut(docs.select(F.col(key).alias("_key"), F.col(source).cast("string").alias("_source"), word_count(F.col(text)).alias("size"), _hash(key, text).alias("_hash")))
+    found = base.groupBy("_source").agg(F.sum("size").alias("size")).take(MOST_SOURCES + 1)
     if len(found) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
     sizes = {r["_source"]: r["size"] for r in found}
     goal = targets(sizes, share, weights, most)
     whole = {s: min(int(goal[s] // n), int(most)) if n else 0 for s, n in sizes.items()}
-    budgets = {s: b for s, n in sizes.items() if (b := goal[s] - whole[s] * n) > 0.5}
-    below = thresholds(base, budgets)
+    below = thresholds(base, {s: b for s, n in sizes.items() if (b := goal[s] - whole[s] * n) > 0.5})
     rows = [(s, n, float(goal[s]), whole[s], below[s] - 2**63 if s in below and below[s] < 2**64 else None, below.get(s, 0) >= 2**64) for s, n in sizes.items()]
-    table = docs.sparkSession.createDataFrame(rows, "_source string, source_size long, target double, _whole int, _below long, _all boolean")
-    out = base.alias("d").join(F.broadcast(table).alias("t"), F.col("d._source").eqNullSafe(F.col("t._source")), "left")
+    return base, docs.sparkSession.createDataFrame(rows, "_name string, source_size long, target double, _whole int, _below long, _all boolean")
+
+
+def _timed(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """rows (with _source and _hash) joined to their source, and _times, how often the mix takes each."""
+    out = rows.join(F.broadcast(table), F.col("_source").eqNullSafe(F.col("_name")), "left")  # a row for each source, MOST_SOURCES at most
     # the highest bit flipped, signed numbers are in the order of the unsigned ones
-    again = F.col("t._all") | F.coalesce(F.col("d._hash").bitwiseXOR(F.lit(-(2**63))) < F.col("t._below"), F.lit(False))
-    times = F.col("t._whole") + again.cast("int")
-    return out.select(F.col("d._key").alias(key), F.col("d._source").alias(source), F.col("d.size"), F.col("t.source_size"), F.col("t.target"), (F.col("d.size") * times).alias("taken"))
+    again = F.col("_all") | F.coalesce(F.col("_hash").bitwiseXOR(F.lit(-(2**63))) < F.col("_below"), F.lit(False))
+    return out.withColumn("_times", F.col("_whole") + again.cast("int"))
+
+
+def mix(docs: DataFrame, share: float = 1.5, weights: Sequence[float] = (5, 2, 1), most: float = 2.0, text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
+    """key, source, size, source_size, target and taken of every document.
+
+    size is the number of words, 0 for null. taken is size times the number of times that the mix
+    takes the document: a source whose target is above its size is taken whole, and again as far as
+    its threshold reaches. The hash covers key and text, so rows repeated whole go together; reruns
+    agree. Null sources are a source of their own, the last. An empty table gives an empty one.
+    """
+    base, table = plan(docs, share, weights, most, text, key, source)
+    return _timed(base, table).select(F.col("_key").alias(key), F.col("_source").alias(source), "size", "source_size", "target", (F.col("size") * F.col("_times")).alias("taken"))
+
+
+def mix_rows(docs: DataFrame, share: float = 1.5, weights: Sequence[float] = (5, 2, 1), most: float = 2.0, text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
+    """docs with _times, how often the mix takes each row; see mix()."""
+    _, table = plan(docs, share, weights, most, text, key, source)
+    rows = docs.withColumns({"_source": F.col(source).cast("string"), "_hash": _hash(key, text)})
+    return _timed(rows, table).select(*docs.columns, "_times")
