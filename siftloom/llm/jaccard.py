@@ -191,8 +191,11 @@ def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fracti
     same = ["_d1", "_d2", "n_shingles"]
     firsts = base.filter("n_shingles > 0 and _key is not null").groupBy(*same).agg(F.min("_key").alias("_first"))
     keys = base.join(firsts.withColumnRenamed("_first", "_key"), ["_key", *same], "left_semi").select("_key", F.explode("_keys").alias("k"))
-    live = keys.groupBy("k").agg(F.min("_key").alias("_low"), F.max("_key").alias("_high")).filter("_low < _high").drop("_high")
-    shared = keys.join(live, "k").filter("_key <> _low").select(F.col("_key").alias("a"), F.col("_low").alias("b"))
+    live = cut(keys.groupBy("k").agg(F.min("_key").alias("_low"), F.max("_key").alias("_high"), F.count(F.lit(1)).alias("_n")).filter("_low < _high"))
+    pairs = live.filter("_n = 2").select(F.col("_high").alias("a"), F.col("_low").alias("b"))
+    more = live.filter("_n > 2").select("k", "_low")
+    shared = keys.join(maybe_broadcast(more, more.count()), "k").filter("_key <> _low").select(F.col("_key").alias("a"), F.col("_low").alias("b"))
+    shared = shared.unionByName(pairs)
     parts = cut(components(shared))
 
     sizes = parts.groupBy("component").agg(F.count(F.lit(1)).alias("_m"))
