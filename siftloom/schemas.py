@@ -1,20 +1,22 @@
 """Schemas of reads, contigs, annotation lines and the gene model."""
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, IntegerType, LongType, MapType, StringType, StructField, StructType
 
-READS = StructType.fromDDL(
-    "file_idx INT, rec_idx BIGINT, qname STRING, flag INT, contig STRING, pos INT, mapq INT, cigar STRING, "
-    "mpos INT, isize INT, seq STRING, qual STRING, hi INT, tags MAP<STRING, STRING>"
-)
-CONTIGS = StructType.fromDDL("contig_idx INT, contig STRING, length BIGINT")
-ANNOTATION = StructType.fromDDL(
-    "line_no BIGINT, contig STRING, source STRING, feature STRING, start INT, end INT, score STRING, strand STRING, frame STRING, "
-    "gene_id STRING, gene_name STRING, transcript_id STRING"
-)
-GENES = StructType.fromDDL(
-    "gene_ord BIGINT, contig STRING, gene_name STRING, gene_id STRING, start INT, end INT, neg_strand BOOLEAN, "
-    "transcripts ARRAY<STRUCT<transcript_key: STRING, tx_start: INT, tx_end: INT, cds_start: INT, cds_end: INT, exons: ARRAY<STRUCT<start: INT, end: INT>>>>"
-)
+INT, LONG, STRING, BOOLEAN = IntegerType(), LongType(), StringType(), BooleanType()
+
+
+def _table(**columns: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in columns.items()])
+
+
+READS = _table(
+    file_idx=INT, rec_idx=LONG, qname=STRING, flag=INT, contig=STRING, pos=INT, mapq=INT, cigar=STRING,
+    mpos=INT, isize=INT, seq=STRING, qual=STRING, hi=INT, tags=MapType(STRING, STRING),
+)
+CONTIGS = _table(contig_idx=INT, contig=STRING, length=LONG)
+EXON = _table(start=INT, end=INT)
+TRANSCRIPT = _table(transcript_key=STRING, tx_start=INT, tx_end=INT, cds_start=INT, cds_end=INT, exons=ArrayType(EXON))
+GENES = _table(gene_ord=LONG, contig=STRING, gene_name=STRING, gene_id=STRING, start=INT, end=INT, neg_strand=BOOLEAN, transcripts=ArrayType(TRANSCRIPT))
 #: Where a read comes from; the pair orders the whole input.
 READ_ID = ["file_idx", "rec_idx"]
 
