@@ -26,9 +26,11 @@ def by_position(reads: DataFrame, keep: bool = False, scope: str = "contig") ->
     return _settled(out, keep, DUPLICATE)
 
 
-def by_identifier(reads: DataFrame, keep: bool = False) -> DataFrame:
-    """reads with status keep for the first of each contig, barcode, gene and identifier, dup for others."""
-    return _settled(reads.withColumn("_one", _first(["contig", "cb", "ge", "ur"])), keep, DUPLICATE)
+def by_identifier(reads: DataFrame, keep: bool = False, scope: str = "contig") -> DataFrame:
+    """reads with status keep for the first of each contig (not for scope whole), barcode, gene and
+    identifier, dup for others."""
+    keys = ["cb", "ge", "ur"]
+    return _settled(reads.withColumn("_one", _first(["contig", *keys] if scope == "contig" else keys)), keep, DUPLICATE)
 
 
 def _settled(marked: DataFrame, keep: bool, bit: int) -> DataFrame:
@@ -37,9 +39,11 @@ def _settled(marked: DataFrame, keep: bool, bit: int) -> DataFrame:
     return marked.withColumns({"status": F.when(F.col("_one"), "keep").otherwise("dup"), "flag": F.when(F.col("_one"), F.col("flag")).otherwise(with_flag(F.col("flag"), bit))}).drop("_one")
 
 
-def identifier_counts(reads: DataFrame) -> DataFrame:
-    """contig, barcode, gene, umi, cnt of all reads; those without a gene count under NOGENE."""
-    return reads.groupBy("contig", F.col("cb").alias("barcode"), F.coalesce("ge", F.lit(NO_GENE)).alias("gene"), F.col("ur").alias("umi")).agg(F.count(F.lit(1)).alias("cnt"))
+def identifier_counts(reads: DataFrame, scope: str = "contig") -> DataFrame:
+    """contig (* for scope whole), barcode, gene, umi, cnt of all reads; those without a gene count under
+    NOGENE."""
+    contig = F.col("contig") if scope == "contig" else F.lit("*")
+    return reads.groupBy(contig.alias("contig"), F.col("cb").alias("barcode"), F.coalesce("ge", F.lit(NO_GENE)).alias("gene"), F.col("ur").alias("umi")).agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def _fold(l: Column, mismatch: int) -> Column:
@@ -92,11 +96,12 @@ def correct_identifiers(counts: DataFrame, min_num: int = 5, mismatch: int = 1,
     return rooted.withColumn("cluster_cnt", F.when(F.col("umi") == F.col("root_umi"), total).otherwise(F.lit(0)))
 
 
-def by_corrected(reads: DataFrame, roots: DataFrame, keep: bool = False) -> DataFrame:
+def by_corrected(reads: DataFrame, roots: DataFrame, keep: bool = False, scope: str = "contig") -> DataFrame:
     """reads (by_identifier's, status keep) of which those whose identifier was collapsed are dropped, or
     get ub, its root, and the duplicate flag."""
     r = roots.select("contig", F.col("barcode").alias("cb"), F.col("gene").alias("ge"), F.col("umi").alias("ur"), "root_umi", "cluster_cnt")
-    out = reads.join(r, ["contig", "cb", "ge", "ur"], "left").withColumn("_one", F.col("ge").isNull() | (F.col("root_umi") == F.col("ur")))
+    keys = ["cb", "ge", "ur"]
+    out = reads.join(r if scope == "contig" else r.drop("contig"), ["contig", *keys] if scope == "contig" else keys, "left").withColumn("_one", F.col("ge").isNull() | (F.col("root_umi") == F.col("ur")))
     out = out.withColumn("ub", F.when(~F.col("_one"), F.col("root_umi")))
     if not keep:
         return out.filter("_one").drop("_one", "root_umi")

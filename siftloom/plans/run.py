@@ -48,7 +48,7 @@ def run(reads: DataFrame, genes: DataFrame, config: Config | None = None) -> Res
     with_gene = named.filter("ge is not null")
     result = Result(*(_by_identifier if config.umi else _by_position)(base, named, with_gene, config))
     result.summaries["ANNOTATION METRICS"] = metrics.region_metrics(named) if config.mode == 2 else metrics.strand_metrics(named)
-    firsts = expression.by_position(with_gene, config.scope).agg(F.sum("umi_cnt").alias("u")) if not config.umi else dedup.by_identifier(with_gene).agg(F.count(F.lit(1)).alias("u"))
+    firsts = expression.by_position(with_gene, config.scope).agg(F.sum("umi_cnt").alias("u")) if not config.umi else dedup.by_identifier(with_gene, scope=config.scope).agg(F.count(F.lit(1)).alias("u"))
     counts = base.agg(F.count(F.lit(1)).alias("total"), F.count(F.when(F.col("passed"), 1)).alias("pass_filter")).crossJoin(with_gene.agg(F.count(F.lit(1)).alias("annotated"))).crossJoin(firsts)  # one row each
     rate = lambda of, what: F.round(F.coalesce(F.try_divide((F.col(of) - F.col(what)) * 100.0, F.col(of)), F.lit(0.0)), 4)
     result.summaries["FILTER & DEDUPLICATION METRICS"] = counts.withColumnRenamed("u", "unique").withColumns({"fail_filter_rate": rate("total", "pass_filter"), "fail_annotate_rate": rate("pass_filter", "annotated"), "duplication_rate": rate("annotated", "unique")})
@@ -77,9 +77,9 @@ def _by_position(base: DataFrame, named: DataFrame, with_gene: DataFrame, config
 def _by_identifier(base: DataFrame, named: DataFrame, with_gene: DataFrame, config: Config):
     # identifiers of reads of low quality and without a gene count under NOGENE
     counted = named.select("contig", "cb", "ge", "ur").unionByName(base.filter("not passed").select("contig", "cb", F.lit(None).cast("string").alias("ge"), "ur"))
-    roots = dedup.correct_identifiers(dedup.identifier_counts(counted), config.umi_min_num, config.umi_mismatch)
-    firsts = dedup.by_identifier(with_gene, config.keep_duplicates)
-    settled = dedup.by_corrected(firsts.filter("status = 'keep'"), roots, config.keep_duplicates)
+    roots = dedup.correct_identifiers(dedup.identifier_counts(counted, config.scope), config.umi_min_num, config.umi_mismatch)
+    firsts = dedup.by_identifier(with_gene, config.keep_duplicates, config.scope)
+    settled = dedup.by_corrected(firsts.filter("status = 'keep'"), roots, config.keep_duplicates, config.scope)
     rows = settled.unionByName(firsts.filter("status = 'dup'"), allowMissingColumns=True) if config.keep_duplicates else settled
     summaries = {"UMI METRICS": metrics.identifier_totals(roots), "UMI MISMATCH TYPES": metrics.mismatch_types(roots)}
     kept = roots.filter("cluster_cnt > 0").select("barcode", "gene", "umi", F.col("cluster_cnt").alias("cnt"))

@@ -324,3 +324,24 @@ def test_arriving_reads_count_once(spark, tmp_path):
     batch = arriving.unique_reads(reads)
     assert spark.table("arrived").count() == batch.count()
     assert arriving.overlap_counts(filters.with_names(reads), genes).count() > 0
+
+
+def test_identifiers_across_contigs(spark):
+    reads, genes = world(spark)
+    wide = run(reads, genes, Config(umi=True, scope="whole", umi_min_num=2))
+    assert {r["contig"] for r in wide.expression.select("contig").distinct().collect()} == {"*"}
+    assert wide.expression.agg(F.sum("umi_cnt")).first()[0] == wide.reads.filter("status = 'keep' and ge is not null").count()
+
+
+def test_command_line(spark, tmp_path):
+    from siftloom.__main__ import main
+
+    reads, _ = world(spark)
+    reads.write.parquet(f"{tmp_path}/reads")
+    text = [x for k in range(20) for x in transcript(f"g{k}", [(k * 300 + 1, k * 300 + 100), (k * 300 + 151, k * 300 + 250)], f"E{k}", f"T{k}")]
+    (tmp_path / "a.gtf").write_text("\n".join(text) + "\n")
+    main(["--reads", f"{tmp_path}/reads", "--annotation", f"{tmp_path}/a.gtf", "--out", f"{tmp_path}/out", "--umi", "--saturation", "--matrix", "--no-filter-matrix"])
+    assert spark.read.parquet(f"{tmp_path}/out/reads").count() > 0
+    assert sinks.read_expression(spark, f"{tmp_path}/out/expression", reads=True).count() > 0
+    assert spark.read.text(f"{tmp_path}/out/summary").count() > 8
+    assert spark.read.text(f"{tmp_path}/out/saturation").count() == 12
