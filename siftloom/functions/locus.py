@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import CODING, INTERGENIC, INTRONIC, UTR
+from ..schemas import CODING, INTERGENIC, INTRONIC, NONE, UTR
 
 
 def width(start: Column, end: Column) -> Column:
@@ -66,6 +66,13 @@ def count_function(exon: Column, intron: Column, length: Column) -> Column:
     return F.when(exon >= F.floor(length * 0.5), CODING).when(intron > 0, INTRONIC).otherwise(INTERGENIC)
 
 
+def combined(functions: Column, conservative: bool = False) -> Column:
+    """One function for an array of them: the highest, or NONE if conservative and they differ;
+    intergenic if there are none."""
+    top = F.coalesce(F.array_max(functions), F.lit(INTERGENIC))
+    return F.when(F.array_min(functions) != F.array_max(functions), NONE).otherwise(top) if conservative else top
+
+
 def touches_exon(b: Column, transcripts: Column) -> Column:
     """Whether block b meets an exon of a transcript."""
     return F.exists(transcripts, lambda t: F.exists(t["exons"], lambda e: overlap(b["ref_start"], _end(b), e["start"], e["end"])))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import cigar
+from ..functions import cigar, locus
 from ..functions import reads as names
 from ..operators import assign, dedup, density, filters, genemodel, matrix, metrics, overlap, saturation
 from ..operators import expression as counts
@@ -271,6 +271,19 @@ def overlap_contained(spark, sf_dir):
     return overlap.contained_join(r, g).select("rec_idx", "gene_ord")
 
 
+@query(f"""WITH {READS_SQL}, {GENES_SQL} SELECT r.rec_idx, g.gene_ord FROM reads_v r JOIN genes_v g ON r.contig = g.contig AND g.start <= r.pos + 1 AND g."end" >= r.pos + 1""")
+def overlap_point(spark, sf_dir):
+    _, g, _ = _pairs(spark, sf_dir, True)
+    at = views.reads(spark, sf_dir).select("rec_idx", "contig", (F.col("pos") + 1).alias("at"))
+    return overlap.overlap_join(at, g, "at", "at").select("rec_idx", "gene_ord")
+
+
+@query(f"""WITH {READS_SQL} SELECT rec_idx, CAST(CASE WHEN rec_idx % 4 = 0 THEN 1 ELSE greatest(1 + rec_idx % 2 * 2, 4) END AS INT) AS highest, CAST(CASE WHEN rec_idx % 4 = 0 THEN 1 ELSE 0 END AS INT) AS agreed FROM reads_v""")
+def locus_combined(spark, sf_dir):
+    f = F.when(F.col("rec_idx") % 4 == 0, F.array().cast("array<int>")).otherwise(F.array((1 + F.col("rec_idx") % 2 * 2).cast("int"), F.lit(4)))
+    return views.reads(spark, sf_dir).select("rec_idx", locus.combined(f).cast("int").alias("highest"), locus.combined(f, conservative=True).cast("int").alias("agreed"))
+
+
 @query(f'WITH {GENES_SQL} SELECT contig, min(start) AS start, max("end") AS "end" FROM genes_v GROUP BY 1')
 def overlap_extents(spark, sf_dir):
     return overlap.extents(_pairs(spark, sf_dir, True)[1])
