@@ -49,7 +49,7 @@ def _halves(line: Column) -> Column:
     return F.array(*keys)
 
 
-def _xor(hashes: Column, but: Column | None = None) -> Column:
+def _xor(hashes: Column) -> Column:
     return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
 
 

@@ -122,4 +122,4 @@ def mix_rows(docs: DataFrame, share: float = 1.5, weights: Sequence[float] = (5,
     """docs with _times, how often the mix takes each row; see mix()."""
     _, table = plan(docs, share, weights, most, text, key, source)
     rows = docs.withColumns({"_source": F.col(source).cast("string"), "_hash": _hash(key, text)})
-    return _timed(rows, table).select(*docs.columns, "_times")
+    return _timed(rows, table.drop("source_size", "target")).select(*docs.columns, "_times")

@@ -120,7 +120,7 @@ def test_mix_comes_near_its_targets(spark, docs):
     assert all(abs(sums[s] - target[s]) <= 0.005 * target[s] + 30 for s in sums)
     again = mixing.mix(docs(rows)).collect()
     assert {(r["doc_id"], r["taken"]) for r in got} == {(r["doc_id"], r["taken"]) for r in again}
-    times = {r["doc_id"]: r["_times"] for r in mixing.mix_rows(docs(rows)).collect()}
+    times = {r["doc_id"]: r["_times"] for r in mixing.mix_rows(docs(rows).withColumnRenamed("n_chars", "target")).collect()}
     assert all(r["taken"] == r["size"] * times[r["doc_id"]] for r in got)
 
 
