@@ -22,12 +22,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, schema_and
-from .tokencount import CHUNK, model_path
+from .common import byte_slices, cut, schema_and
+from .tokencount import model_path
 
 PIECES = ("piece int", "start bigint", "length bigint", "ids_crc32 bigint")
 #: Words whose ids a worker keeps; a full table starts anew.
-WORDS, PARTS = 400_000, 200_000
+WORDS, PARTS = 800_000, 400_000
 #: Pieces of a packing group, about.
 GROUP = 2_500
 
@@ -115,8 +115,8 @@ def token_pieces(docs: DataFrame, capacity: int, tokenizer: str = "word_bpe_49k.
         table, end = _ids(model_path(tokenizer)), np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             rows: list[list[int]] = [[], [], [], [], []]
-            for k in range(0, batch.num_rows, CHUNK):
-                for at, ids in enumerate(table.encode(batch.column(1).slice(k, CHUNK)), k):
+            for k, n in byte_slices(batch.column(1)):
+                for at, ids in enumerate(table.encode(batch.column(1).slice(k, n)), k):
                     for p, start in enumerate(range(0, len(ids) + 1, capacity)):
                         part = ids[start : start + capacity]
                         more = len(part) < capacity  # the end comes after the last id

@@ -20,13 +20,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import schema_and
+from .common import byte_slices, schema_and
 
 SPACE = "▁"
 #: Entries of a worker's tables; a full table starts anew, which costs time but changes no count.
-WORDS, PREFIXES, PAIRS = 400_000, 400_000, 400_000
-#: Texts that are split into words at a time.
-CHUNK = 1024
+WORDS, PREFIXES, PAIRS = 800_000, 900_000, 400_000
 
 
 class PrefixCounter:
@@ -308,7 +306,7 @@ def token_counts(docs: DataFrame, model: str = "piece_bpe_32k.model", limit: int
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
             sizes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
-            tokens = np.concatenate([count(texts.slice(k, CHUNK)) for k in range(0, len(texts), CHUNK)] or [[]])
+            tokens = np.concatenate([count(texts.slice(k, n)) for k, n in byte_slices(texts)] or [[]])
             cols = [*batch.columns[:-1], sizes, pa.array(tokens, pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, names=[*kept, *new])
 
