@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +40,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and go on from there, without its history."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write df as a table to the shared folder and go on from that, without its history."""
+    spark, folder = df.sparkSession, f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4()}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def maybe_broadcast(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:

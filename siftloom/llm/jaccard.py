@@ -189,8 +189,8 @@ def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fracti
     base = cut(rows.mapInArrow(scan, f"_key {kind}, n_shingles bigint, _d1 bigint, _d2 bigint, _keys array<bigint>"))
 
     same = ["_d1", "_d2", "n_shingles"]
-    firsts = base.filter("n_shingles > 0 and _key is not null").groupBy(*same).agg(F.min("_key").alias("_first"))
-    keys = base.join(firsts.withColumnRenamed("_first", "_key"), ["_key", *same], "left_semi").select("_key", F.explode("_keys").alias("k"))
+    firsts = cut(base.filter("n_shingles > 0 and _key is not null").groupBy(*same).agg(F.min("_key").alias("_first")))
+    keys = base.join(maybe_broadcast(firsts.withColumnRenamed("_first", "_key"), firsts.count()), ["_key", *same], "left_semi").select("_key", F.explode("_keys").alias("k"))
     live = cut(keys.groupBy("k").agg(F.min("_key").alias("_low"), F.max("_key").alias("_high"), F.count(F.lit(1)).alias("_n")).filter("_low < _high"))
     pairs = live.filter("_n = 2").select(F.col("_high").alias("a"), F.col("_low").alias("b"))
     more = live.filter("_n > 2").select("k", "_low")
