@@ -9,8 +9,9 @@ overlap that a link needs are passed over, the rest is verified on the sets.
 To spread this over tasks, documents are first divided so that no link is lost: sets that differ in
 d elements at most, dealt into more than d groups, agree on a whole group, so each document sends a
 hash of each group's content, and those that share one are kept together. What hangs together that way
-is compared by the R-tree, large parts in pairs of blocks. Copies are collapsed before all that, and
-links within what is already connected are not looked for, as only connection counts.
+is compared by the R-tree, large parts by blocks: first each block by itself with a few documents that
+all have, then what is not connected with the most against all blocks. Copies are collapsed before
+all that, and links within what is already connected are not looked for, as only connection counts.
 """
 
 from __future__ import annotations
@@ -32,8 +33,9 @@ from .components import components
 DIMS_BITS = 8
 #: Points of a leaf and leaves of an inner node.
 FANOUT = 16
-#: Documents of a block, and blocks that a part has at most.
-BLOCK, BLOCKS = 96, 24
+#: Documents of a block, documents that all blocks of a part have, about, and the blocks that those
+#: not yet connected with the most are sent to at most.
+BLOCK, PIVOTS, BLOCKS = 96, 4, 24
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -153,12 +155,20 @@ def linked(a: np.ndarray, b: np.ndarray, t: Fraction) -> bool:
     return t.denominator * both >= t.numerator * (len(a) + len(b) - both)
 
 
-def tree_links(nodes: list, sets: list[np.ndarray], side: np.ndarray | None, t: Fraction) -> list[tuple]:
-    """Links that connect what the links among these sets connect; with side, those across it."""
-    tree, top, out = CountTree(sets), np.arange(len(sets)), []
-    for q in range(len(sets)):
-        other = np.ones(len(sets), dtype=bool) if side is None else side != side[q]
-        other[q:] = False
+def tree_links(nodes: list, sets: list[np.ndarray], t: Fraction, labels: np.ndarray | None = None, own: np.ndarray | None = None, asks: np.ndarray | None = None) -> list[tuple]:
+    """Links that connect what the links among these sets connect.
+
+    labels: what is known to be connected. Pairs with neither side in own, or neither in asks, are
+    left out; without these masks, all are looked at.
+    """
+    tree, out, every = CountTree(sets), [], np.ones(len(sets), dtype=bool)
+    top = np.arange(len(sets)) if labels is None else labels.copy()
+    own, asks = every if own is None else own, every if asks is None else asks
+    for q in np.flatnonzero(asks):
+        other = top != top[q]
+        if not own[q]:
+            other &= own
+        other[q:] &= ~asks[q:]  # of two that ask, the later one does
         for k in tree.near(q, t, other):
             if top[k] != top[q] and linked(sets[q], sets[k], t):
                 out.append((nodes[q], nodes[k]))
@@ -199,46 +209,63 @@ def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fracti
     parts = cut(components(shared))
 
     sizes = parts.groupBy("component").agg(F.count(F.lit(1)).alias("_m"))
-    blocks = F.ceil(F.col("_m") / F.greatest(F.lit(BLOCK), F.ceil(F.col("_m") / BLOCKS))).cast("int")
-    members = cut(parts.join(sizes, "component").select(F.col("node").alias("_key"), "component", blocks.alias("_blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("_block")))
-    texts = rows.join(maybe_broadcast(members, members.count()), "_key").select("_key", "component", "_blocks", "_block", "_text")
-
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, n in byte_slices(batch.column(4)):
-                sets = shingle_sets(batch.column(4).slice(start, n), width)
-                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(start, n) for k in range(4)), pa.array([s.tobytes() for s in sets], pa.binary())], names=["_key", "component", "_blocks", "_block", "_set"])
-
-    sets = texts.mapInArrow(sets_of, f"_key {kind}, component {kind}, _blocks int, _block int, _set binary")
-    # a block meets itself and every other one
-    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
-    dealt = sets.select("_key", "component", "_block", "_set", other).withColumns({"_i": F.least("_block", "_other"), "_j": F.greatest("_block", "_other")}).drop("_other")
-    dealt = dealt.repartition("component", "_i", "_j").sortWithinPartitions("component", "_i", "_j", "_key")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done() -> pa.RecordBatch:
-            nodes, own, held = zip(*part, strict=True)
-            side = None if at[1] == at[2] else np.array(own)
-            found = tree_links([*nodes], [np.frombuffer(s, dtype=np.uint64) for s in held], side, t)
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], kinds[0]) for k in (0, 1)], names=["a", "b"])
-
-        part, at, kinds = [], None, []
-        for batch in batches:
-            kinds = [batch.schema.field("_key").type]
-            for node, comp, block, held, i, j in zip(*(batch.column(c).to_pylist() for c in ("_key", "component", "_block", "_set", "_i", "_j")), strict=True):
-                if at != (comp, i, j):
-                    if len(part) > 1:
-                        yield done()
-                    part, at = [], (comp, i, j)
-                part.append((node, block, held))
-        if len(part) > 1:
-            yield done()
-
-    links = dealt.mapInArrow(compare, f"a {kind}, b {kind}")
+    blocks = F.ceil(F.col("_m") / BLOCK).cast("int")
+    pivot = (F.col("node") == F.col("component")) | (F.pmod(F.xxhash64("node", F.lit(1)), F.col("_m")) < PIVOTS)
+    members = cut(parts.join(sizes, "component").select(F.col("node").alias("_key"), "component", blocks.alias("_blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("_block"), pivot.alias("_pivot")))
+
+    def compared(dealt: DataFrame) -> DataFrame:
+        """Links within each (component, _group) of _key, _label (an id, or null), _own, _asks, _text."""
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def done() -> pa.RecordBatch:
+                nodes, labels, own, asks, sets = zip(*part, strict=True)
+                known = {x: k for k, x in enumerate(dict.fromkeys(labels))}
+                tops = np.arange(len(nodes)) if labels[0] is None else np.array([known[x] for x in labels])
+                found = tree_links([*nodes], [*sets], t, tops, np.array(own), np.array(asks))
+                return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], kinds[0]) for k in (0, 1)], names=["a", "b"])
+
+            part, at, kinds = [], None, []
+            for batch in batches:
+                kinds = [batch.schema.field("_key").type]
+                for start, n in byte_slices(batch.column("_text")):
+                    rows = batch.slice(start, n)
+                    sets = shingle_sets(rows.column("_text"), width)
+                    for comp, group, *row in zip(*(rows.column(c).to_pylist() for c in ("component", "_group", "_key", "_label", "_own", "_asks")), sets, strict=True):
+                        if at != (comp, group):
+                            if len(part) > 1:
+                                yield done()
+                            part, at = [], (comp, group)
+                        part.append(row)
+            if len(part) > 1:
+                yield done()
+
+        dealt = dealt.repartition("component", "_group").sortWithinPartitions("component", "_group", "_key")
+        return dealt.mapInArrow(work, f"a {kind}, b {kind}")
+
+    # first each block by itself, with a few documents of its part that all its blocks have
+    everywhere = F.sequence(F.lit(0), F.col("_blocks") - 1)
+    texts = rows.join(maybe_broadcast(members, members.count()), "_key")
+    group = F.explode(F.when(F.col("_pivot"), everywhere).otherwise(F.array("_block"))).alias("_group")
+    true = F.lit(True)
+    first = texts.select("_key", "component", group, F.lit(None).cast(kind).alias("_label"), true.alias("_own"), true.alias("_asks"), "_text")
+    found = cut(components(compared(first)))
+
+    # of parts that this leaves in several pieces, what is not of the largest meets all other blocks
+    named = members.filter("_blocks > 1").join(found.withColumnRenamed("component", "_label"), F.col("_key") == F.col("node"), "left")
+    named = cut(named.select("_key", "component", "_blocks", "_block", F.coalesce("_label", "_key").alias("_label")))
+    pieces = named.groupBy("component", "_label").agg(F.count(F.lit(1)).alias("_n")).groupBy("component").agg(F.max_by("_label", F.struct("_n", "_label")).alias("_largest"), F.count(F.lit(1)).alias("_pieces")).filter("_pieces > 1")
+    left = cut(named.join(pieces, "component").select("_key", "component", F.least("_blocks", F.lit(BLOCKS)).alias("_blocks"), "_block", "_label", (F.col("_label") != F.col("_largest")).alias("_asks")))
+    links, n_left = found.select(F.col("node").alias("a"), F.col("component").alias("b")), left.count()
+    if n_left:
+        group = F.explode(F.when(F.col("_asks"), everywhere).otherwise(F.array(F.pmod("_block", "_blocks")))).alias("_group")
+        second = rows.join(maybe_broadcast(left, n_left), "_key").select("_key", "component", group, "_label", F.pmod("_block", "_blocks").alias("_home"), "_asks", "_text")
+        links = links.unionByName(compared(second.withColumn("_own", F.col("_group") == F.col("_home")).drop("_home")))
     several = base.filter("n_shingles > 0 and _key is not null").select("_key", *same).distinct().groupBy("_key").count().filter("count > 1").select("_key")
     if several.take(1):  # rows of one document are linked through it
         links = links.unionByName(base.join(several, "_key", "left_semi").join(firsts, same).select(F.col("_key").alias("a"), F.col("_first").alias("b")))
-    found = components(links)
+        n_left = 1
+    if n_left:
+        found = components(links)
     named = firsts.join(found, F.col("_first") == F.col("node"), "left").select(*same, F.coalesce("component", "_first").alias("_component"))
     out = base.drop("_keys").join(named, same, "left")
     return out.select(F.col("_key").alias(key), "n_shingles", F.when(F.col("_key").isNull(), F.lit(None)).otherwise(F.coalesce("_component", "_key")).cast(kind).alias("component_id"))
