@@ -7,8 +7,8 @@ upper corner of an R-tree's box, for all points in the box. Boxes and points tha
 overlap that a link needs are passed over, the rest is verified on the sets.
 
 To spread this over tasks, documents are first divided so that no link is lost: sets that differ in
-d elements at most, dealt into more than d groups, agree on a whole group, so each document sends a
-hash of each group's content, and those that share one are kept together. What hangs together that way
+d elements at most, dealt into more than d groups, agree on all groups but d, so each document sends a
+hash of each group's content, and those that share enough of them are kept together. What hangs together that way
 is compared by the R-tree, large parts by blocks: first each block by itself with a few documents that
 all have, then what is not connected with the most against all blocks. Copies are collapsed before
 all that, and links within what is already connected are not looked for, as only connection counts.
@@ -23,7 +23,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import byte_slices, cut, maybe_broadcast, words_of
@@ -36,6 +36,8 @@ FANOUT = 16
 #: Documents of a block, documents that all blocks of a part have, about, and the blocks that those
 #: not yet connected with the most are sent to at most.
 BLOCK, PIVOTS, BLOCKS = 96, 4, 24
+#: How often documents that share too few keys are left out.
+LOOKS = 2
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -69,43 +71,51 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
 
 
 @lru_cache(maxsize=4)
-def _classes(t: Fraction) -> list[tuple[int, int, int]]:
-    """Size classes: the first size, the most elements in which two linked sets of sizes up to the
-    last one differ, and the groups they are dealt into."""
+def _classes(t: Fraction) -> list[tuple[int, int, int, int]]:
+    """Size classes: the first and the last size, the most elements in which two linked sets differ
+    of which the larger one is in the class, and the groups they are dealt into."""
     out, low = [], 1
     while low < 1 << 40:
         after = max(low + 1, -(-low * 7 // 5))
         most = int(2 * (after - 1) * (1 - t) / (1 + t))
-        out.append((low, most, most + 1 + 2 * (most > 0)))
+        out.append((low, after - 1, most, most + 1 + (max(2, most // 5) if most else 0)))
         low = after
     return out
 
 
-def group_keys(own: np.ndarray, t: Fraction) -> np.ndarray:
-    """Keys of a set such that any two sets of similarity t or more share one.
+def class_keys(own: np.ndarray, t: Fraction) -> list[tuple[np.ndarray, int]]:
+    """Keys of a set by size class, with how many of them it shares with any set that it is linked with.
 
-    A set's size falls in a class, and a smaller partner's may fall in the one before, so a set that
-    is near the next class has keys there too. If so many groups are empty that those left could
-    all differ, the empty ones count as well.
+    A pair meets in the class of its larger set, so a set has keys for its own class and for those
+    that a larger partner may be in. It differs from a partner in so many elements at most, each of
+    which spoils one group; the other groups that are not empty are shared. If there may be none,
+    the empty ones count as well.
     """
-    classes = _classes(t)
-    k = max(i for i, c in enumerate(classes) if c[0] <= len(own))
+    classes, n = _classes(t), len(own)
+    k = max(i for i, c in enumerate(classes) if c[0] <= n)
     out = []
-    for c in (k, k + 1):
-        low, most, groups = classes[c]
-        if c > k and len(own) < t * low:
+    for c in range(k, len(classes)):
+        low, last, most, groups = classes[c]
+        if c > k and n < t * low:
             break
+        differ = min(most, int((n + min(n / t, last)) * (1 - t) / (1 + t)))
         seed = np.uint64(c * int(_K1) % 2**64)
         g = ((_mix(own ^ seed) >> np.uint64(33)) * np.uint64(groups)) >> np.uint64(31)
         order = np.argsort(g, kind="stable")
         at = g[order]
         first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
         sums = np.add.reduceat(_mix(own[order] + seed), first)
-        out.append(_mix(sums ^ _mix(at[first] + seed)))
-        if len(first) <= most:
+        keys = _mix(sums ^ _mix(at[first] + seed))
+        if len(first) <= differ:
             gone = np.setdiff1d(np.arange(groups, dtype=np.uint64), at[first])
-            out.append(_mix(_mix(gone + seed) + _K2))
-    return np.concatenate(out)
+            keys = np.concatenate([keys, _mix(_mix(gone + seed) + _K2)])
+        out.append((keys, max(1, len(first) - differ)))
+    return out
+
+
+def group_keys(own: np.ndarray, t: Fraction) -> np.ndarray:
+    """Keys of a set such that any two sets of similarity t or more share one."""
+    return np.concatenate([keys for keys, _ in class_keys(own, t)])
 
 
 class CountTree:
@@ -185,27 +195,35 @@ def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fracti
     t = Fraction(threshold)
     kind = docs.schema[key].dataType.simpleString()
 
+    kinds = pa.list_(pa.struct([("need", pa.int32()), ("keys", pa.list_(pa.int64()))]))
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, rows in byte_slices(batch.column(1)):
                 sets = shingle_sets(batch.column(1).slice(start, rows), width)
                 one = np.array([_mix(s).sum(dtype=np.uint64) for s in sets]).view(np.int64)
                 two = np.array([np.bitwise_xor.reduce(_mix(s + _K2)) if len(s) else 0 for s in sets], dtype=np.uint64).view(np.int64)
-                keys = [group_keys(s, t).view(np.int64) if len(s) else np.zeros(0, dtype=np.int64) for s in sets]
-                cols = [batch.column(0).slice(start, rows), pa.array([len(s) for s in sets], pa.int64()), pa.array(one), pa.array(two), pa.array(keys, pa.list_(pa.int64()))]
+                keys = [[{"need": need, "keys": found.view(np.int64)} for found, need in class_keys(s, t)] if len(s) else [] for s in sets]
+                cols = [batch.column(0).slice(start, rows), pa.array([len(s) for s in sets], pa.int64()), pa.array(one), pa.array(two), pa.array(keys, kinds)]
                 yield pa.RecordBatch.from_arrays(cols, names=["_key", "n_shingles", "_d1", "_d2", "_keys"])
 
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    base = cut(rows.mapInArrow(scan, f"_key {kind}, n_shingles bigint, _d1 bigint, _d2 bigint, _keys array<bigint>"))
+    base = cut(rows.mapInArrow(scan, f"_key {kind}, n_shingles bigint, _d1 bigint, _d2 bigint, _keys array<struct<need: int, keys: array<bigint>>>"))
 
     same = ["_d1", "_d2", "n_shingles"]
     firsts = cut(base.filter("n_shingles > 0 and _key is not null").groupBy(*same).agg(F.min("_key").alias("_first")))
-    keys = base.join(maybe_broadcast(firsts.withColumnRenamed("_first", "_key"), firsts.count()), ["_key", *same], "left_semi").select("_key", F.explode("_keys").alias("k"))
-    live = cut(keys.groupBy("k").agg(F.min("_key").alias("_low"), F.max("_key").alias("_high"), F.count(F.lit(1)).alias("_n")).filter("_low < _high"))
-    pairs = live.filter("_n = 2").select(F.col("_high").alias("a"), F.col("_low").alias("b"))
-    more = live.filter("_n > 2").select("k", "_low")
-    shared = keys.join(maybe_broadcast(more, more.count()), "k").filter("_key <> _low").select(F.col("_key").alias("a"), F.col("_low").alias("b"))
-    shared = shared.unionByName(pairs)
+    single = base.join(maybe_broadcast(firsts.withColumnRenamed("_first", "_key"), firsts.count()), ["_key", *same], "left_semi")
+    keys = single.select("_key", F.posexplode("_keys").alias("_c", "_of")).select("_key", "_c", "_of.need", F.explode("_of.keys").alias("k"))
+    # what shares a key with another document; a document that shares fewer than its links would
+    # share has none, and those left are looked at again without it
+    by_key, by_class = Window.partitionBy("k"), ["_key", "_c"]
+    several = (F.min("_key").over(by_key) < F.max("_key").over(by_key)).alias("_shared")
+    live = cut(keys.select("*", several).filter("_shared").drop("_shared"))
+    for _ in range(LOOKS):
+        enough = live.groupBy(*by_class).agg(F.count(F.lit(1)).alias("_n"), F.min("need").alias("_least")).filter("_n >= _least").select(*by_class)
+        live = cut(live.join(enough, by_class, "left_semi").select("*", several).filter("_shared").drop("_shared"))
+    lows = live.groupBy("k").agg(F.min("_key").alias("_low"))
+    shared = live.join(lows, "k").filter("_key <> _low").select(F.col("_key").alias("a"), F.col("_low").alias("b")).distinct()
     parts = cut(components(shared))
 
     sizes = parts.groupBy("component").agg(F.count(F.lit(1)).alias("_m"))
