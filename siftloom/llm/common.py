@@ -68,13 +68,14 @@ def crc_mod(c: Column, n: int) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % n
 
 
-def byte_slices(column, most: int = 8 << 20):
+def byte_slices(column, most: int = 2 << 20):
     """(start, rows) of consecutive slices of an Arrow string column, each of one row or at most
-    most bytes."""
+    most bytes. What Arrow held for the slice before is given back to the system."""
     start, size = 0, 0
     for k, n in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
         if k > start and size + n > most:
             yield start, k - start
+            pa.default_memory_pool().release_unused()
             start, size = k, 0
         size += n
     if len(column) > start:

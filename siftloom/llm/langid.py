@@ -35,7 +35,7 @@ def _letters() -> np.ndarray:
     """For each code point, itself if it is a letter, else 0."""
     global _TABLE
     if _TABLE is None:
-        _TABLE = np.array([c if chr(c).isalpha() else 0 for c in range(0x110000)], dtype=np.uint32)
+        _TABLE = np.fromiter((c if chr(c).isalpha() else 0 for c in range(0x110000)), dtype=np.uint32, count=0x110000)
     return _TABLE
 
 
