@@ -24,18 +24,25 @@ from .common import BLANK, cut, maybe_broadcast
 #: Least length of a block of a line, in characters; of long lines it is the root of the length.
 BLOCK = 32
 ID = ["_h1", "_h2"]
+#: What tells documents apart: the key, which may be null or shared, and two hashes of the text.
+DOC = ["_k", "_t1", "_t2"]
+
+
+def _text_hashes(text: str) -> list[Column]:
+    return [F.xxhash64(text).alias("_t1"), F.xxhash64(F.lit(1), text).alias("_t2")]
 
 
 def _lines(docs: DataFrame, text: str, key: str, min_words: int) -> DataFrame:
-    """_k, _n, _line and its two hashes, of all lines of at least min_words words."""
+    """DOC, _n, _line and its two hashes, of all lines of at least min_words words."""
     words = f"[^{BLANK}]+" + f"[{BLANK}]+[^{BLANK}]+" * (min_words - 1)
-    rows = docs.select(F.col(key).alias("_k"), F.posexplode(F.split(F.col(text), "\n")).alias("_n", "_line")).filter(F.col("_line").rlike(words))
+    rows = docs.select(F.col(key).alias("_k"), *_text_hashes(text), F.posexplode(F.split(F.col(text), "\n")).alias("_n", "_line")).filter(F.col("_line").rlike(words))
     return rows.withColumns({"_h1": F.xxhash64("_line"), "_h2": F.xxhash64(F.md5("_line"))})
 
 
-def _place(k: str = "_k", n: str = "_n") -> Column:
-    """A line's place in the order of the corpus: by key, nulls last, then within the text."""
-    return F.struct(F.col(k).isNull().alias("a"), F.col(k).alias("k"), F.col(n).alias("n"))
+def _place() -> Column:
+    """A line's place in the order of the corpus: by key, nulls last, then by the text's hashes, then
+    within the text."""
+    return F.struct(F.col("_k").isNull().alias("a"), F.col("_k").alias("k"), F.col("_t1").alias("t1"), F.col("_t2").alias("t2"), F.col("_n").alias("n"))
 
 
 def _halves(line: Column) -> Column:
@@ -110,11 +117,11 @@ def _near(lines: DataFrame) -> DataFrame:
 
 
 def dropped_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = 2, fuzzy_chars: int = 20) -> DataFrame:
-    """_k, _drop of the documents that lose lines: the numbers of those lines, from 0."""
+    """DOC, _drop of the documents that lose lines: the numbers of those lines, from 0."""
     occurring = _lines(docs, text, key, min_words)
     long = F.length("_line") >= fuzzy_chars
     halves = F.when(long, _halves(F.col("_line")))
-    seen = occurring.select("_k", "_n", *ID, *(F.get(halves, k).alias(f"_s{k}") for k in range(4)))
+    seen = occurring.select(*DOC, "_n", *ID, *(F.get(halves, k).alias(f"_s{k}") for k in range(4)))
     lines = cut(seen.groupBy(*ID).agg(F.min(_place()).alias("_first"), F.count(F.lit(1)).alias("_c"), *(F.max(f"_s{k}").alias(f"_s{k}") for k in range(4))))
 
     keys = lines.filter("_s0 is not null").select(*ID, "_first", F.explode(F.array(*(f"_s{k}" for k in range(4)))).alias("_key"))
@@ -126,7 +133,7 @@ def dropped_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_
     marked = lines.select(*ID, "_first", "_c").join(maybe_broadcast(near.withColumn("_near", F.lit(True)), near.count()), ID, "left")
     bad = cut(marked.filter("_c > 1 or _near").select(*ID, "_first", F.coalesce("_near", F.lit(False)).alias("_near")))
     hit = occurring.drop("_line").join(maybe_broadcast(bad, bad.count()), ID).filter(F.col("_near") | (_place() != F.col("_first")))
-    return hit.groupBy("_k").agg(F.collect_set("_n").alias("_drop"))
+    return hit.groupBy(*DOC).agg(F.collect_set("_n").alias("_drop"))
 
 
 def line_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = 2, fuzzy_chars: int = 20) -> DataFrame:
@@ -134,13 +141,16 @@ def line_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", min_wor
 
     A line of at least min_words words goes if an earlier line of the corpus equals it or, for lines
     of at least fuzzy_chars characters, is one edit from it, whether that one stays or not. Earlier is
-    by key, nulls last, and then by place; rows that share a key are one document, so rows repeated
-    whole keep the same lines. Shorter lines and empty ones stay. A null text stays null with 0
+    by key, nulls last, then by a hash of the text, and then by place. Rows that share key and text
+    are one document, so rows repeated whole keep the same lines; rows that share a key (or have none)
+    with other texts are documents of their own. Shorter lines and empty ones stay. A null text stays null with 0
     lines. Columns of docs named like the new ones give way to them.
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     drop = cut(dropped_lines(docs, text, key, min_words, fuzzy_chars))
-    out = docs.select(*kept).join(maybe_broadcast(drop, drop.count()), F.col(key).eqNullSafe(F.col("_k")), "left")
+    t1, t2 = _text_hashes(text)
+    same = F.col(key).eqNullSafe(F.col("_k")) & (t1 == F.col("_t1")) & (t2 == F.col("_t2"))
+    out = docs.select(*kept).join(maybe_broadcast(drop, drop.count()), same, "left")
     lines = F.split(F.col(text), "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop"))
     gone = F.array_intersect(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop"))

@@ -191,6 +191,17 @@ def test_lines_of_odd_rows(spark, docs):
     assert linededup.line_dedup(docs([])).count() == 0
 
 
+def test_lines_of_rows_that_share_a_key_are_apart(spark, docs):
+    rows = [(1, "alpha beta"), (None, "alpha beta\ngamma delta"), (None, "one two\nthree four"), (7, "alpha beta\nfive six"), (7, "seven eight\nnine ten")]
+    got = linededup.line_dedup(docs(rows)).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter([(1, "alpha beta"), (None, "gamma delta"), (None, "one two\nthree four"), (7, "five six"), (7, "seven eight\nnine ten")])
+    # equal lines at the same place of two such rows: the first keeps its, and a whole repeat agrees with it
+    for key in (None, 5):
+        got = linededup.line_dedup(docs([(key, "same head\nown a"), (key, "same head\nown b"), (key, "same head\nown b")])).collect()
+        heads = {r["text"].split("\n")[-1]: r["n_lines"] - r["n_dropped"] for r in got}
+        assert sorted(heads.values()) == [1, 2] and len({r["text"] for r in got}) == 2
+
+
 # ---- exact dedup --------------------------------------------------------------------------
 
 
