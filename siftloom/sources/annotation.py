@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 COLUMNS = ("contig", "source", "feature", "start", "end", "score", "strand", "frame", "attributes")
+#: Lines of a range in which regions are counted by one task, as a power of two.
+RANGE_BITS = 14
 
 
 def gtf_attribute(attributes: Column, name: str) -> Column:
@@ -41,12 +43,16 @@ def gff(lines: DataFrame) -> DataFrame:
     """The annotation of GFF lines (line_no, value). Gene and transcript names are those of the last
     gene and transcript line above, within a region; a line of feature region starts one.
 
-    Regions are told apart by a running count over the whole file, in one task: annotations are a
-    few million short lines at most. Carrying names forward is done by region.
+    Regions are told apart by a running count within each range of line numbers, after what the
+    ranges ahead hold. Carrying names forward is done by region.
     """
     rows = fields(lines)
     rows = rows.withColumns({"_id": gff_attribute(F.col("attributes"), "ID"), "_name": gff_attribute(F.col("attributes"), "Name")})
-    rows = rows.withColumn("_region", F.sum((F.col("feature") == "region").cast("int")).over(Window.orderBy("line_no")))
+    rows = rows.withColumns({"_range": F.shiftright("line_no", RANGE_BITS), "_starts": F.coalesce(F.col("feature") == "region", F.lit(False)).cast("int")})
+    starts = rows.groupBy("_range").agg(F.sum("_starts").alias("_n"))
+    ahead = starts.select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    rows = rows.withColumn("_within", F.sum("_starts").over(Window.partitionBy("_range").orderBy("line_no"))).join(ahead, "_range")
+    rows = rows.withColumn("_region", F.col("_before") + F.col("_within")).drop("_range", "_starts", "_within", "_before")
     above = Window.partitionBy("_region").orderBy("line_no")
     is_gene = F.col("feature").isin("gene", "pseudogene")
     is_transcript = F.col("feature").isin("mRNA", "transcript", "ncRNA", "rRNA", "tRNA", "lnc_RNA")

@@ -155,6 +155,15 @@ def test_gff_names_are_carried(spark):
     assert [(r["line_no"], r["gene_name"], r["transcript_id"]) for r in got] == [(1, "A", ""), (2, "A", "t"), (3, "A", "t")]
 
 
+def test_gff_regions_are_counted_by_range(spark, monkeypatch):
+    one = ["region ID=r", "exon ID=e", "gene ID=a;Name=A", "mRNA ID=t", "exon ID=e"]
+    rows = ["r\tx\t{}\t1\t9\t.\t+\t.\t{}".format(*r.split()) for r in one * 20]
+    monkeypatch.setattr(annotation, "RANGE_BITS", 2, raising=False)
+    got = annotation.gff(lines(spark, rows))
+    assert [(r["line_no"], r["transcript_id"]) for r in got.orderBy("line_no").collect()] == [(5 * k + n, tx) for k in range(20) for n, tx in ((2, ""), (3, "t"), (4, "t"))]
+    assert "windowspecdefinition(line_no" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_paths_of_annotations(spark):
     with pytest.raises(ValueError, match="neither"):
         annotation.read_annotation(spark, "x.gff3")
