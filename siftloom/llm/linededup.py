@@ -32,10 +32,11 @@ def _text_hashes(text: str) -> list[Column]:
     return [F.xxhash64(text).alias("_t1"), F.xxhash64(F.lit(1), text).alias("_t2")]
 
 
-def _lines(docs: DataFrame, text: str, key: str, min_words: int) -> DataFrame:
-    """DOC, _n, _line and its two hashes, of all lines of at least min_words words."""
+def _lines(docs: DataFrame, text: str, key: str, min_words: int, fuzzy_chars: int) -> DataFrame:
+    """DOC, _n, _line and its two hashes, of all lines of at least min_words words or, without the
+    white space at both ends, fuzzy_chars characters."""
     words = f"[^{BLANK}]+" + f"[{BLANK}]+[^{BLANK}]+" * (min_words - 1)
-    rows = docs.select(F.col(key).alias("_k"), *_text_hashes(text), F.posexplode(F.split(F.col(text), "\n")).alias("_n", "_line")).filter(F.col("_line").rlike(words))
+    rows = docs.select(F.col(key).alias("_k"), *_text_hashes(text), F.posexplode(F.split(F.col(text), "\n")).alias("_n", "_line")).filter(F.col("_line").rlike(words) | (F.length(F.btrim("_line", F.lit(" \t\n\x0b\f\r"))) >= fuzzy_chars))
     return rows.withColumns({"_h1": F.xxhash64("_line"), "_h2": F.xxhash64(F.md5("_line"))})
 
 
@@ -118,7 +119,7 @@ def _near(lines: DataFrame) -> DataFrame:
 
 def dropped_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = 2, fuzzy_chars: int = 20) -> DataFrame:
     """DOC, _drop of the documents that lose lines: the numbers of those lines, from 0."""
-    occurring = _lines(docs, text, key, min_words)
+    occurring = _lines(docs, text, key, min_words, fuzzy_chars)
     long = F.length("_line") >= fuzzy_chars
     halves = F.when(long, _halves(F.col("_line")))
     seen = occurring.select(*DOC, "_n", *ID, *(F.get(halves, k).alias(f"_s{k}") for k in range(4)))
@@ -139,7 +140,8 @@ def dropped_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_
 def line_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = 2, fuzzy_chars: int = 20) -> DataFrame:
     """docs with the lines left in each text, and n_lines and n_dropped.
 
-    A line of at least min_words words goes if an earlier line of the corpus equals it or, for lines
+    A line of at least min_words words, or at least fuzzy_chars characters as in prose without spaces
+    and long addresses, goes if an earlier line of the corpus equals it or, for lines
     of at least fuzzy_chars characters, is one edit from it, whether that one stays or not. Earlier is
     by key, nulls last, then by a hash of the text, and then by place. Rows that share key and text
     are one document, so rows repeated whole keep the same lines; rows that share a key (or have none)

@@ -202,6 +202,13 @@ def test_lines_of_rows_that_share_a_key_are_apart(spark, docs):
         assert sorted(heads.values()) == [1, 2] and len({r["text"] for r in got}) == 2
 
 
+def test_repeated_long_lines_without_spaces_go(spark, docs):
+    prose, url, short = "数据处理系统必须保留所有文档并且不能丢失任何一行内容", "https://example.org/" + "a" * 40, " " * 30 + "kurz"
+    rows = [(1, f"{prose}\n{url}\n{short}"), (2, f"{short}\n{prose}\nnew line"), (3, f"{url}\n{' ' * 40}\nfrei"), (4, f"{' ' * 40}\nfrei")]
+    got = {r["doc_id"]: r["text"] for r in linededup.line_dedup(docs(rows)).collect()}
+    assert got == {1: rows[0][1], 2: f"{short}\nnew line", 3: f"{' ' * 40}\nfrei", 4: rows[3][1]}
+
+
 # ---- exact dedup --------------------------------------------------------------------------
 
 
