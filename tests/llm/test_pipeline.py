@@ -74,6 +74,14 @@ def test_one_of_each_group_stays(steps):
     assert sum(r["doc_id"] is None for r in steps[2]) == 1
 
 
+def test_rows_that_share_an_id_or_have_none(spark, docs, folder):
+    a, b, c, d, e = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcde")
+    # shared id with other texts; repeats, near ones too, under null and other ids; whole repeats; no words
+    given = [(1, a), (1, b), (4, b + " more"), (None, c), (None, c + " more"), (None, c), (2, d), (2, d), (None, e), (None, ""), (None, " "), (3, "")]
+    got = Counter((r["doc_id"], r["text"][:2]) for r in pipe.similar(spark, docs(given), folder).collect())
+    assert got == Counter([(1, "a0"), (1, "b0"), (None, "c0"), (2, "d0"), (None, "e0"), (None, ""), (None, " "), (3, "")])
+
+
 def test_mixture_comes_near_its_targets(steps):
     size = lambda r: len(r["text"].split())
     sizes, taken = Counter(), Counter()
