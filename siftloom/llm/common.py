@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder for tables between steps: the cluster's ``spark.checkpoint.dir``. Only where that is
-    unset, as in tests, a temporary one is made."""
+    unset and all runs on one machine, as in tests, a temporary one is made."""
     sc = spark.sparkContext
     if (folder := sc.getCheckpointDir()) is None:
         folder = sc.getConf().get("spark.checkpoint.dir")
         if folder is None:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             folder = tempfile.mkdtemp(prefix="siftloom-")
             atexit.register(shutil.rmtree, folder, ignore_errors=True)
         sc.setCheckpointDir(folder)
@@ -39,11 +44,49 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Folders of the tables written so far, and how to delete one.
+_TABLES: list[str] = []
+_DELETE: list[Callable[[str], None]] = []
+
+
+def new_folder(spark: SparkSession, name: str = "table") -> str:
+    """A folder for a table between steps, which is deleted when the process ends if not before."""
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4()}"
+    if not _DELETE:
+        conf, hadoop = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs
+
+        def delete(folder: str) -> None:
+            path = hadoop.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+        def last() -> None:
+            with contextlib.suppress(Exception):  # the session may be gone, and its folder with it
+                drop_tables(0)
+
+        _DELETE.append(delete)
+        atexit.register(last)
+    _TABLES.append(folder)
+    return folder
+
+
+def tables_so_far() -> int:
+    return len(_TABLES)
+
+
+def drop_tables(since: int, but: str | None = None) -> None:
+    """Delete the tables written since then (a number from tables_so_far), for a caller that has
+    written out what was made of them; but: one to keep."""
+    for folder in _TABLES[since:]:
+        if folder != but:
+            _DELETE[0](folder)
+    _TABLES[since:] = [folder for folder in _TABLES[since:] if folder == but]
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df as a table to the shared folder and go on from that, without its history."""
-    spark, folder = df.sparkSession, f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4()}"
+    folder = new_folder(df.sparkSession)
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def maybe_broadcast(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -82,6 +125,37 @@ def byte_slices(column, most: int = 2 << 20):
         yield start, len(column) - start
 
 
+def give_back() -> None:
+    """Return what a task's Python worker has freed to the system; the worker itself goes on."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU library has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+class Recent(dict):
+    """What was worked out for short texts lately, in two tables of some bytes each: when the newer
+    one is full the older one goes, and what is asked for again moves to the newer one."""
+
+    def __init__(self, make: Callable[[str], bytes | int], most: int = 12 << 20) -> None:
+        self.make, self.most, self.held, self.old = make, most, 0, {}
+
+    def __missing__(self, text: str) -> bytes | int:
+        value = self.old.pop(text, None)
+        if value is None:
+            value = self.make(text)
+        if len(text) <= 64:
+            self.held += 240 + 2 * len(text)  # a string, a value and their place in the table
+            if self.held > self.most:
+                self.old, self.held = self.copy(), 0
+                self.clear()
+            self[text] = value
+        return value
+
+    def forget(self) -> None:
+        self.clear()
+        self.old, self.held = {}, 0
+
+
 def schema_and(df: DataFrame, **more: str) -> StructType:
     """df's schema and more columns after it."""
     return StructType([*df.schema.fields, *(StructField(c, _parse(kind)) for c, kind in more.items())])

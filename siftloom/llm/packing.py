@@ -22,12 +22,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, cut, schema_and
+from .common import Recent, byte_slices, cut, give_back, schema_and
 from .tokencount import model_path
 
 PIECES = ("piece int", "start bigint", "length bigint", "ids_crc32 bigint")
-#: Words whose ids a worker keeps; a full table starts anew.
-WORDS, PARTS = 800_000, 400_000
 #: Pieces of a packing group, about.
 GROUP = 2_500
 
@@ -39,8 +37,8 @@ SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
 BYTE_CHARS = {b: chr(b) for b in SHOWN} | {b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in {*SHOWN})}
 
 
-class _Ids(dict):
-    """text of a word -> its ids as little-endian unsigned 32-bit numbers.
+class _Ids:
+    """Ids of words, as little-endian unsigned 32-bit numbers.
 
     A word of Latin letters is split here as the tokenizer's own rule does, and each part's ids are
     kept, so that words that differ by case or a full stop share them. Other words, and those that
@@ -59,24 +57,18 @@ class _Ids(dict):
         self.split = regex.compile(rule).findall
         self.special = [x["content"] for x in settings["added_tokens"]]
         self.model = self.tokenizer.model
-        self.parts: dict[str, bytes] = {}
+        self.words, self.parts = Recent(self.word), Recent(self.part)
 
-    def __missing__(self, text: str) -> bytes:
+    def word(self, text: str) -> bytes:
         if PLAIN.fullmatch(text) and not any(x in text for x in self.special):
-            ids = b"".join(map(self.part, self.split(text.lower())))
-        else:
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(text) <= 64:
-            if len(self) >= WORDS:
-                self.clear()
-            self[text] = ids
-        return ids
+            return b"".join(map(self.parts.__getitem__, self.split(text.lower())))
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids of each text, without an end."""
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         words = lists.flatten().dictionary_encode()
-        ids = [*map(self.__getitem__, words.dictionary.to_pylist())]
+        ids = [*map(self.words.__getitem__, words.dictionary.to_pylist())]
         at = words.indices.to_numpy()
         sizes = np.array([len(x) // 4 for x in ids], dtype=np.int64)
         starts = np.cumsum(sizes) - sizes
@@ -88,14 +80,14 @@ class _Ids(dict):
             yield flat[a:b]
 
     def part(self, text: str) -> bytes:
-        if (ids := self.parts.get(text)) is None:
-            shown = text if text.isascii() else "".join(map(BYTE_CHARS.__getitem__, text.encode()))
-            ids = b"".join(x.id.to_bytes(4, "little") for x in self.model.tokenize(shown))
-            if len(self.parts) >= PARTS:
-                self.parts.clear()
-            if len(text) <= 64:
-                self.parts[text] = ids
-        return ids
+        shown = text if text.isascii() else "".join(map(BYTE_CHARS.__getitem__, text.encode()))
+        return b"".join(x.id.to_bytes(4, "little") for x in self.model.tokenize(shown))
+
+    def forget(self) -> None:
+        """Let go of what was kept for a task, as the worker outlives it."""
+        self.words.forget()
+        self.parts.forget()
+        give_back()
 
 
 @lru_cache(maxsize=2)
@@ -108,27 +100,32 @@ def token_pieces(docs: DataFrame, capacity: int, tokenizer: str = "word_bpe_49k.
 
     A document is its text's ids and end_id; the tokenizer drops white space, so a text's ids are
     those of its words. Null texts count as empty and make a piece of one id. Documents longer
-    than capacity are cut every capacity ids.
+    than capacity are cut every capacity ids. A key named like one of the other columns is refused.
     """
+    if key in {c.split()[0] for c in PIECES} | {"sequence_id", "offset"}:
+        raise ValueError(f"the key is named like a column of the result: {key}")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, end = _ids(model_path(tokenizer)), np.array([end_id], dtype="<u4").tobytes()
-        for batch in batches:
-            rows: list[list[int]] = [[], [], [], [], []]
-            for k, n in byte_slices(batch.column(1)):
-                for at, ids in enumerate(table.encode(batch.column(1).slice(k, n)), k):
-                    for p, start in enumerate(range(0, len(ids) + 1, capacity)):
-                        part = ids[start : start + capacity]
-                        more = len(part) < capacity  # the end comes after the last id
-                        found = (at, p, start, len(part) + more, zlib.crc32(end if more else b"", zlib.crc32(part.tobytes())))
-                        for col, v in zip(rows, found, strict=True):
-                            col.append(v)
-            cols = [batch.column(0).take(pa.array(rows[0], pa.int64())), pa.array(rows[1], pa.int32()), *(pa.array(c, pa.int64()) for c in rows[2:])]
-            yield pa.RecordBatch.from_arrays(cols, names=[key, "piece", "start", "length", "ids_crc32"])
-
-    frame = docs.select(key, text)
-    schema = ", ".join((f"`{key}` {frame.schema[key].dataType.simpleString()}", *PIECES))
-    return frame.mapInArrow(work, schema)
+        try:
+            for batch in batches:
+                for k, n in byte_slices(batch.column(1)):
+                    rows: list[list[int]] = [[], [], [], [], []]
+                    for at, ids in enumerate(table.encode(batch.column(1).slice(k, n)), k):
+                        for p, start in enumerate(range(0, len(ids) + 1, capacity)):
+                            part = ids[start : start + capacity]
+                            more = len(part) < capacity  # the end comes after the last id
+                            found = (at, p, start, len(part) + more, zlib.crc32(end if more else b"", zlib.crc32(part.tobytes())))
+                            for col, v in zip(rows, found, strict=True):
+                                col.append(v)
+                    cols = [batch.column(0).take(pa.array(rows[0], pa.int64())), pa.array(rows[1], pa.int32()), *(pa.array(c, pa.int64()) for c in rows[2:])]
+                    yield pa.RecordBatch.from_arrays(cols, names=["_key", *(c.split()[0] for c in PIECES)])
+        finally:
+            table.forget()
+
+    frame = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    schema = ", ".join((f"_key {frame.schema['_key'].dataType.simpleString()}", *PIECES))
+    return frame.mapInArrow(work, schema).withColumnRenamed("_key", key)
 
 
 class _Pool:

@@ -20,11 +20,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, schema_and
+from .common import Recent, byte_slices, give_back, schema_and
 
 SPACE = "▁"
-#: Entries of a worker's tables; a full table starts anew, which costs time but changes no count.
-WORDS, PREFIXES, PAIRS = 800_000, 900_000, 400_000
+#: Entries of a worker's tables of prefixes and of pairs of pieces, some 25 MB each; a full table starts
+#: anew, which costs time but changes no count.
+PREFIXES, PAIRS = 90_000, 120_000
 
 
 class PrefixCounter:
@@ -45,7 +46,12 @@ class PrefixCounter:
         self.pairs: dict[tuple[str, str], bool] = {}
         self.spines: dict[str, tuple[list, list] | None] = {}
         self.states: dict[str, tuple[int, str | None]] = {"": (0, None)}
-        self.spaced, self.bare = _Counts(self, SPACE), _Counts(self, "")
+        self.spaced, self.bare = Recent(lambda word: self.last(SPACE + word)), Recent(self.last)
+
+        marked = [p for p in self.scores if p[0] in "<[" and len(p) > 2]
+        for probe in ("a  b", " a", "a ", "\ta\n\nb", "\ufb01\u2163\uff21", "e\u0301", "\x00\x7f\u200b", *marked):
+            if self.count(probe) != len(sp.encode(probe)):
+                raise ValueError(f"this model changes texts before it cuts them, as {probe!r} shows")
 
     def merged(self, text: str, least: int = 1) -> list[str]:
         """Pieces of a short text: the best-scored neighbours merge first, of equals the leftmost.
@@ -241,6 +247,14 @@ class PrefixCounter:
             done += inner[-1]
         return out
 
+    def forget(self) -> None:
+        """Let go of what was kept for a task, as the worker outlives it."""
+        self.spaced.forget()
+        self.bare.forget()
+        self.pairs.clear()
+        self.states = {"": (0, None)}
+        give_back()
+
     def fits(self, text: str, budget: int) -> int:
         """Characters of the longest prefix of at most budget tokens."""
         best = at = done = 0
@@ -257,21 +271,6 @@ class PrefixCounter:
         return best
 
 
-class _Counts(dict):
-    """word -> count, of words with or without a space before them."""
-
-    def __init__(self, counter: PrefixCounter, lead: str) -> None:
-        self.counter, self.lead = counter, lead
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= WORDS:
-            self.clear()
-        n = self.counter.last(self.lead + word)
-        if len(word) <= 64:
-            self[word] = n
-        return n
-
-
 def _runs(line: str) -> list[str]:
     """Words of a line with its runs of spaces, as the model sees them."""
     import re
@@ -302,13 +301,15 @@ def token_counts(docs: DataFrame, model: str = "piece_bpe_32k.model", limit: int
     schema = schema_and(docs.select(*kept), n_bytes="bigint", n_tokens="bigint")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(model_path(model)).batch
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            sizes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
-            tokens = np.concatenate([count(texts.slice(k, n)) for k, n in byte_slices(texts)] or [[]])
-            cols = [*batch.columns[:-1], sizes, pa.array(tokens, pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, names=[*kept, *new])
+        table = counter(model_path(model))
+        try:
+            for batch in batches:
+                texts = batch.column(batch.num_columns - 1)
+                sizes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
+                tokens = np.concatenate([table.batch(texts.slice(k, n)) for k, n in byte_slices(texts)] or [[]])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], sizes, pa.array(tokens, pa.int64())], names=[*kept, *new])
+        finally:
+            table.forget()
 
     out = docs.select(*kept, F.col(text).alias("_text")).mapInArrow(work, schema)
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
@@ -321,12 +322,15 @@ def prefix_counts(docs: DataFrame, model: str = "piece_bpe_32k.model", text: str
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = counter(model_path(model)).counts
-        for batch in batches:
-            for k in range(0, batch.num_rows, 64):
-                part = batch.slice(k, 64)
-                got = [counts(x or "") for x in part.column(part.num_columns - 1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got, pa.list_(pa.int32()))], names=[*names, "prefix_tokens"])
+        table = counter(model_path(model))
+        try:
+            for batch in batches:
+                for k, n in byte_slices(batch.column(batch.num_columns - 1), 256 << 10):
+                    part = batch.slice(k, n)
+                    got = [table.counts(x or "") for x in part.column(part.num_columns - 1).to_pylist()]
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got, pa.list_(pa.int32()))], names=[*names, "prefix_tokens"])
+        finally:
+            table.forget()
 
     names = [c for c in docs.columns if c not in (text, "prefix_tokens")] + [text]
     frame = docs.select(*names)
@@ -337,12 +341,15 @@ def truncate(docs: DataFrame, budget: int, model: str = "piece_bpe_32k.model", t
     """docs with each text cut to its longest prefix of at most budget tokens; null stays null."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fits = counter(model_path(model)).fits
-        for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
-                got = [x if x is None else x[: fits(x, budget)] for x in part.column(part.num_columns - 1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(got, pa.string())], names=names)
+        table = counter(model_path(model))
+        try:
+            for batch in batches:
+                for k, n in byte_slices(batch.column(batch.num_columns - 1)):
+                    part = batch.slice(k, n)
+                    got = [x if x is None else x[: table.fits(x, budget)] for x in part.column(part.num_columns - 1).to_pylist()]
+                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(got, pa.string())], names=names)
+        finally:
+            table.forget()
 
     names = [c for c in docs.columns if c != text] + [text]
     frame = docs.select(*names)
