@@ -14,19 +14,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import schema_and
+from .common import byte_slices, cut, schema_and
 
 #: Buckets that n-grams of one to three characters are hashed to.
 BITS = 15
 #: Characters looked at together, which bounds the memory that a long text takes.
 STEP = 1 << 18
-#: Labelled documents per language that weights and temperature are fitted on, about.
-SAMPLE = 1_500
-#: Languages that one model may have; the rest are those with the fewest documents.
-MOST_LANGS = 200
+#: Distinct labelled texts that weights and temperature are fitted on, at most: per language, and of
+#: all languages together, which is what the driver holds.
+SAMPLE, ALL_SAMPLES = 1_500, 30_000
+#: Languages that one model may have; its weights are 128 KB of every task for each of them.
+MOST_LANGS = 2_000
 UND = "und"
 _KNUTH = np.uint64(0x9E3779B97F4A7C15)
 
@@ -42,27 +43,32 @@ def _letters() -> np.ndarray:
 _TABLE: np.ndarray | None = None
 
 
-def features(text: str) -> np.ndarray | None:
+def features(text: str, step: int = STEP) -> np.ndarray | None:
     """Counts by bucket of the n-grams of the whole text; None if it has no letter. All that is not
-    a letter counts as the edge of a word, however much of it there is."""
+    a letter counts as the edge of a word, however much of it there is. step: characters looked at
+    together; the last two of a step go before the next, so the result is the same for all."""
     counts, any_letter = np.zeros(1 << BITS, dtype=np.int64), False
     letters, shift = _letters(), np.uint64(64 - BITS)
-    for start in range(0, len(text), STEP):
-        part = text[max(0, start - 2) : start + STEP].lower()
+    carried = np.zeros(1, dtype=np.uint64)  # the edge before the text; its own n-gram counts too
+    fresh = 0  # from where on codes have not been counted
+    for start in range(0, len(text) + step, step):
+        part = text[start : start + step].lower().replace("\u03c2", "\u03c3")  # a final sigma, for a step may end within a word
         codes = letters[np.frombuffer(part.encode("utf-32-le", "surrogatepass"), dtype="<u4")].astype(np.uint64)
-        if not codes.any():
-            continue
-        any_letter = True
-        if start == 0:
-            codes = np.concatenate([[np.uint64(0)], codes, [np.uint64(0)]])
+        if start >= len(text):
+            codes = np.zeros(1, dtype=np.uint64)  # the edge after it
+        any_letter |= bool(codes.any())
+        codes = np.concatenate([carried, codes])
         kept = np.ones(len(codes), dtype=bool)
-        kept[1:] = (codes[1:] != 0) | (codes[:-1] != 0)
+        kept[len(carried) :] = (codes[len(carried) :] != 0) | (codes[len(carried) - 1 : -1] != 0)
         codes = codes[kept]
         one = (codes + np.uint64(1)) * _KNUTH
         two = (one[:-1] ^ (codes[1:] << np.uint64(21))) * _KNUTH
         three = (two[:-1] ^ (codes[2:] << np.uint64(13))) * _KNUTH
-        for grams in (one, two, three):
+        for grams, before in ((one, 0), (two, 1), (three, 2)):
+            grams = grams[max(0, fresh - before) :]
             counts += np.bincount((grams >> shift).astype(np.int64), minlength=1 << BITS)
+        carried = codes[-2:]
+        fresh = len(carried)
     return counts if any_letter else None
 
 
@@ -101,7 +107,7 @@ def ftrl(vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, model
     """Fit the model's weights, a document at a time, by follow-the-regularised-leader. l1 keeps most
     weights at exactly 0. The bias is a feature of every document, without penalties."""
     n_langs = len(model.langs)
-    z, n = np.zeros((1 << BITS, n_langs)), np.zeros((1 << BITS, n_langs))
+    z, n = (np.zeros((1 << BITS, n_langs), dtype=np.float64 if n_langs <= 100 else np.float32) for _ in range(2))
     zb, nb = np.zeros(n_langs), np.zeros(n_langs)
     order = np.random.default_rng(7)
 
@@ -119,7 +125,8 @@ def ftrl(vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, model
             n[at] += g**2
             zb += miss - (np.sqrt(nb + miss**2) - np.sqrt(nb)) / alpha * bias
             nb += miss**2
-    model.weights = solved(z, n).astype(np.float32)
+    for k in range(0, 1 << BITS, 1024):
+        model.weights[k : k + 1024] = solved(z[k : k + 1024], n[k : k + 1024])
     model.bias = -zb / ((beta + np.sqrt(nb)) / alpha)
 
 
@@ -146,8 +153,8 @@ def _frequencies(train: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = np.zeros(1 << BITS, dtype=np.int64)
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                for text in batch.column(0).slice(k, 256).to_pylist():
+            for k, n in byte_slices(batch.column(0)):
+                for text in batch.column(0).slice(k, n).to_pylist():
                     if text and (counts := features(text)) is not None:
                         df += counts > 0
         at = np.flatnonzero(df)
@@ -162,9 +169,9 @@ def _vectors(sample: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
+            for k, n in byte_slices(batch.column(2)):
                 langs, held, at, tf = [], [], [], []
-                part = batch.slice(k, 256)
+                part = batch.slice(k, n)
                 for lang, aside, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     if text and (counts := features(text)) is not None:
                         langs.append(lang)
@@ -177,26 +184,48 @@ def _vectors(sample: DataFrame) -> DataFrame:
     return sample.select("_lang", "_held", "_text").mapInArrow(work, "_lang string, _held boolean, at binary, tf binary")
 
 
+def _sample(rows: DataFrame, most: int) -> tuple[DataFrame, list]:
+    """_lang, _held, _text of at most so many distinct texts of each language, and the languages with
+    their numbers of rows. Texts are taken by their hashes, the lowest of a language first, and of five
+    one is held, so neither copies nor the order of rows bear on the choice. Copies are combined
+    before they are sent anywhere."""
+    hashed = rows.withColumn("_h", F.xxhash64("_text"))
+    texts = cut(hashed.groupBy("_lang", "_h").agg(F.count(F.lit(1)).alias("_n")))
+    sizes = texts.groupBy("_lang").agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("texts")).orderBy("_lang").take(MOST_LANGS + 1)
+    if len(sizes) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
+    if not sizes:
+        return texts, sizes
+    most = min(most, max(1, ALL_SAMPLES // len(sizes)))
+    # of each language so many low hashes that most of them are among these, to be ranked
+    share = rows.sparkSession.createDataFrame([(r["_lang"], min(1.0, (most + 5 * most**0.5 + 5) / r["texts"])) for r in sizes], "_lang string, _share double")
+    low = F.shiftrightunsigned("_h", 33).cast("double") / 2**31 < F.col("_share")
+    rank = F.row_number().over(Window.partitionBy("_lang").orderBy(F.shiftrightunsigned("_h", 1), "_h"))
+    ranked = texts.join(F.broadcast(share), "_lang").filter(low).withColumn("_rank", rank).filter(F.col("_rank") <= most)
+    picked = cut(ranked.select("_lang", "_h", (F.col("_rank") % 5 == 0).alias("_held")))
+    found = hashed.join(F.broadcast(picked), ["_lang", "_h"])  # ALL_SAMPLES rows at most
+    return found.groupBy("_lang", "_h").agg(F.min("_text").alias("_text"), F.min("_held").alias("_held")).select("_lang", "_held", "_text"), sizes
+
+
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", train: Column | None = None, sample: int = SAMPLE) -> Model:
     """Fit a model on the rows of docs for which train holds and text and lang are not null.
 
-    Rows are sampled by a hash of their text, sample of them per language on average; of every five,
-    one sets the temperature.
+    All languages are learned. Document frequencies are of all rows, repeated ones too; weights are
+    fitted on at most sample distinct texts of each language (fewer where ALL_SAMPLES is shared by
+    many languages), a fifth of which sets the temperature instead. Rows repeated whole, ties between languages and extra columns do not bear on the choice.
+    Without any such row, as in an empty table, the model has no language.
     """
     rows = docs if train is None else docs.filter(train)
     rows = rows.select(F.col(text).alias("_text"), F.col(lang).cast("string").alias("_lang")).filter("_text is not null and _lang is not null")
-    sizes = rows.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(MOST_LANGS).collect()
-    langs = sorted(r["_lang"] for r in sizes)
-    total = sum(r["count"] for r in sizes)
+    picked, sizes = _sample(rows, sample)
+    langs = [r["_lang"] for r in sizes]
+    total = sum(r["rows"] for r in sizes)
     df = np.zeros(1 << BITS)
     for r in _frequencies(rows).collect():
         df[r["bucket"]] = r["df"]
     model = Model(langs, np.log((1 + total) / (1 + df)) + 1, np.zeros((1 << BITS, len(langs)), dtype=np.float32), np.zeros(len(langs)))
     if not langs:
         return model
-    part = F.shiftrightunsigned(F.xxhash64("_text"), 33).cast("double") / 2**31
-    share = F.create_map(*(F.lit(v) for r in sizes for v in (r["_lang"], min(1.0, sample / r["count"]))))
-    picked = rows.withColumn("_part", part).withColumn("_share", share[F.col("_lang")]).filter("_part < _share").withColumn("_held", F.col("_part") < F.col("_share") / 5)
     found = _vectors(picked).collect()
     code = {x: k for k, x in enumerate(langs)}
     seen = sorted(((r["_held"], r["_lang"], bytes(r["at"]), bytes(r["tf"])) for r in found), key=lambda r: (r[0], r[1], len(r[2]), r[2], r[3]))
@@ -228,8 +257,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
+            for k, n in byte_slices(batch.column(batch.num_columns - 1)):
+                part = batch.slice(k, n)
                 langs, scores = [], []
                 for x in part.column(part.num_columns - 1).to_pylist():
                     name, p = own.predict(x)

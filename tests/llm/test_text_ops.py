@@ -46,13 +46,40 @@ def test_language_of_odd_texts(spark, docs, speech):
     assert langid.predict(docs(["the"]), nothing).first()["lang_pred"] == "und"
 
 
-def test_long_texts_have_the_same_features_in_parts(monkeypatch):
-    text = "Être ou ne pas être, " * 50
-    whole = langid.features(text)
-    monkeypatch.setattr(langid, "STEP", 64)
-    parts = langid.features(text)
-    assert abs(int(whole.sum()) - int(parts.sum())) < 60
-    assert np.corrcoef(whole, parts)[0, 1] > 0.98
+@given(st.lists(st.sampled_from(["a", "É", " ", "12", "\n", "Σ", "ς", "ß", "İ", "梦", "...", "th"]), max_size=60).map("".join), st.integers(1, 9))
+@settings(max_examples=200, deadline=None)
+def test_long_texts_have_the_same_features_in_parts(text, step):
+    if text:
+        whole, parts = langid.features(text), langid.features(text, step)
+        assert (whole is None) == (parts is None)
+        assert whole is None or (whole == parts).all()
+
+
+def test_features_are_counts_of_ngrams():
+    # edge, a, b, edge: four n-grams of one, three of two, two of three
+    assert langid.features("Ab").sum() == langid.features("1 ab !!").sum() == 4 + 3 + 2
+    text = "Être ou ne pas être, " * 20_000
+    assert len(text) > langid.STEP
+    assert (langid.features(text) == langid.features(text, len(text))).all()
+
+
+def test_many_languages_are_learned_and_copies_do_not_crowd_out_others(spark, docs, monkeypatch):
+    rng = random.Random(8)
+    letters = [chr(0x4E00 + k) for k in range(230)]
+    rows = [(k, letters[k % 230] * 3 + " " + "".join(rng.choice(letters[k % 230]) for _ in range(8)) + chr(0x61 + k // 230), f"l{k % 230:03}") for k in range(230 * 4)]
+    model = langid.fit(docs(rows))
+    assert len(model.langs) == 230
+    got = langid.predict(docs(rows[:230]), model).select("lang", "lang_pred").collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in got]) > 0.9
+    hot = docs([(k, "same text all over", "x") for k in range(500)] + [(1000 + k, f"other {'abcdefghij'[k]} text", "x") for k in range(10)] + [(2000, "der und nicht", "y")])
+    picked, sizes = langid._sample(hot.select(F.col("text").alias("_text"), F.col("lang").alias("_lang")), 5)
+    found = picked.collect()
+    assert [(r["_lang"], r["rows"], r["texts"]) for r in sizes] == [("x", 510, 11), ("y", 1, 1)]
+    assert Counter(r["_lang"] for r in found) == {"x": 5, "y": 1}
+    assert len({r["_text"] for r in found}) == 6
+    monkeypatch.setattr(langid, "MOST_LANGS", 1)
+    with pytest.raises(ValueError, match="more than 1 languages"):
+        langid.fit(hot)
 
 
 # ---- language model -----------------------------------------------------------------------
