@@ -75,5 +75,20 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in found}
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_SQL = {
+    "op5_exact_dedup": f"""WITH n AS (SELECT doc_id, {_LOWER} AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256 FROM n WINDOW w AS (PARTITION BY t)""",
+    "op8_chat_formatting": r"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+n AS (SELECT *, length(text) + len(regexp_extract_all(text, '[<\[]\\*(?:/?INST\]|/?s>|</?SYS>>|/?ROLE\]|\|endoftext\|>)')) + CASE role WHEN 'assistant' THEN 7 WHEN 'system' THEN 15 ELSE 13 END
+  + CASE WHEN role IN ('user', 'assistant', 'system') THEN 0 ELSE 13 + length(role) + len(regexp_extract_all(role, '[<\[]\\*(?:/?INST\]|/?s>|</?SYS>>|/?ROLE\]|\|endoftext\|>)')) END AS chars FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, CAST(sum(chars) AS BIGINT) AS formatted_chars FROM n GROUP BY 1""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)

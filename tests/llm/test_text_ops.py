@@ -239,10 +239,11 @@ def test_repeated_long_lines_without_spaces_go(spark, docs):
 # ---- exact dedup --------------------------------------------------------------------------
 
 
-def test_exact_copies(spark, docs):
+@pytest.mark.parametrize("how", [{}, {"capacity": 5, "hot": 20, "hashed": lambda c: F.pmod(F.xxhash64(c), F.lit(40))}])
+def test_exact_copies(spark, docs, how):
     rng = random.Random(6)
-    rows = [(k, rng.choice(["A b", "a B", "É", "é", "", None, "x" * 3000, f"own {k}"])) for k in range(400)]
-    got = exactdedup.exact_dedup(docs(rows).withColumnRenamed("n_chars", "kept"), capacity=5, depth=6).collect()
+    rows = [(k, rng.choice(["A b", "a B", "É", "é", "", None, "x" * 300_000 if k % 40 == 0 else "x", f"own {k}"])) for k in range(400)]
+    got = exactdedup.exact_dedup(docs(rows).withColumnRenamed("n_chars", "kept").withColumnRenamed("lang", "group_size").withColumnRenamed("source", "_h"), **how).collect()
     groups = defaultdict(list)
     for k, t in rows:
         groups[(t or "").encode().lower()].append(k)
@@ -256,12 +257,21 @@ def test_repeated_rows_and_null_ids(spark, docs):
     assert exactdedup.exact_dedup(docs([])).count() == 0
 
 
-def test_directory_splits_full_buckets(spark):
-    keys = spark.range(1000).select(F.xxhash64("id").alias("_h"))
-    found = exactdedup.slots(keys, capacity=50, depth=10)
-    assert len(found) & (len(found) - 1) == 0 and [s for s, _, _ in found] == list(range(len(found)))
-    assert len({b for _, b, _ in found}) >= 20
-    assert exactdedup.slots(keys.limit(0)) == [(0, 0, 0)]
+def test_full_buckets_are_split_on_files_and_collisions_are_chained(spark):
+    # 600 texts; a fifth of them share one hash, so their chain can't be split
+    texts = spark.range(1200).select((F.col("id") % 600).cast("string").alias("_norm"), F.col("id").alias("_keep"), F.lit(1).cast("long").alias("_n"))
+    entries = texts.withColumn("_h", F.when(F.col("_norm").cast("int") % 5 == 0, F.lit(-5).cast("long")).otherwise(F.xxhash64("_norm")))
+    index, directory = exactdedup.build_index(entries, depth=2, capacity=20)
+    assert len(directory) > 3 and [level for level, _ in directory] == list(range(2, 2 + len(directory)))
+    found = index.collect()
+    assert sorted((r["_sha"], r["keep_id"], r["group_size"]) for r in found) == sorted((hashlib.sha256(str(k).encode()).hexdigest(), k + 600, 2) for k in range(600))
+    assert sorted(r["_chain"] for r in found if r["_h"] == -5) == list(range(1, 121))
+    assert all(r["_bucket"] == (r["_h"] % 2**64) >> (64 - r["_depth"]) for r in found)
+    held = Counter((r["_depth"], r["_bucket"]) for r in found if r["_h"] != -5)
+    assert max(held.values()) <= 20 and len({d for d, _ in held}) > 1
+    places = {(r["_h"], r["_depth"], r["_bucket"]) for r in found}
+    rows = entries.select("_h").distinct()
+    assert {(r["_h"], r["_depth"], r["_bucket"]) for r in exactdedup.located(rows, 2, directory).collect()} == places
 
 
 # ---- quality rules ------------------------------------------------------------------------
