@@ -8,9 +8,22 @@ from pyspark.sql import functions as F
 from .common import cut
 
 
-def _least(edges: DataFrame) -> DataFrame:
-    """a -> the least of a's neighbours b and a itself."""
-    return edges.groupBy("a").agg(F.min("b").alias("_m")).select("a", F.least("a", "_m").alias("_m"))
+#: Links of one node from which on it counts as a hub, at least; beyond, a share of all links, so that
+#: there are at most HUBS * 2 of them.
+HUB, HUBS = 1_000, 100_000
+
+
+def _to_least(edges: DataFrame, n: int) -> DataFrame:
+    """edges (a, b) with _m, the least of a's neighbours and a itself.
+
+    Hubs, of which there are few, are joined by a broadcast, so that the links of one are not sent to
+    one task; groups combine before they are sent.
+    """
+    most = max(HUB, n // HUBS)
+    least = edges.groupBy("a").agg(F.min("b").alias("_m"), F.count(F.lit(1)).alias("_d")).select("a", F.least("a", "_m").alias("_m"), (F.col("_d") > most).alias("_hub"))
+    hubs = F.broadcast(least.filter("_hub").select("a", "_m"))  # HUBS * 2 rows at most
+    rest = edges.join(hubs.select("a"), "a", "left_anti").join(least.filter("not _hub").select("a", "_m"), "a")
+    return edges.join(hubs, "a").unionByName(rest)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -19,14 +32,15 @@ def components(links: DataFrame) -> DataFrame:
     Alternates two steps, each a grouping and a join, until nothing changes: every node's larger
     neighbours are linked to its least one, then its smaller neighbours are. That takes few rounds
     (of the order of the squared logarithm of the longest path at most), and the number of links
-    never grows. No group is held in one place.
+    never grows. No node's links are held in one place.
     """
     edges = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges, before = cut(edges), None
-    while True:
+    n = edges.count()
+    while n:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = both.join(_least(both), "a").filter("b > a").select(F.col("b").alias("a"), F.col("_m").alias("b")).distinct()
-        small = large.join(_least(large), "a")
+        large = _to_least(both, 2 * n).filter("b > a").select(F.col("b").alias("a"), F.col("_m").alias("b")).distinct()
+        small = _to_least(large, 2 * n)
         edges = small.select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("_m").alias("b")), F.struct("a", F.col("_m").alias("b")))).alias("e")).select("e.*").filter("a <> b").distinct()
         edges = cut(edges)
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()

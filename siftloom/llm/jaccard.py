@@ -10,7 +10,8 @@ To spread this over tasks, documents are first divided so that no link is lost:
 d elements at most, dealt into more than d groups, agree on all groups but d, so each document sends a
 hash of each group's content, and those that share enough of them are kept together. What hangs together that way
 is compared by the R-tree, large parts by blocks: first each block by itself with a few documents that
-all have, then what is not connected with the most against all blocks. Copies are collapsed before
+all have, then what is not connected with the most, in blocks of its own, against all blocks, each pair of
+blocks by itself. Copies are collapsed before
 all that, and links within what is already connected are not looked for, as only connection counts.
 """
 
@@ -23,19 +24,19 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, cut, maybe_broadcast, words_of
+from .common import byte_slices, cut, give_back, maybe_broadcast, words_of
 from .components import components
 
 #: Groups that count vectors have.
 DIMS_BITS = 8
 #: Points of a leaf and leaves of an inner node.
 FANOUT = 16
-#: Documents of a block, documents that all blocks of a part have, about, and the blocks that those
-#: not yet connected with the most are sent to at most.
-BLOCK, PIVOTS, BLOCKS = 96, 4, 24
+#: Documents of a block, about, and documents that all blocks of a part have, about. A task holds the
+#: sets of two blocks at once.
+BLOCK, PIVOTS = 96, 4
 #: How often documents that share too few keys are left out.
 LOOKS = 2
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -165,20 +166,18 @@ def linked(a: np.ndarray, b: np.ndarray, t: Fraction) -> bool:
     return t.denominator * both >= t.numerator * (len(a) + len(b) - both)
 
 
-def tree_links(nodes: list, sets: list[np.ndarray], t: Fraction, labels: np.ndarray | None = None, own: np.ndarray | None = None, asks: np.ndarray | None = None) -> list[tuple]:
+def tree_links(nodes: list, sets: list[np.ndarray], t: Fraction, labels: np.ndarray | None = None, own: np.ndarray | None = None, asks: np.ndarray | None = None, asking: np.ndarray | None = None) -> list[tuple]:
     """Links that connect what the links among these sets connect.
 
-    labels: what is known to be connected. Pairs with neither side in own, or neither in asks, are
-    left out; without these masks, all are looked at.
+    labels: what is known to be connected. Sets in asks are looked up among those in own. asking: sets
+    that are looked up here or elsewhere; of two such, the later one is. Without these masks, all are.
     """
     tree, out, every = CountTree(sets), [], np.ones(len(sets), dtype=bool)
     top = np.arange(len(sets)) if labels is None else labels.copy()
-    own, asks = every if own is None else own, every if asks is None else asks
+    own, asks, asking = (every if m is None else m for m in (own, asks, asking))
     for q in np.flatnonzero(asks):
-        other = top != top[q]
-        if not own[q]:
-            other &= own
-        other[q:] &= ~asks[q:]  # of two that ask, the later one does
+        other = own & (top != top[q])
+        other[q:] &= ~asking[q:]
         for k in tree.near(q, t, other):
             if top[k] != top[q] and linked(sets[q], sets[k], t):
                 out.append((nodes[q], nodes[k]))
@@ -186,6 +185,14 @@ def tree_links(nodes: list, sets: list[np.ndarray], t: Fraction, labels: np.ndar
     return out
 
 
+def _of_several(keys: DataFrame) -> DataFrame:
+    """keys (_key, k and more) that more than one document has, and _low, the least that has it. Keys
+    are combined before they are sent, and adaptive execution splits the join of one that very many
+    share."""
+    seen = keys.groupBy("k").agg(F.min("_key").alias("_low"), F.max("_key").alias("_high")).filter("_low < _high").select("k", "_low")
+    return cut(keys.join(seen, "k"))
+
+
 def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fraction(90, 100), text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, n_shingles and component_id, the smallest key reachable by links, of every row of docs.
 
@@ -206,6 +213,7 @@ def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fracti
                 keys = [[{"need": need, "keys": found.view(np.int64)} for found, need in class_keys(s, t)] if len(s) else [] for s in sets]
                 cols = [batch.column(0).slice(start, rows), pa.array([len(s) for s in sets], pa.int64()), pa.array(one), pa.array(two), pa.array(keys, kinds)]
                 yield pa.RecordBatch.from_arrays(cols, names=["_key", "n_shingles", "_d1", "_d2", "_keys"])
+        give_back()
 
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     base = cut(rows.mapInArrow(scan, f"_key {kind}, n_shingles bigint, _d1 bigint, _d2 bigint, _keys array<struct<need: int, keys: array<bigint>>>"))
@@ -216,14 +224,12 @@ def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fracti
     keys = single.select("_key", F.posexplode("_keys").alias("_c", "_of")).select("_key", "_c", "_of.need", F.explode("_of.keys").alias("k"))
     # what shares a key with another document; a document that shares fewer than its links would
     # share has none, and those left are looked at again without it
-    by_key, by_class = Window.partitionBy("k"), ["_key", "_c"]
-    several = (F.min("_key").over(by_key) < F.max("_key").over(by_key)).alias("_shared")
-    live = cut(keys.select("*", several).filter("_shared").drop("_shared"))
+    by_class = ["_key", "_c"]
+    live = _of_several(keys)
     for _ in range(LOOKS):
         enough = live.groupBy(*by_class).agg(F.count(F.lit(1)).alias("_n"), F.min("need").alias("_least")).filter("_n >= _least").select(*by_class)
-        live = cut(live.join(enough, by_class, "left_semi").select("*", several).filter("_shared").drop("_shared"))
-    lows = live.groupBy("k").agg(F.min("_key").alias("_low"))
-    shared = live.join(lows, "k").filter("_key <> _low").select(F.col("_key").alias("a"), F.col("_low").alias("b")).distinct()
+        live = _of_several(live.drop("_low").join(enough, by_class, "left_semi"))
+    shared = live.filter("_key <> _low").select(F.col("_key").alias("a"), F.col("_low").alias("b")).distinct()
     parts = cut(components(shared))
 
     sizes = parts.groupBy("component").agg(F.count(F.lit(1)).alias("_m"))
@@ -232,14 +238,15 @@ def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fracti
     members = cut(parts.join(sizes, "component").select(F.col("node").alias("_key"), "component", blocks.alias("_blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("_block"), pivot.alias("_pivot")))
 
     def compared(dealt: DataFrame) -> DataFrame:
-        """Links within each (component, _group) of _key, _label (an id, or null), _own, _asks, _text."""
+        """Links within each (component, _of, _group) of _key, _label (an id, or null), _own, _asks,
+        _asking, _text."""
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def done() -> pa.RecordBatch:
-                nodes, labels, own, asks, sets = zip(*part, strict=True)
+                nodes, labels, own, asks, asking, sets = zip(*part, strict=True)
                 known = {x: k for k, x in enumerate(dict.fromkeys(labels))}
                 tops = np.arange(len(nodes)) if labels[0] is None else np.array([known[x] for x in labels])
-                found = tree_links([*nodes], [*sets], t, tops, np.array(own), np.array(asks))
+                found = tree_links([*nodes], [*sets], t, tops, *map(np.array, (own, asks, asking)))
                 return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], kinds[0]) for k in (0, 1)], names=["a", "b"])
 
             part, at, kinds = [], None, []
@@ -248,16 +255,19 @@ def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fracti
                 for start, n in byte_slices(batch.column("_text")):
                     rows = batch.slice(start, n)
                     sets = shingle_sets(rows.column("_text"), width)
-                    for comp, group, *row in zip(*(rows.column(c).to_pylist() for c in ("component", "_group", "_key", "_label", "_own", "_asks")), sets, strict=True):
-                        if at != (comp, group):
+                    for *group, key, label, own, asks, asking, found in zip(*(rows.column(c).to_pylist() for c in (*by_group, "_key", "_label", "_own", "_asks", "_asking")), sets, strict=True):
+                        if at != group:
                             if len(part) > 1:
                                 yield done()
-                            part, at = [], (comp, group)
-                        part.append(row)
+                            part, at = [], group
+                        part.append((key, label, own, asks, asking, found))
             if len(part) > 1:
                 yield done()
+            part.clear()
+            give_back()
 
-        dealt = dealt.repartition("component", "_group").sortWithinPartitions("component", "_group", "_key")
+        by_group = ["component", "_of", "_group"]
+        dealt = dealt.repartition(*by_group).sortWithinPartitions(*by_group, "_key")
         return dealt.mapInArrow(work, f"a {kind}, b {kind}")
 
     # first each block by itself, with a few documents of its part that all its blocks have
@@ -265,19 +275,24 @@ def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fracti
     texts = rows.join(maybe_broadcast(members, members.count()), "_key")
     group = F.explode(F.when(F.col("_pivot"), everywhere).otherwise(F.array("_block"))).alias("_group")
     true = F.lit(True)
-    first = texts.select("_key", "component", group, F.lit(None).cast(kind).alias("_label"), true.alias("_own"), true.alias("_asks"), "_text")
+    first = texts.select("_key", "component", group, F.lit(0).alias("_of"), F.lit(None).cast(kind).alias("_label"), true.alias("_own"), true.alias("_asks"), true.alias("_asking"), "_text")
     found = cut(components(compared(first)))
 
-    # of parts that this leaves in several pieces, what is not of the largest meets all other blocks
+    # of parts that this leaves in several pieces, what is not of the largest meets all blocks
     named = members.filter("_blocks > 1").join(found.withColumnRenamed("component", "_label"), F.col("_key") == F.col("node"), "left")
     named = cut(named.select("_key", "component", "_blocks", "_block", F.coalesce("_label", "_key").alias("_label")))
-    pieces = named.groupBy("component", "_label").agg(F.count(F.lit(1)).alias("_n")).groupBy("component").agg(F.max_by("_label", F.struct("_n", "_label")).alias("_largest"), F.count(F.lit(1)).alias("_pieces")).filter("_pieces > 1")
-    left = cut(named.join(pieces, "component").select("_key", "component", F.least("_blocks", F.lit(BLOCKS)).alias("_blocks"), "_block", "_label", (F.col("_label") != F.col("_largest")).alias("_asks")))
+    by_piece = named.groupBy("component", "_label").agg(F.count(F.lit(1)).alias("_n"))
+    pieces = by_piece.groupBy("component").agg(F.max_by("_label", F.struct("_n", "_label")).alias("_largest"), (F.sum("_n") - F.max("_n")).alias("_rest")).filter("_rest > 0")
+    asking, askers = F.col("_label") != F.col("_largest"), F.ceil(F.col("_rest") / BLOCK).cast("int")
+    left = cut(named.join(pieces, "component").select("_key", "component", "_blocks", "_block", "_label", asking.alias("_asking"), askers.alias("_askers"), F.pmod(F.xxhash64("_key", F.lit(2)), askers).cast("int").alias("_asker")))
     links, n_left = found.select(F.col("node").alias("a"), F.col("component").alias("b")), left.count()
     if n_left:
-        group = F.explode(F.when(F.col("_asks"), everywhere).otherwise(F.array(F.pmod("_block", "_blocks")))).alias("_group")
-        second = rows.join(maybe_broadcast(left, n_left), "_key").select("_key", "component", group, "_label", F.pmod("_block", "_blocks").alias("_home"), "_asks", "_text")
-        links = links.unionByName(compared(second.withColumn("_own", F.col("_group") == F.col("_home")).drop("_home")))
+        # a document is one of its own block for each block of askers, and asks with its own one in every block
+        owned = F.transform(F.sequence(F.lit(0), F.col("_askers") - 1), lambda k: F.struct(k.alias("_of"), F.col("_block").alias("_group"), true.alias("_own"), (F.col("_asking") & (k == F.col("_asker"))).alias("_asks")))
+        asked = F.when(F.col("_asking"), F.transform(F.filter(everywhere, lambda k: k != F.col("_block")), lambda k: F.struct(F.col("_asker").alias("_of"), k.alias("_group"), F.lit(False).alias("_own"), true.alias("_asks"))))
+        dealt = F.explode(F.concat(owned, F.coalesce(asked, F.array().cast("array<struct<_of: int, _group: int, _own: boolean, _asks: boolean>>")))).alias("_at")
+        second = rows.join(maybe_broadcast(left, n_left), "_key").select("_key", "component", dealt, "_label", "_asking", "_text")
+        links = links.unionByName(compared(second.select("_key", "component", "_at.*", "_label", "_asking", "_text")))
     several = base.filter("n_shingles > 0 and _key is not null").select("_key", *same).distinct().groupBy("_key").count().filter("count > 1").select("_key")
     if several.take(1):  # rows of one document are linked through it
         links = links.unionByName(base.join(several, "_key", "left_semi").join(firsts, same).select(F.col("_key").alias("a"), F.col("_first").alias("b")))

@@ -371,6 +371,33 @@ def test_similar_groups(spark, docs, monkeypatch, width, t):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == _brute_groups(rows, width, t)
 
 
+def test_a_part_of_many_pieces_by_pairs_of_blocks(spark, docs, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 3)
+    monkeypatch.setattr(jaccard, "PIVOTS", 1)
+    monkeypatch.setattr(jaccard, "LOOKS", 0)
+    rng = random.Random(12)
+    base = [f"w{k}" for k in range(60)]
+    rows = []
+    for k in range(90):  # all share a good deal, few are near enough to link
+        w = [*base]
+        for i in rng.sample(range(60), rng.choice([1, 2, 4])):
+            w[i] = rng.choice("xyz")
+        rows.append((k, " ".join(w)))
+    t = Fraction(8, 10)
+    got = jaccard.similar_groups(docs(rows), 3, t).collect()
+    want = _brute_groups(rows, 3, t)
+    assert 5 < len({c for _, c in want.values()}) < 85
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+
+
+def test_components_with_hubs(spark, monkeypatch):
+    monkeypatch.setattr("siftloom.llm.components.HUB", 3)
+    star, path = [(50, k) for k in range(51, 90)], [(k, k + 1) for k in range(100, 120)]
+    links = spark.createDataFrame([*star, *path, (5, 51), (200, 200)], "a long, b long")
+    got = {r["node"]: r["component"] for r in components(links).collect()}
+    assert got == {5: 5, **{k: 5 for k in range(50, 90)}, **{k: 100 for k in range(100, 121)}}
+
+
 def test_similar_groups_of_odd_tables(spark, docs):
     assert jaccard.similar_groups(docs([])).count() == 0
     a, b = "one two three four", "five six seven eight"
