@@ -17,7 +17,7 @@ from .linededup import line_dedup
 from .lm import lm_scores
 from .mixing import mix
 from .packing import best_fit_packing
-from .quality import quality_rules
+from .quality import CUTS, quality_rules
 from .tokencount import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,7 +77,32 @@ def queries() -> dict[str, Query]:
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_BLANK = r"[\x20\x09-\x0D]"
+_CUTS = "[" + ", ".join(f"{c}::DOUBLE" for c in CUTS) + "]"
+_RULES = {"symbols": "n_symbols / greatest(word_chars, 1)", "dup_lines": "n_dup_lines / greatest(n_lines, 1)", "repeats": "n_repeat_words / greatest(n_words, 1)"}
+_MET = ", ".join(f"len(list_filter({_CUTS}, lambda c: c >= {m})) AS {r}" for r, m in _RULES.items())
+_EACH = f"unnest([{', '.join(f"'{r}'" for r in _RULES)}]) AS rule, unnest([{', '.join(_RULES)}]) AS k"
+
 _SQL = {
+    "op7_quality_rules": rf"""WITH w AS (SELECT doc_id, lang, coalesce(text, '') AS x, list_filter(regexp_split_to_array(coalesce(text, ''), '{_BLANK}+'), lambda t: t <> '') AS ws, list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls FROM documents),
+b AS (SELECT doc_id, lang, len(ws) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda t: length(t))), 0) AS BIGINT) AS word_chars, length(regexp_replace(x, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines FROM w),
+g AS (SELECT doc_id, i FROM (SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS five FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)) QUALIFY count(*) OVER (PARTITION BY doc_id, five) > 1),
+r AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM g) GROUP BY 1),
+m AS (SELECT b.*, coalesce(r.n, 0) AS n_repeat_words, n_words < 10 OR 100 * coalesce(r.n, 0) > 20 * n_words AS base_failed FROM b LEFT JOIN r USING (doc_id)),
+good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY 1 HAVING max(quality) = 1),
+lv AS (SELECT doc_id, lang AS s, substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) IN ('0', '4', '8', 'c') AS orders, {_MET} FROM m JOIN good USING (doc_id) WHERE NOT base_failed),
+sz AS (SELECT s, count(*) AS n FROM lv WHERE NOT orders GROUP BY 1 HAVING count(*) * ln(0.97) <= ln(0.05)),
+pk AS (SELECT s, k, sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln(0.03) + (n - k) * ln(0.97))) OVER (PARTITION BY s ORDER BY k) AS below FROM (SELECT s, n, unnest(range(0, n + 1)) AS k FROM sz)),
+bud AS (SELECT s, max(k) FILTER (WHERE below <= 0.05 / (SELECT count(*) FROM sz)) AS most FROM pk GROUP BY 1),
+c AS (SELECT s, rule, unnest(range(0, {len(CUTS)})) AS k FROM (SELECT s, unnest([{', '.join(f"'{r}'" for r in _RULES)}]) AS rule FROM bud)),
+o AS (SELECT s, rule, k, count(*) AS n FROM (SELECT s, {_EACH} FROM lv WHERE orders) GROUP BY ALL),
+l AS (SELECT c.s, c.rule, c.k, sum(coalesce(o.n, 0)) OVER (PARTITION BY c.s, c.rule ORDER BY c.k) AS lost FROM c LEFT JOIN o ON c.s IS NOT DISTINCT FROM o.s AND c.rule = o.rule AND c.k = o.k),
+p AS (SELECT s, rule, k, row_number() OVER (PARTITION BY s ORDER BY lost, k, rule) AS step FROM l),
+h AS (SELECT doc_id, s, {_EACH} FROM lv WHERE NOT orders),
+f AS (SELECT s, step, sum(count(*)) OVER (PARTITION BY s ORDER BY step) AS lost FROM (SELECT h.doc_id, h.s, min(p.step) AS step FROM h JOIN p ON h.s IS NOT DISTINCT FROM p.s AND h.rule = p.rule AND h.k = p.k GROUP BY 1, 2) GROUP BY 1, 2),
+e AS (SELECT b2.s, coalesce(min(f.step) FILTER (WHERE f.lost > b2.most), 1000) AS fail FROM bud b2 LEFT JOIN f ON b2.s IS NOT DISTINCT FROM f.s WHERE b2.most IS NOT NULL GROUP BY 1),
+t AS (SELECT p.s, {", ".join(f"min({_CUTS}[p.k + 1]) FILTER (WHERE rule = '{r}') AS {r}" for r in _RULES)} FROM p JOIN e ON p.s IS NOT DISTINCT FROM e.s WHERE p.step < e.fail GROUP BY 1)
+SELECT m.doc_id, m.lang, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({" OR ".join(f"coalesce({m} > t.{r}, false)" for r, m in _RULES.items())}) AS kept FROM m LEFT JOIN t ON m.lang IS NOT DISTINCT FROM t.s""",
     "op5_exact_dedup": f"""WITH n AS (SELECT doc_id, {_LOWER} AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256 FROM n WINDOW w AS (PARTITION BY t)""",
     "op8_chat_formatting": r"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

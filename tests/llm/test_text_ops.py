@@ -294,17 +294,38 @@ def test_measures(spark, docs):
 
 
 def test_upper_bound_is_exact():
+    import math
+
     assert quality.upper_bound(0, 100, 0.05) == pytest.approx(1 - 0.05 ** (1 / 100), abs=1e-9)
     assert quality.upper_bound(5, 5, 0.05) == 1.0
+    for n, k, p in ((7, 3, 0.2), (500, 9, 0.03), (500, 40, 0.03), (4000, 100, 0.03), (30, 0, 0.5)):
+        want = sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+        assert quality._at_most(k, n, p) == pytest.approx(want, rel=1e-9)
+    for n in (50, 98, 99, 144, 500, 5000, 10**8):
+        k = quality.most_allowed(n, 0.03, 0.05)
+        assert (k < 0) == (n < 99) and (k < 0 or quality.upper_bound(k, n, 0.05) <= 0.03 < quality.upper_bound(k + 1, n, 0.05))
 
 
-def test_cutoffs_keep_good_documents(spark, docs):
-    good, bad = "plain words of a good text that goes on and on here", "##### $$$$ #### %%%% #### &&&& #### **** #### <<<< ####"
-    rows = [(k, f"{bad if k % 4 == 0 else good} {k}", "en" if k % 2 else None) for k in range(2400)]
-    labels = spark.createDataFrame([(k, 0 if k % 4 == 0 else 1) for k in range(2400)] + [(1, None), (9_999, 1)], "doc_id long, quality int")
-    got = quality.quality_rules(docs(rows), labels).collect()
-    assert all(r["kept"] for r in got if r["doc_id"] % 4)
-    assert not any(r["kept"] for r in got if r["doc_id"] % 4 == 0)
+def test_each_rule_rejects_in_several_strata_within_the_limit(spark, docs):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    prose = lambda n: "\n".join(" ".join(word() for _ in range(12)) for _ in range(n))
+    kinds = {"symbols": lambda: prose(2) + " " + " ".join("#$%&" for _ in range(12)), "dup_lines": lambda: prose(7) + "\nmenu\nhome" * 4, "repeats": lambda: prose(8) + "\n" + "a b c d e " * 3}
+    rows, what = [], {}
+    for k in range(3000):
+        stratum, kind = rng.choice(["en", "de", None]), "good" if k % 4 else rng.choice([*kinds])
+        odd = kind == "good" and rng.random() < 0.005  # a few good documents look like bad ones
+        what[k] = kind, stratum
+        rows.append((k, kinds[rng.choice([*kinds])]() if odd else prose(8) if kind == "good" else kinds[kind](), stratum))
+    rows += [(5000 + k, "### ### " * 9, "rare") for k in range(50)]
+    labels = spark.createDataFrame([(k, int(kind == "good")) for k, (kind, _) in what.items()] + [(1, None), (9_999, 1)] + [(5000 + k, k % 2) for k in range(50)], "doc_id long, quality int")
+    got = {r["doc_id"]: r for r in quality.quality_rules(docs(rows).withColumnRenamed("source", "_n"), labels).collect()}
+    for stratum in ("en", "de", None):
+        of = lambda kind: [got[k]["kept"] for k, w in what.items() if w == (kind, stratum)]  # noqa: E731, B023
+        for kind in kinds:
+            assert np.mean(of(kind)) < 0.05, (kind, stratum)
+        assert np.mean(of("good")) >= 0.97
+    assert all(r["kept"] != r["base_failed"] for k, r in got.items() if k >= 5000)  # too few labels to show anything
     assert all(r["kept"] != r["base_failed"] for r in quality.quality_rules(docs(rows), labels.limit(0)).collect())
     assert quality.quality_rules(docs([]), labels).count() == 0
 
