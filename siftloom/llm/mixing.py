@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from .common import cut, word_count
 
-#: Bits of the hash that one level of the histogram tells apart, and the levels that may follow.
-BITS, LEVELS = 8, 8
+#: Bits of the hash that one level of the histogram tells apart, and the levels that make up the hash.
+BITS, LEVELS = 8, 7
 #: Sources that one mix may have: a list of them, with their sizes, is held by the driver.
 MOST_SOURCES = 10_000
 
@@ -40,12 +40,13 @@ def targets(sizes: dict[str | None, int], share: float = 1.5, weights: Sequence[
     return out
 
 
-def thresholds(docs: DataFrame, budgets: dict[str | None, float], near: float = 0.0005) -> dict[str | None, int]:
-    """The threshold of each source: its documents whose hash, read as unsigned, is below it have
-    as many words as the budget, to within the share near or half a document.
+def thresholds(docs: DataFrame, budgets: dict[str | None, float]) -> dict[str | None, int]:
+    """The threshold of each source: its documents whose hash is below it have as many words as the
+    budget, as nearly as the document at which the budget ends lets them.
 
     docs has _source, _hash and size. Each level sums it by source and bucket, after the first only
-    within the buckets in which a budget ends. The driver sees a row for each source and bucket.
+    within the buckets in which a budget ends, until there is one document in such a bucket, or
+    copies that share a hash. The driver sees a row for each source and bucket.
     """
     spark = docs.sparkSession
     out: dict[str | None, int] = {}
@@ -53,12 +54,12 @@ def thresholds(docs: DataFrame, budgets: dict[str | None, float], near: float =
     for level in range(LEVELS):
         if not ends:
             break
-        rest = 64 - BITS * (level + 1)
+        rest = BITS * (LEVELS - level - 1)
         looked = docs
         if level:
             at = spark.createDataFrame([(s, p) for s, (p, _) in ends.items()], "_s string, _p long")
-            looked = docs.join(F.broadcast(at), F.col("_source").eqNullSafe(F.col("_s")) & (F.shiftrightunsigned("_hash", rest + BITS) == F.col("_p")), "left_semi")
-        bucket = F.shiftrightunsigned("_hash", rest).bitwiseAND((1 << BITS) - 1)
+            looked = docs.join(F.broadcast(at), F.col("_source").eqNullSafe(F.col("_s")) & (F.shiftright("_hash", rest + BITS) == F.col("_p")), "left_semi")
+        bucket = F.shiftright("_hash", rest).bitwiseAND((1 << BITS) - 1)
         sums: dict[str | None, list[tuple[int, int, int]]] = {}
         for r in looked.groupBy("_source", bucket.alias("_b")).agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect():
             sums.setdefault(r["_source"], []).append((r["_b"], r["size"], r["n"]))
@@ -68,7 +69,7 @@ def thresholds(docs: DataFrame, budgets: dict[str | None, float], near: float =
                     left -= size
                     continue
                 here = (prefix << BITS) + b
-                if min(left, size - left) <= near * budgets[s] or n == 1 or level + 1 == LEVELS:
+                if n == 1 or level + 1 == LEVELS:
                     out[s] = (here + (2 * left >= size)) << rest
                 else:
                     ends[s] = here, left
@@ -80,7 +81,9 @@ def thresholds(docs: DataFrame, budgets: dict[str | None, float], near: float =
 
 
 def _hash(key: str, text: str) -> Column:
-    return F.xxhash64(F.col(key), F.coalesce(text, F.lit("")))
+    """The first bits of the MD5 of key and text, a number that is not negative."""
+    whole = F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit("\x1f"), F.coalesce(text, F.lit("")))
+    return F.conv(F.left(F.md5(whole.cast("binary")), F.lit(BITS * LEVELS // 4)), 16, 10).cast("long")
 
 
 def plan(docs: DataFrame, share: float = 1.5, weights: Sequence[float] = (5, 2, 1), most: float = 2.0, text: str = "text", key: str = "doc_id", source: str = "source") -> tuple[DataFrame, DataFrame]:
@@ -91,19 +94,17 @@ def plan(docs: DataFrame, share: float = 1.5, weights: Sequence[float] = (5, 2,
     if len(found) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
     sizes = {r["_source"]: r["size"] for r in found}
-    goal = targets(sizes, share, weights, most)
+    goal = {s: round(x, 6) for s, x in targets(sizes, share, weights, most).items()}
     whole = {s: min(int(goal[s] // n), int(most)) if n else 0 for s, n in sizes.items()}
     below = thresholds(base, {s: b for s, n in sizes.items() if (b := goal[s] - whole[s] * n) > 0.5})
-    rows = [(s, n, float(goal[s]), whole[s], below[s] - 2**63 if s in below and below[s] < 2**64 else None, below.get(s, 0) >= 2**64) for s, n in sizes.items()]
-    return base, docs.sparkSession.createDataFrame(rows, "_name string, source_size long, target double, _whole int, _below long, _all boolean")
+    rows = [(s, n, float(goal[s]), whole[s], below.get(s, 0)) for s, n in sizes.items()]
+    return base, docs.sparkSession.createDataFrame(rows, "_name string, source_size long, target double, _whole int, _below long")
 
 
 def _timed(rows: DataFrame, table: DataFrame) -> DataFrame:
     """rows (with _source and _hash) joined to their source, and _times, how often the mix takes each."""
     out = rows.join(F.broadcast(table), F.col("_source").eqNullSafe(F.col("_name")), "left")  # a row for each source, MOST_SOURCES at most
-    # the highest bit flipped, signed numbers are in the order of the unsigned ones
-    again = F.col("_all") | F.coalesce(F.col("_hash").bitwiseXOR(F.lit(-(2**63))) < F.col("_below"), F.lit(False))
-    return out.withColumn("_times", F.col("_whole") + again.cast("int"))
+    return out.withColumn("_times", F.col("_whole") + (F.col("_hash") < F.col("_below")).cast("int"))
 
 
 def mix(docs: DataFrame, share: float = 1.5, weights: Sequence[float] = (5, 2, 1), most: float = 2.0, text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:

@@ -84,6 +84,14 @@ _MET = ", ".join(f"len(list_filter({_CUTS}, lambda c: c >= {m})) AS {r}" for r,
 _EACH = f"unnest([{', '.join(f"'{r}'" for r in _RULES)}]) AS rule, unnest([{', '.join(_RULES)}]) AS k"
 
 _SQL = {
+    "op3_source_mixing": rf"""WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, left(md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), chr(31), coalesce(text, ''))), 14) AS h FROM documents),
+s AS (SELECT source, n, 2.0::DOUBLE * n AS most, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight FROM (SELECT source, CAST(sum(size) AS BIGINT) AS n FROM d GROUP BY 1)),
+f AS (SELECT *, most / weight AS full_at, (1.5 * (SELECT sum(n) FROM s) - coalesce(sum(most) OVER w, 0)) / ((SELECT sum(weight) FROM s) - coalesce(sum(weight) OVER w, 0)) AS rate FROM s WINDOW w AS (ORDER BY most / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, n, round(least(most, weight * (SELECT max(rate) FROM f WHERE rate <= full_at)), 6) AS target FROM f),
+b AS (SELECT *, CASE WHEN n = 0 THEN 0 ELSE least(2, CAST(floor(target / n) AS BIGINT)) END AS whole FROM t),
+v AS (SELECT source, h, sum(size) AS size, sum(sum(size)) OVER (PARTITION BY source ORDER BY h) AS upto FROM d GROUP BY 1, 2)
+SELECT d.doc_id, d.size, b.n AS source_size, b.target, CAST(d.size * (b.whole + CASE WHEN b.target - b.whole * b.n > 0.5 AND (v.upto <= b.target - b.whole * b.n OR (v.upto - v.size <= b.target - b.whole * b.n AND 2 * (b.target - b.whole * b.n - v.upto + v.size) >= v.size)) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source JOIN v ON d.source IS NOT DISTINCT FROM v.source AND d.h = v.h""",
     "op7_quality_rules": rf"""WITH w AS (SELECT doc_id, lang, coalesce(text, '') AS x, list_filter(regexp_split_to_array(coalesce(text, ''), '{_BLANK}+'), lambda t: t <> '') AS ws, list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls FROM documents),
 b AS (SELECT doc_id, lang, len(ws) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda t: length(t))), 0) AS BIGINT) AS word_chars, length(regexp_replace(x, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines FROM w),
 g AS (SELECT doc_id, i FROM (SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS five FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)) QUALIFY count(*) OVER (PARTITION BY doc_id, five) > 1),

@@ -144,7 +144,7 @@ def test_mix_comes_near_its_targets(spark, docs):
         assert r["size"] == len((rows[r["doc_id"]][1] or "").split()) and r["taken"] in (0, r["size"], 2 * r["size"])
         sums[r["source"]] += r["taken"]
         target[r["source"]] = r["target"]
-    assert all(abs(sums[s] - target[s]) <= 0.005 * target[s] + 30 for s in sums)
+    assert all(abs(sums[s] - target[s]) <= 15 for s in sums)  # half a document
     again = mixing.mix(docs(rows)).collect()
     assert {(r["doc_id"], r["taken"]) for r in got} == {(r["doc_id"], r["taken"]) for r in again}
     times = {r["doc_id"]: r["_times"] for r in mixing.mix_rows(docs(rows).withColumnRenamed("n_chars", "target")).collect()}
@@ -153,9 +153,9 @@ def test_mix_comes_near_its_targets(spark, docs):
 
 def test_larger_budgets_take_all_that_smaller_ones_do(spark, docs):
     rows = [(k, "a b c", "en", "s") for k in range(500)]
-    base = docs(rows).select(F.col("source").alias("_source"), F.xxhash64("doc_id").alias("_hash"), F.lit(3).cast("bigint").alias("size"))
+    base = docs(rows).select(F.col("source").alias("_source"), F.shiftrightunsigned(F.xxhash64("doc_id"), 8).alias("_hash"), F.lit(3).cast("bigint").alias("size"))
     small, large = (mixing.thresholds(base, {"s": b})["s"] for b in (300.0, 900.0))
-    assert 0 < small < large < 2**64
+    assert 0 < small < large < 2**56
 
 
 def test_mix_of_odd_tables(spark, docs):
