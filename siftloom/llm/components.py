@@ -14,16 +14,19 @@ HUB, HUBS = 1_000, 100_000
 
 
 def _to_least(edges: DataFrame, n: int) -> DataFrame:
-    """edges (a, b) with _m, the least of a's neighbours and a itself.
+    """edges (a, b), n of them, with _m, the least of a's neighbours and a itself.
 
     Hubs, of which there are few, are joined by a broadcast, so that the links of one are not sent to
     one task; groups combine before they are sent.
     """
     most = max(HUB, n // HUBS)
-    least = edges.groupBy("a").agg(F.min("b").alias("_m"), F.count(F.lit(1)).alias("_d")).select("a", F.least("a", "_m").alias("_m"), (F.col("_d") > most).alias("_hub"))
-    hubs = F.broadcast(least.filter("_hub").select("a", "_m"))  # HUBS * 2 rows at most
-    rest = edges.join(hubs.select("a"), "a", "left_anti").join(least.filter("not _hub").select("a", "_m"), "a")
-    return edges.join(hubs, "a").unionByName(rest)
+    least = cut(edges.groupBy("a").agg(F.min("b").alias("_m"), F.count(F.lit(1)).alias("_d")).select("a", F.least("a", "_m").alias("_m"), (F.col("_d") > most).alias("_hub")))
+    if not least.filter("_hub").take(1):
+        return edges.join(least.select("a", "_m"), "a")
+    hubs = F.broadcast(least.filter("_hub").select("a", F.col("_m").alias("_h")))  # HUBS * 2 rows at most
+    told = cut(edges.join(hubs, "a", "left"))
+    rest = told.filter("_h is null").drop("_h").join(least.filter("not _hub").select("a", "_m"), "a")
+    return told.filter("_h is not null").withColumnRenamed("_h", "_m").unionByName(rest)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -39,8 +42,8 @@ def components(links: DataFrame) -> DataFrame:
     n = edges.count()
     while n:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _to_least(both, 2 * n).filter("b > a").select(F.col("b").alias("a"), F.col("_m").alias("b")).distinct()
-        small = _to_least(large, 2 * n)
+        large = cut(_to_least(both, 2 * n).filter("b > a").select(F.col("b").alias("a"), F.col("_m").alias("b")).distinct())
+        small = _to_least(large, n)
         edges = small.select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("_m").alias("b")), F.struct("a", F.col("_m").alias("b")))).alias("e")).select("e.*").filter("a <> b").distinct()
         edges = cut(edges)
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_slices, cut, schema_and
+from .common import byte_slices, cut, give_back, schema_and
 
 #: Buckets that n-grams of one to three characters are hashed to.
 BITS = 15
@@ -158,6 +158,7 @@ def _frequencies(train: DataFrame) -> DataFrame:
                     if text and (counts := features(text)) is not None:
                         df += counts > 0
         at = np.flatnonzero(df)
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], names=["bucket", "df"])
 
     return train.select("_text").mapInArrow(work, "bucket long, df long").groupBy("bucket").agg(F.sum("df").alias("df"))
@@ -226,18 +227,20 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", train: Column |
     model = Model(langs, np.log((1 + total) / (1 + df)) + 1, np.zeros((1 << BITS, len(langs)), dtype=np.float32), np.zeros(len(langs)))
     if not langs:
         return model
-    found = _vectors(picked).collect()
+    found = [(r["_held"], r["_lang"], bytes(r["at"]), bytes(r["tf"])) for r in _vectors(picked).collect()]
     code = {x: k for k, x in enumerate(langs)}
-    seen = sorted(((r["_held"], r["_lang"], bytes(r["at"]), bytes(r["tf"])) for r in found), key=lambda r: (r[0], r[1], len(r[2]), r[2], r[3]))
+    found.sort(key=lambda r: (r[0], r[1], len(r[2]), r[2], r[3]))
     sets: dict[bool, tuple[list, list]] = {True: ([], []), False: ([], [])}
-    for held, name, at, tf in seen:
+    for held, name, at, tf in found:
         buckets = np.frombuffer(at, dtype="<i4")
         values = np.log1p(np.frombuffer(tf, dtype="<i4")) * model.idf[buckets]
-        sets[held][0].append((buckets, values / np.sqrt((values**2).sum())))
+        sets[held][0].append((buckets, (values / np.sqrt((values**2).sum())).astype(np.float32)))
         sets[held][1].append(code[name])
     ftrl(*_pair(sets[False] if sets[False][0] else sets[True]), model)
     vectors, labels = _pair(sets[True])
     model.temperature = calibrate(np.array([model.scores(*v) for v in vectors]), labels)
+    del found, sets, vectors
+    give_back()
     return model
 
 
