@@ -24,7 +24,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import byte_slices, cut, give_back, maybe_broadcast, words_of
@@ -37,6 +37,8 @@ FANOUT = 16
 #: Documents of a block, about, and documents that all blocks of a part have, about. A task holds the
 #: sets of two blocks at once.
 BLOCK, PIVOTS = 96, 4
+#: Documents of a sixteenth of all from which on a key that they share is combined before it is sent.
+HOT = 128
 #: How often documents that share too few keys are left out.
 LOOKS = 2
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -190,7 +192,23 @@ def _of_several(keys: DataFrame) -> DataFrame:
     are combined before they are sent, and adaptive execution splits the join of one that very many
     share."""
     seen = keys.groupBy("k").agg(F.min("_key").alias("_low"), F.max("_key").alias("_high")).filter("_low < _high").select("k", "_low")
-    return cut(keys.join(seen, "k"))
+    return keys.join(seen, "k")
+
+
+def _of_several_at_first(keys: DataFrame) -> DataFrame:
+    """_of_several(keys) of a table in which most keys are of one document, with each key sent once.
+
+    Keys that very many share, as those of a sixteenth of the documents tell, are combined; the
+    others meet by a window. Which way a key goes does not bear on the result.
+    """
+    some = keys.filter(F.pmod(F.xxhash64("_key", F.lit(3)), F.lit(16)) == 0)
+    hot = cut(some.groupBy("k").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= HOT).select("k"))
+    by_key, n_hot = Window.partitionBy("k"), hot.count()
+    cold = keys.join(maybe_broadcast(hot, n_hot), "k", "left_anti") if n_hot else keys
+    cold = cold.select("*", F.min("_key").over(by_key).alias("_low"), F.max("_key").over(by_key).alias("_high")).filter("_low < _high").drop("_high")
+    if not n_hot:
+        return cold
+    return cold.unionByName(_of_several(keys.join(maybe_broadcast(hot, n_hot), "k", "left_semi")).select(*cold.columns))
 
 
 def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fraction(90, 100), text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -225,10 +243,10 @@ def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fracti
     # what shares a key with another document; a document that shares fewer than its links would
     # share has none, and those left are looked at again without it
     by_class = ["_key", "_c"]
-    live = _of_several(keys)
+    live = cut(_of_several_at_first(keys))
     for _ in range(LOOKS):
         enough = live.groupBy(*by_class).agg(F.count(F.lit(1)).alias("_n"), F.min("need").alias("_least")).filter("_n >= _least").select(*by_class)
-        live = _of_several(live.drop("_low").join(enough, by_class, "left_semi"))
+        live = cut(_of_several(live.drop("_low").join(enough, by_class, "left_semi")))
     shared = live.filter("_key <> _low").select(F.col("_key").alias("a"), F.col("_low").alias("b")).distinct()
     parts = cut(components(shared))
 
