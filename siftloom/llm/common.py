@@ -133,10 +133,10 @@ def give_back() -> None:
 
 
 class Recent(dict):
-    """What was worked out for short texts lately, in two tables of some bytes each: when the newer
+    """What was worked out for short texts lately, in two tables of so many bytes each: when the newer
     one is full the older one goes, and what is asked for again moves to the newer one."""
 
-    def __init__(self, make: Callable[[str], bytes | int], most: int = 12 << 20) -> None:
+    def __init__(self, make: Callable[[str], bytes | int], most: int = 96 << 20) -> None:
         self.make, self.most, self.held, self.old = make, most, 0, {}
 
     def __missing__(self, text: str) -> bytes | int:

@@ -57,7 +57,7 @@ class _Ids:
         self.split = regex.compile(rule).findall
         self.special = [x["content"] for x in settings["added_tokens"]]
         self.model = self.tokenizer.model
-        self.words, self.parts = Recent(self.word), Recent(self.part)
+        self.words, self.parts = Recent(self.word), Recent(self.part, 48 << 20)
 
     def word(self, text: str) -> bytes:
         if PLAIN.fullmatch(text) and not any(x in text for x in self.special):

@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from .common import Recent, byte_slices, give_back, schema_and
 
 SPACE = "▁"
-#: Entries of a worker's tables of prefixes and of pairs of pieces, some 25 MB each; a full table starts
+#: Entries of a task's tables of prefixes and of pairs of pieces, some 150 and 60 MB; a full table starts
 #: anew, which costs time but changes no count.
-PREFIXES, PAIRS = 90_000, 120_000
+PREFIXES, PAIRS = 700_000, 400_000
 
 
 class PrefixCounter:
