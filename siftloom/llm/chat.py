@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_arrow
 from .tokencount import model_path
 
 #: role -> the markers before and after its text; any other role is named before a user's markers.
@@ -117,7 +118,7 @@ def chat_format(conversations: DataFrame, tokenizer: str = "byte_bpe_50k.json",
     ints = pa.list_(pa.int32())
     kinds = [pa.string(), ints, ints, ints, pa.list_(pa.bool_()), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))]
     names = ["formatted", "ids", "starts", "ends", "loss", "spans"]
-    return rows.mapInArrow(work, schema)
+    return in_arrow(rows, work, schema)
 
 
 def read_back(formatted: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -149,4 +150,4 @@ def read_back(formatted: DataFrame, key: str = "conv_id") -> DataFrame:
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, out, kinds)], names=[key, "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
-    return formatted.select(key, "formatted", "starts", "ends", "loss", "spans").mapInArrow(work, schema)
+    return in_arrow(formatted.select(key, "formatted", "starts", "ends", "loss", "spans"), work, schema)

@@ -111,6 +111,18 @@ def crc_mod(c: Column, n: int) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % n
 
 
+#: The most bytes of a batch that goes to a Python worker, unless the session sets its own; and Spark's default.
+BATCH, DEFAULT_BATCH = "4194304b", "67108864b"
+
+
+def in_arrow(df: DataFrame, work, schema) -> DataFrame:
+    """df.mapInArrow, in batches of a few MB: both the executor and its worker hold one at a time."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(name) == DEFAULT_BATCH:
+        conf.set(name, BATCH)
+    return df.mapInArrow(work, schema)
+
+
 def byte_slices(column, most: int = 2 << 20):
     """(start, rows) of consecutive slices of an Arrow string column, each of one row or at most
     most bytes. What Arrow held for the slice before is given back to the system."""

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_slices, cut, give_back, maybe_broadcast, words_of
+from .common import byte_slices, cut, give_back, in_arrow, maybe_broadcast, words_of
 from .components import components
 
 #: Groups that count vectors have.
@@ -234,7 +234,7 @@ def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fracti
         give_back()
 
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    base = cut(rows.mapInArrow(scan, f"_key {kind}, n_shingles bigint, _d1 bigint, _d2 bigint, _keys array<struct<need: int, keys: array<bigint>>>"))
+    base = cut(in_arrow(rows, scan, f"_key {kind}, n_shingles bigint, _d1 bigint, _d2 bigint, _keys array<struct<need: int, keys: array<bigint>>>"))
 
     same = ["_d1", "_d2", "n_shingles"]
     firsts = cut(base.filter("n_shingles > 0 and _key is not null").groupBy(*same).agg(F.min("_key").alias("_first")))
@@ -286,7 +286,7 @@ def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fracti
 
         by_group = ["component", "_of", "_group"]
         dealt = dealt.repartition(*by_group).sortWithinPartitions(*by_group, "_key")
-        return dealt.mapInArrow(work, f"a {kind}, b {kind}")
+        return in_arrow(dealt, work, f"a {kind}, b {kind}")
 
     # first each block by itself, with a few documents of its part that all its blocks have
     everywhere = F.sequence(F.lit(0), F.col("_blocks") - 1)

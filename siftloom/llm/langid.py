@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_slices, cut, give_back, schema_and
+from .common import byte_slices, cut, give_back, in_arrow, schema_and
 
 #: Buckets that n-grams of one to three characters are hashed to.
 BITS = 15
@@ -161,7 +161,7 @@ def _frequencies(train: DataFrame) -> DataFrame:
         give_back()
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], names=["bucket", "df"])
 
-    return train.select("_text").mapInArrow(work, "bucket long, df long").groupBy("bucket").agg(F.sum("df").alias("df"))
+    return in_arrow(train.select("_text"), work, "bucket long, df long").groupBy("bucket").agg(F.sum("df").alias("df"))
 
 
 def _vectors(sample: DataFrame) -> DataFrame:
@@ -182,7 +182,7 @@ def _vectors(sample: DataFrame) -> DataFrame:
                         tf.append(np.minimum(counts[found], 2**31 - 1).astype("<i4").tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(held, pa.bool_()), pa.array(at, pa.binary()), pa.array(tf, pa.binary())], names=["_lang", "_held", "at", "tf"])
 
-    return sample.select("_lang", "_held", "_text").mapInArrow(work, "_lang string, _held boolean, at binary, tf binary")
+    return in_arrow(sample.select("_lang", "_held", "_text"), work, "_lang string, _held boolean, at binary, tf binary")
 
 
 def _sample(rows: DataFrame, most: int) -> tuple[DataFrame, list]:
@@ -270,4 +270,4 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*kept, "lang_pred", "score"])
 
     frame = docs.select(*kept)
-    return frame.mapInArrow(work, schema_and(frame, lang_pred="string", score="double"))
+    return in_arrow(frame, work, schema_and(frame, lang_pred="string", score="double"))

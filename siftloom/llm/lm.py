@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, cut, words_of
+from .common import byte_slices, cut, in_arrow, words_of
 
 #: Outputs: single words, classes of the other words, and the end.
 WORDS, CLASSES = 191, 64
@@ -59,7 +59,7 @@ def count_words(train: DataFrame) -> DataFrame:
                 words = pa.concat_arrays([found.field(0), pa.array([""])])
                 yield pa.RecordBatch.from_arrays([words, pa.concat_arrays([found.field(1).cast(pa.int64()), pa.array([rows], pa.int64())])], names=["word", "c"])
 
-    return train.select("_text").mapInArrow(work, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return in_arrow(train.select("_text"), work, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def class_of(word: Column) -> Column:
@@ -223,7 +223,7 @@ def train_model(train: DataFrame, counts: Counts) -> LogBilinear:
             flat = own.flat().astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * seen), pa.array(np.full(len(flat), float(seen)))], names=["i", "x", "w"])
 
-    found = train.select("_text").mapInArrow(work, "i long, x double, w double").groupBy("i").agg((F.sum("x") / F.sum("w")).alias("x")).collect()
+    found = in_arrow(train.select("_text"), work, "i long, x double, w double").groupBy("i").agg((F.sum("x") / F.sum("w")).alias("x")).collect()
     if found:
         flat = np.zeros(len(found))
         for r in found:
@@ -283,7 +283,7 @@ def lm_scores(docs: DataFrame, train: Column, text: str = "text", key: str = "do
 
     names = ["_row", "word", "_n", "_key", "_held", "n_tokens", "n_known", "base_score", "score"]
     kind = frame.schema["_key"].dataType.simpleString()
-    rows = frame.mapInArrow(work, f"_row long, word string, _n long, _key {kind}, _held boolean, n_tokens long, n_known long, base_score double, score double")
+    rows = in_arrow(frame, work, f"_row long, word string, _n long, _key {kind}, _held boolean, n_tokens long, n_known long, base_score double, score double")
     found = rows.join(counts.words, "word", "left")
     log = F.col("_n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)
     sums = found.groupBy("_row").agg(*(F.max(c).alias(c) for c in ("_key", "_held", "n_tokens", "n_known", "base_score", "score")), F.sum(log).alias("_log"), F.sum(F.when(F.col("c") > 0, F.col("_n")).otherwise(0)).alias("_more"))

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Recent, byte_slices, cut, give_back, schema_and
+from .common import Recent, byte_slices, cut, give_back, in_arrow, schema_and
 from .tokencount import model_path
 
 PIECES = ("piece int", "start bigint", "length bigint", "ids_crc32 bigint")
@@ -49,13 +49,13 @@ class _Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        settings = json.loads(self.tokenizer.to_str())
-        rule = next(x["pattern"]["Regex"] for x in settings["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
-        kinds = [x["type"] for x in settings["normalizer"]["normalizers"]]
+        splits, normal = (json.loads(x.__getstate__()) for x in (self.tokenizer.pre_tokenizer, self.tokenizer.normalizer))
+        rule = next(x["pattern"]["Regex"] for x in splits["pretokenizers"] if x["type"] == "Split")
+        kinds = [x["type"] for x in normal["normalizers"]]
         if kinds != ["NFC", "Replace", "Lowercase"]:
             raise ValueError(f"words of a tokenizer that normalises by {kinds} can't be told apart")
         self.split = regex.compile(rule).findall
-        self.special = [x["content"] for x in settings["added_tokens"]]
+        self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.words, self.parts = Recent(self.word), Recent(self.part, 48 << 20)
 
@@ -125,7 +125,7 @@ def token_pieces(docs: DataFrame, capacity: int, tokenizer: str = "word_bpe_49k.
 
     frame = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     schema = ", ".join((f"_key {frame.schema['_key'].dataType.simpleString()}", *PIECES))
-    return frame.mapInArrow(work, schema).withColumnRenamed("_key", key)
+    return in_arrow(frame, work, schema).withColumnRenamed("_key", key)
 
 
 class _Pool:

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Recent, byte_slices, give_back, schema_and
+from .common import Recent, byte_slices, give_back, in_arrow, schema_and
 
 SPACE = "▁"
 #: Entries of a task's tables of prefixes and of pairs of pieces, some 150 and 60 MB; a full table starts
@@ -311,7 +311,7 @@ def token_counts(docs: DataFrame, model: str = "piece_bpe_32k.model", limit: int
         finally:
             table.forget()
 
-    out = docs.select(*kept, F.col(text).alias("_text")).mapInArrow(work, schema)
+    out = in_arrow(docs.select(*kept, F.col(text).alias("_text")), work, schema)
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
@@ -334,7 +334,7 @@ def prefix_counts(docs: DataFrame, model: str = "piece_bpe_32k.model", text: str
 
     names = [c for c in docs.columns if c not in (text, "prefix_tokens")] + [text]
     frame = docs.select(*names)
-    return frame.mapInArrow(work, schema_and(frame, prefix_tokens="array<int>"))
+    return in_arrow(frame, work, schema_and(frame, prefix_tokens="array<int>"))
 
 
 def truncate(docs: DataFrame, budget: int, model: str = "piece_bpe_32k.model", text: str = "text") -> DataFrame:
@@ -353,4 +353,4 @@ def truncate(docs: DataFrame, budget: int, model: str = "piece_bpe_32k.model", t
 
     names = [c for c in docs.columns if c != text] + [text]
     frame = docs.select(*names)
-    return frame.mapInArrow(work, frame.schema).select(*docs.columns)
+    return in_arrow(frame, work, frame.schema).select(*docs.columns)
