@@ -26,6 +26,8 @@ from .common import Recent, byte_slices, cut, give_back, in_arrow, schema_and
 from .tokencount import model_path
 
 PIECES = ("piece int", "start bigint", "length bigint", "ids_crc32 bigint")
+#: MB of the words that a task keeps with their ids.
+TABLE_MB = 96
 #: Pieces of a packing group, about.
 GROUP = 2_500
 
@@ -57,7 +59,7 @@ class _Ids:
         self.split = regex.compile(rule).findall
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
-        self.words, self.parts = Recent(self.word), Recent(self.part, 48 << 20)
+        self.words, self.parts = Recent(self.word), Recent(self.part)
 
     def word(self, text: str) -> bytes:
         if PLAIN.fullmatch(text) and not any(x in text for x in self.special):
@@ -83,6 +85,10 @@ class _Ids:
         shown = text if text.isascii() else "".join(map(BYTE_CHARS.__getitem__, text.encode()))
         return b"".join(x.id.to_bytes(4, "little") for x in self.model.tokenize(shown))
 
+    def room(self, mb: int) -> None:
+        """Keep about so many MB of words, twice, and of their parts half of that or 24 MB."""
+        self.words.most, self.parts.most = mb << 20, max(24, mb // 2) << 20
+
     def forget(self) -> None:
         """Let go of what was kept for a task, as the worker outlives it."""
         self.words.forget()
@@ -95,7 +101,7 @@ def _ids(path: str) -> _Ids:
     return _Ids(path)
 
 
-def token_pieces(docs: DataFrame, capacity: int, tokenizer: str = "word_bpe_49k.json", end_id: int = 0, text: str = "text", key: str = "doc_id") -> DataFrame:
+def token_pieces(docs: DataFrame, capacity: int, tokenizer: str = "word_bpe_49k.json", end_id: int = 0, text: str = "text", key: str = "doc_id", table_mb: int = TABLE_MB) -> DataFrame:
     """One row per piece: key, piece, start, length, ids_crc32.
 
     A document is its text's ids and end_id; the tokenizer drops white space, so a text's ids are
@@ -107,6 +113,7 @@ def token_pieces(docs: DataFrame, capacity: int, tokenizer: str = "word_bpe_49k.
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, end = _ids(model_path(tokenizer)), np.array([end_id], dtype="<u4").tobytes()
+        table.room(table_mb)
         try:
             for batch in batches:
                 for k, n in byte_slices(batch.column(1)):
@@ -223,10 +230,11 @@ def pack(pieces: DataFrame, capacity: int, key: str = "doc_id") -> DataFrame:
     return dealt.groupBy("_group").applyInPandas(work, schema)
 
 
-def best_fit_packing(docs: DataFrame, capacity: int = 2048, tokenizer: str = "word_bpe_49k.json", end_id: int = 0, text: str = "text", key: str = "doc_id") -> DataFrame:
+def best_fit_packing(docs: DataFrame, capacity: int = 2048, tokenizer: str = "word_bpe_49k.json", end_id: int = 0, text: str = "text", key: str = "doc_id", table_mb: int = TABLE_MB) -> DataFrame:
     """Pack all documents into sequences of at most capacity tokens.
 
     Returns a row per piece: key, piece, start, length, ids_crc32, sequence_id, offset. A sequence
-    is gapless from offset 0. Repeated rows are packed each; null keys are kept as null.
+    is gapless from offset 0. Repeated rows are packed each; null keys are kept as null. table_mb: what
+    a task may keep of words that it has met, which bears on time and memory alone.
     """
-    return pack(token_pieces(docs, capacity, tokenizer, end_id, text, key), capacity, key)
+    return pack(token_pieces(docs, capacity, tokenizer, end_id, text, key, table_mb), capacity, key)
