@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from ..functions.cigar import blocks, operations, reference_length
 from ..functions.locus import count_function, gene_counts, gene_function, label, touches_exon
 from ..functions.reads import negative_strand
-from ..schemas import INTERGENIC, READ_ID, UTR
+from ..schemas import CODING, INTERGENIC, INTRONIC, READ_ID, UTR
 from .overlap import overlap_join
 
+#: All functions that a gene may have for a read.
+FUNCTIONS = (INTERGENIC, INTRONIC, UTR, CODING)
 #: Reads of at least this mapping quality are confident, for the metrics of rule 2.
 CONFIDENT = 255
 
@@ -28,14 +30,15 @@ def with_places(reads: DataFrame) -> DataFrame:
     return out.withColumns({"stop": F.col("pos") + reference_length(F.col("_ops")), "blocks": blocks(F.col("_ops"), F.col("begin"))}).drop("_ops")
 
 
-def gene_rows(reads: DataFrame, genes: DataFrame, mode: int, broadcast: bool | None = None) -> DataFrame:
+def gene_rows(reads: DataFrame, genes: DataFrame, mode: int, broadcast: bool | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """READ_ID with, for each overlapping gene, g_ord, g_start, gene, g_neg, f (its function), same
-    (strand), exon, intron (bases, rule 2) and hits (which blocks meet an exon, rules 0 and 1)."""
+    (strand), exon, intron (bases, rule 2) and hits (which blocks meet an exon, rules 0 and 1); and the
+    columns of reads to keep."""
     g = genes.select("contig", F.col("gene_ord").alias("g_ord"), F.col("gene_name").alias("gene"), F.col("start").alias("g_start"), F.col("end").alias("g_end"), F.col("neg_strand").alias("g_neg"), "transcripts")
-    r = with_places(reads.select(*READ_ID, "contig", "pos", "cigar", "flag"))
+    r = with_places(reads.select(*READ_ID, "contig", "pos", "cigar", "flag", *keep))
     pairs = overlap_join(r, g, broadcast=broadcast)
     same = F.col("g_neg") == negative_strand(F.col("flag"))
-    base = [*READ_ID, "g_ord", "g_start", "gene", "g_neg", same.alias("same")]
+    base = [*READ_ID, *keep, "g_ord", "g_start", "gene", "g_neg", same.alias("same")]
     if mode == 2:
         length = F.aggregate("blocks", F.lit(0), lambda n, b: n + b["len"])
         pairs = pairs.withColumns({"_c": gene_counts(F.col("blocks"), F.col("transcripts")), "_len": length})
@@ -51,11 +54,13 @@ def _strand(neg: Column) -> Column:
 def rule2(rows: DataFrame) -> DataFrame:
     """The gene with the highest function if only one has it, else of all genes the one with the most
     exon, then intron bases, then the first. No gene is given where the pick is intergenic."""
-    one = F.struct("f", "exon", "intron", (-F.col("g_start")).alias("s"), (-F.col("g_ord")).alias("o"), "gene", "g_neg", "same")
-    gathered = rows.groupBy(*READ_ID).agg(F.collect_list(one).alias("g"), F.max("f").alias("top"))
-    tops = F.filter("g", lambda x: x["f"] == F.col("top"))
-    most = F.array_max(F.transform("g", lambda x: F.struct(x["exon"].alias("exon"), x["intron"].alias("intron"), x["s"].alias("s"), x["o"].alias("o"), x["f"].alias("f"), x["gene"].alias("gene"), x["g_neg"].alias("g_neg"), x["same"].alias("same"))))
-    picked = gathered.withColumns({"_one": F.size(tops) == 1, "_t": F.get(tops, 0), "_m": most})
+    told = ["gene", "g_neg", "same"]
+    most = F.struct("exon", "intron", (-F.col("g_start")).alias("s"), (-F.col("g_ord")).alias("o"), "f", *told)
+    many = [F.count_if(F.col("f") == f).alias(f"_n{f}") for f in FUNCTIONS]
+    # aggregates alone, which combine before they are sent and hold no list
+    picked = rows.groupBy(*READ_ID).agg(F.max(F.struct("f", *told)).alias("_t"), F.max(most).alias("_m"), *many)
+    n_top = F.coalesce(*(F.when(F.col("_t.f") == f, F.col(f"_n{f}")) for f in FUNCTIONS))
+    picked = picked.withColumn("_one", n_top == 1)
     pick = lambda c: F.when(F.col("_one"), F.col(f"_t.{c}")).otherwise(F.col(f"_m.{c}"))
     out = picked.select(*READ_ID, pick("f").alias("f"), pick("gene").alias("gene"), pick("g_neg").alias("g_neg"), pick("same").alias("same"))
     given = F.col("f") > INTERGENIC

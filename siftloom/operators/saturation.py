@@ -19,8 +19,8 @@ BIN_SIDE = 150
 
 
 def exploded(counts: DataFrame) -> DataFrame:
-    """barcode, gene, umi, once for each read of counts (with cnt)."""
-    return counts.filter("cnt > 0").withColumn("_k", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("cnt").cast("bigint")))).drop("_k", "cnt")
+    """barcode, gene, umi, once for each read of counts (with cnt), and _k, from 1."""
+    return counts.filter("cnt > 0").withColumn("_k", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("cnt").cast("bigint")))).drop("cnt")
 
 
 def spatial_bin(barcode: Column) -> Column:
@@ -46,12 +46,6 @@ def levels(ordered: DataFrame, total: Column | None = None) -> DataFrame:
     return ordered.crossJoin(F.broadcast(n)).withColumn("_l", F.explode(each)).withColumn("sample", F.col("_l.s")).drop("_l", "_all", "_rn")  # one row
 
 
-def upper_median(values: Column) -> Column:
-    """The middle of the values in order, of two the upper."""
-    v = F.sort_array(values)
-    return F.get(v, F.floor(F.size(v) / 2).cast("int"))
-
-
 def curve(sampled: DataFrame, unit: str, x: str = "x", y1: str = "y1", y2: str = "y2") -> DataFrame:
     """By sample: reads per unit (barcode or bin), the share of repeated reads among those with a gene,
     and the median number of genes of a unit."""
@@ -70,8 +64,11 @@ def curve(sampled: DataFrame, unit: str, x: str = "x", y1: str = "y1", y2: str =
 
 
 def saturation(counts: DataFrame, coordinates: bool, order: Column | None = None, seed: int = 1) -> DataFrame:
-    """bar_x, bar_y1, bar_y2 by sample, and bin_x, bin_y1, bin_y2 if barcodes have coordinates."""
-    sampled = levels(ranked(exploded(counts), (F.rand(seed) * 2**62).cast("bigint") if order is None else order))
+    """bar_x, bar_y1, bar_y2 by sample, and bin_x, bin_y1, bin_y2 if barcodes have coordinates. Without
+    an order, reads go by a hash of what they are, so that a task that runs again agrees."""
+    reads = exploded(counts)
+    drawn = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "barcode", "gene", "umi", "_k"), 2)
+    sampled = levels(ranked(reads, drawn if order is None else order))
     out = curve(sampled, "barcode", "bar_x", "bar_y1", "bar_y2")
     if coordinates:
         binned = sampled.withColumn("bin", spatial_bin(F.col("barcode")))

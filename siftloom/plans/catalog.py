@@ -11,6 +11,7 @@ from ..functions import cigar, locus
 from ..functions import reads as names
 from ..operators import assign, dedup, density, filters, genemodel, matrix, metrics, overlap, saturation
 from ..operators import expression as counts
+from ..session import settled
 from ..sources import annotation
 from . import views
 from .views import GENES_SQL, LINES_SQL, READS_SQL, identifiers_sql
@@ -161,12 +162,12 @@ def gtf_attrs(spark, sf_dir):
 _GFF = "CASE event_id % 7 WHEN 0 THEN 'region' WHEN 1 THEN 'gene' WHEN 2 THEN 'mRNA' WHEN 4 THEN 'CDS' ELSE 'exon' END"
 
 
-@query(f"""WITH l AS (SELECT event_id AS line_no, {_GFF} AS feature FROM events WHERE event_id < 5000),
+@query(f"""WITH l AS (SELECT event_id AS line_no, {_GFF} AS feature FROM events),
 g AS (SELECT *, sum(CASE WHEN feature = 'region' THEN 1 ELSE 0 END) OVER (ORDER BY line_no) AS region FROM l),
 f AS (SELECT *, max(CASE WHEN feature = 'gene' THEN line_no END) OVER w AS gene_at, max(CASE WHEN feature = 'mRNA' THEN line_no END) OVER w AS tx_at FROM g WINDOW w AS (PARTITION BY region ORDER BY line_no))
 SELECT line_no, feature, concat('g', gene_at) AS gene_id, concat('N', gene_at % 50) AS gene_name, CASE WHEN tx_at >= gene_at AND feature <> 'gene' THEN concat('t', tx_at) ELSE '' END AS transcript_id FROM f WHERE gene_at IS NOT NULL""")
 def gff_forward_fill(spark, sf_dir):
-    e = spark.read.parquet(f"{sf_dir}/events.parquet").filter("event_id < 5000").selectExpr("event_id AS line_no", f"{_GFF} AS feature")
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("event_id AS line_no", f"{_GFF} AS feature")
     attributes = F.when(F.col("feature") == "gene", F.format_string("ID=g%d;Name=N%d", "line_no", F.col("line_no") % 50)).when(F.col("feature") == "mRNA", F.format_string("ID=t%d;Parent=x", "line_no")).otherwise(F.lit("Parent=y"))
     lines = e.select("line_no", F.concat(F.lit("chr1\tx\t"), "feature", F.lit("\t1\t2\t.\t+\t.\t"), attributes).alias("value"))
     return annotation.gff(lines).select("line_no", "feature", "gene_id", "gene_name", "transcript_id")
@@ -370,12 +371,13 @@ def marker_dedup_flagged(spark, sf_dir):
 _EXPRESSION = _PASSED + ", exp_v AS (SELECT contig, cb AS barcode, ge AS gene, count(*) AS umi_cnt FROM first_v WHERE one GROUP BY 1, 2, 3)"
 
 
-def _expression(spark, sf_dir):
+def _expression_query(spark, sf_dir):
     return counts.by_position(_annotated(spark, sf_dir)[1].filter("ge is not null"))
 
 
-def _expression_query(spark, sf_dir):
-    return _expression(spark, sf_dir)
+def _expression(spark, sf_dir):
+    """The expression table as a run writes it, to be read again."""
+    return settled(_expression_query(spark, sf_dir))
 
 
 _QUERIES["expression"], _SQL["expression"] = _expression_query, _EXPRESSION + " SELECT contig, barcode, gene, umi_cnt FROM exp_v"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..operators import assign, dedup, density, expression, filters, matrix, metrics, saturation
 from ..schemas import READ_ID
+from ..session import settled
 
 
 @dataclass
@@ -40,11 +41,11 @@ def annotated(reads: DataFrame, genes: DataFrame, config: Config) -> DataFrame:
 
 
 def run(reads: DataFrame, genes: DataFrame, config: Config | None = None) -> Result:
-    """reads as READS, genes as GENES. Nothing runs until the tables of the result are used, but for
-    choices that need a size."""
+    """reads as READS, genes as GENES. Reads are annotated once, to a table; the rest runs when the
+    tables of the result are used, but for choices that need a size."""
     config = config or Config()
     base = prepared(reads, config)
-    named = annotated(base, genes, config)
+    named = settled(annotated(base, genes, config))  # outputs and summaries all read it
     with_gene = named.filter("ge is not null")
     result = Result(*(_by_identifier if config.umi else _by_position)(base, named, with_gene, config))
     result.summaries["ANNOTATION METRICS"] = metrics.region_metrics(named) if config.mode == 2 else metrics.strand_metrics(named)
@@ -55,7 +56,8 @@ def run(reads: DataFrame, genes: DataFrame, config: Config | None = None) -> Res
     if config.matrix:
         table = result.expression
         if config.filter_matrix:
-            table = matrix.filtered(table, density.barcode_threshold(expression.barcode_totals(table)))
+            table = settled(table)
+            result.expression = table = matrix.filtered(table, density.barcode_threshold(expression.barcode_totals(table)))
         result.matrix = matrix.triplets(table)
     return result
 
@@ -77,11 +79,12 @@ def _by_position(base: DataFrame, named: DataFrame, with_gene: DataFrame, config
 def _by_identifier(base: DataFrame, named: DataFrame, with_gene: DataFrame, config: Config):
     # identifiers of reads of low quality and without a gene count under NOGENE
     counted = named.select("contig", "cb", "ge", "ur").unionByName(base.filter("not passed").select("contig", "cb", F.lit(None).cast("string").alias("ge"), "ur"))
-    roots = dedup.correct_identifiers(dedup.identifier_counts(counted, config.scope), config.umi_min_num, config.umi_mismatch)
+    roots = settled(dedup.correct_identifiers(dedup.identifier_counts(counted, config.scope), config.umi_min_num, config.umi_mismatch))
+    first = base.select(F.length("ur").alias("n")).first()
     firsts = dedup.by_identifier(with_gene, config.keep_duplicates, config.scope)
-    settled = dedup.by_corrected(firsts.filter("status = 'keep'"), roots, config.keep_duplicates, config.scope)
-    rows = settled.unionByName(firsts.filter("status = 'dup'"), allowMissingColumns=True) if config.keep_duplicates else settled
-    summaries = {"UMI METRICS": metrics.identifier_totals(roots), "UMI MISMATCH TYPES": metrics.mismatch_types(roots)}
+    marked = dedup.by_corrected(firsts.filter("status = 'keep'"), roots, config.keep_duplicates, config.scope)
+    rows = marked.unionByName(firsts.filter("status = 'dup'"), allowMissingColumns=True) if config.keep_duplicates else marked
+    summaries = {"UMI METRICS": metrics.identifier_totals(roots), "UMI MISMATCH POSITIONS": metrics.mismatch_positions(roots, first["n"] if first and first["n"] else 0), "UMI MISMATCH TYPES": metrics.mismatch_types(roots)}
     kept = roots.filter("cluster_cnt > 0").select("barcode", "gene", "umi", F.col("cluster_cnt").alias("cnt"))
     curve = saturation.saturation(kept, coordinates=not config.matrix) if config.saturation else None
     return _tidy(rows.unionByName(_rest(base, named, config), allowMissingColumns=True)), expression.by_identifier(roots), summaries, curve

@@ -69,7 +69,7 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flat_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/part.parquet").filter("p_partkey < 2000").selectExpr(*_select(GENES))
+    return spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr(*_select(GENES))
 
 
 def genes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +98,7 @@ _CONTIG = "concat('chr', CASE WHEN p_partkey % 500 < 400 THEN p_partkey % 500 %
 
 def gtf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """line_no, value: the text of an annotation file."""
-    base = spark.read.parquet(f"{sf_dir}/part.parquet").filter("p_partkey < 2000").selectExpr("p_partkey", *_select(GENES | {"contig": _CONTIG}))
+    base = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr("p_partkey", *_select(GENES | {"contig": _CONTIG}))
     out = None
     for cols in _line_columns():
         value = _dialect("concat({contig}, '\\tx\\t', {feature}, '\\t', {start}, '\\t', {end}, '\\t.\\t', {strand}, '\\t.\\t', {attributes})".format(**cols))
@@ -108,9 +108,9 @@ def gtf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 READS_SQL = f"reads_v AS ({_sql(READS, 'events')}), named_v AS (SELECT *, split_part(split_part(qname, '|||CB:Z:', 2), '|||', 1) AS cb, split_part(qname, '|||UR:Z:', 2) AS ur FROM reads_v)"
-GENES_SQL = f"genes_v AS ({_sql(GENES, 'part WHERE p_partkey < 2000')})"
+GENES_SQL = f"genes_v AS ({_sql(GENES, 'part')})"
 LINES_SQL = (
-    f"annotated_v AS (SELECT p_partkey, {_sql(GENES | {'contig': _CONTIG}, 'part WHERE p_partkey < 2000')[7:]}), raw_v AS ("
+    f"annotated_v AS (SELECT p_partkey, {_sql(GENES | {'contig': _CONTIG}, 'part')[7:]}), raw_v AS ("
     + " UNION ALL ".join(_sql(c, "annotated_v") for c in _line_columns())
     + """), lines_v AS (SELECT line_no, contig, feature, start, "end", strand, regexp_extract(attributes, 'gene_id "([^"]*)"', 1) AS gene_id, regexp_extract(attributes, 'gene_name "([^"]*)"', 1) AS gene_name, regexp_extract(attributes, 'transcript_id "([^"]*)"', 1) AS transcript_id FROM raw_v)"""
 )

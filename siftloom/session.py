@@ -5,10 +5,11 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
 
@@ -27,3 +28,20 @@ def ship(spark: SparkSession) -> None:
             z.write(p, p.relative_to(top.parent))
     sc.addPyFile(f"{folder}/siftloom_code.zip")
     _SHIPPED.add(sc.applicationId)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df written once to the shared folder, for plans that read it several times. The folder is the
+    cluster's ``spark.checkpoint.dir``; only on one machine is a temporary one made where it is unset."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if folder is None:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+            folder = tempfile.mkdtemp(prefix="siftloom-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
+    path = f"{sc.getCheckpointDir()}/reads-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

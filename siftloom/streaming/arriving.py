@@ -32,11 +32,11 @@ def unique_reads(reads: DataFrame, min_mapq: int = 10, arrival: str | None = Non
 
 def gene_overlaps(reads: DataFrame, genes: DataFrame) -> DataFrame:
     """Rows of reads and the genes that each overlaps, without state; for counts by gene and barcode."""
-    return assign.gene_rows(reads, genes, 2, broadcast=True)
+    return assign.gene_rows(reads, genes, 2)
 
 
 def overlap_counts(reads: DataFrame, genes: DataFrame) -> DataFrame:
-    """Running counts of reads by barcode and gene, over all genes that a read has most exon bases in."""
+    """Running counts of reads by barcode and gene, of all genes in whose exons and strand a read lies."""
     named = reads.select("file_idx", "rec_idx", "contig", "pos", "cigar", "flag", "cb")
-    rows = assign.gene_rows(named, genes, 2, broadcast=True)
-    return rows.filter("f = 5 and same").groupBy("gene").agg(F.count(F.lit(1)).alias("reads"))
+    rows = assign.gene_rows(named, genes, 2, keep=("cb",))
+    return rows.filter("f = 5 and same").groupBy(F.col("cb").alias("barcode"), "gene").agg(F.count(F.lit(1)).alias("reads"))
