@@ -28,6 +28,8 @@ from .tokencount import model_path
 PIECES = ("piece int", "start bigint", "length bigint", "ids_crc32 bigint")
 #: MB of the words that a task keeps with their ids.
 TABLE_MB = 96
+#: Bytes of the texts that are encoded at once; their words and ids take many times that.
+SLICE = 512 << 10
 #: Pieces of a packing group, about.
 GROUP = 2_500
 
@@ -86,8 +88,8 @@ class _Ids:
         return b"".join(x.id.to_bytes(4, "little") for x in self.model.tokenize(shown))
 
     def room(self, mb: int) -> None:
-        """Keep about so many MB of words, twice, and of their parts half of that or 24 MB."""
-        self.words.most, self.parts.most = mb << 20, max(24, mb // 2) << 20
+        """Keep about so many MB of words, twice, and of their parts half of that or 12 MB."""
+        self.words.most, self.parts.most = mb << 20, max(12, mb // 2) << 20
 
     def forget(self) -> None:
         """Let go of what was kept for a task, as the worker outlives it."""
@@ -116,7 +118,7 @@ def token_pieces(docs: DataFrame, capacity: int, tokenizer: str = "word_bpe_49k.
         table.room(table_mb)
         try:
             for batch in batches:
-                for k, n in byte_slices(batch.column(1)):
+                for k, n in byte_slices(batch.column(1), SLICE):
                     rows: list[list[int]] = [[], [], [], [], []]
                     for at, ids in enumerate(table.encode(batch.column(1).slice(k, n)), k):
                         for p, start in enumerate(range(0, len(ids) + 1, capacity)):
