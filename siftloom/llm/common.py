@@ -123,7 +123,7 @@ def in_arrow(df: DataFrame, work, schema) -> DataFrame:
     return df.mapInArrow(work, schema)
 
 
-def byte_slices(column, most: int = 2 << 20):
+def byte_slices(column, most: int = 512 << 10):
     """(start, rows) of consecutive slices of an Arrow string column, each of one row or at most
     most bytes. What Arrow held for the slice before is given back to the system."""
     start, size = 0, 0
