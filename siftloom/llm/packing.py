@@ -7,12 +7,12 @@ input, and each group is packed by itself: the last bin or so of each is not qui
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -91,17 +91,6 @@ class _Ids:
         """Keep about so many MB of words, twice, and of their parts half of that or 12 MB."""
         self.words.most, self.parts.most = mb << 20, max(12, mb // 2) << 20
 
-    def forget(self) -> None:
-        """Let go of what was kept for a task, as the worker outlives it."""
-        self.words.forget()
-        self.parts.forget()
-        give_back()
-
-
-@lru_cache(maxsize=2)
-def _ids(path: str) -> _Ids:
-    return _Ids(path)
-
 
 def token_pieces(docs: DataFrame, capacity: int, tokenizer: str = "word_bpe_49k.json", end_id: int = 0, text: str = "text", key: str = "doc_id", table_mb: int = TABLE_MB) -> DataFrame:
     """One row per piece: key, piece, start, length, ids_crc32.
@@ -114,7 +103,7 @@ def token_pieces(docs: DataFrame, capacity: int, tokenizer: str = "word_bpe_49k.
         raise ValueError(f"the key is named like a column of the result: {key}")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, end = _ids(model_path(tokenizer)), np.array([end_id], dtype="<u4").tobytes()
+        table, end = _Ids(model_path(tokenizer)), np.array([end_id], dtype="<u4").tobytes()
         table.room(table_mb)
         try:
             for batch in batches:
@@ -130,7 +119,9 @@ def token_pieces(docs: DataFrame, capacity: int, tokenizer: str = "word_bpe_49k.
                     cols = [batch.column(0).take(pa.array(rows[0], pa.int64())), pa.array(rows[1], pa.int32()), *(pa.array(c, pa.int64()) for c in rows[2:])]
                     yield pa.RecordBatch.from_arrays(cols, names=["_key", *(c.split()[0] for c in PIECES)])
         finally:
-            table.forget()
+            del table  # the worker outlives the task
+            gc.collect()
+            give_back()
 
     frame = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     schema = ", ".join((f"_key {frame.schema['_key'].dataType.simpleString()}", *PIECES))

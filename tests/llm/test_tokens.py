@@ -68,7 +68,7 @@ def test_ids_of_words_are_those_of_the_text(texts):
 
     path = model_path("word_bpe_49k.json")
     whole = Tokenizer.from_file(path)
-    got = [x.tolist() for x in packing._ids(path).encode(pa.array(texts, pa.string()))]
+    got = [x.tolist() for x in packing._Ids(path).encode(pa.array(texts, pa.string()))]
     assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
