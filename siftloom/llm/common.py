@@ -112,11 +112,11 @@ def crc_mod(c: Column, n: int) -> Column:
 
 
 #: The most bytes of a batch that goes to a Python worker, unless the session sets its own; and Spark's default.
-BATCH, DEFAULT_BATCH = "4194304b", "67108864b"
+BATCH, DEFAULT_BATCH = "1048576b", "67108864b"
 
 
 def in_arrow(df: DataFrame, work, schema) -> DataFrame:
-    """df.mapInArrow, in batches of a few MB: both the executor and its worker hold one at a time."""
+    """df.mapInArrow, in batches of a MB: both the executor and its worker hold one at a time."""
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
     if conf.get(name) == DEFAULT_BATCH:
         conf.set(name, BATCH)
