@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from .audit import filter_audit
 from .chat import chat_format, read_back
 from .common import crc_mod, table
 from .exactdedup import exact_dedup
@@ -15,8 +16,10 @@ from .jaccard import similar_groups
 from .langid import fit, predict
 from .linededup import line_dedup
 from .lm import lm_scores
+from .merkle import manifest
 from .mixing import mix
 from .packing import best_fit_packing
+from .pieces import round_trip
 from .quality import CUTS, quality_rules
 from .tokencount import token_counts
 
@@ -70,8 +73,22 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
-    found = (op1_language_id, op2_lm_scoring, op3_source_mixing, op4_line_dedup, op5_exact_dedup, op6_best_fit_packing, op7_quality_rules, op8_chat_formatting, op9_ngram_jaccard, op10_token_counts)
+    found = (op1_language_id, op2_lm_scoring, op3_source_mixing, op4_line_dedup, op5_exact_dedup, op6_best_fit_packing, op7_quality_rules, op8_chat_formatting, op9_ngram_jaccard, op10_token_counts, op11_pieces, op12_merkle_manifest, op13_filter_audit)
     return {f.__name__: f for f in found}
 
 
@@ -111,6 +128,41 @@ f AS (SELECT s, step, sum(count(*)) OVER (PARTITION BY s ORDER BY step) AS lost
 e AS (SELECT b2.s, coalesce(min(f.step) FILTER (WHERE f.lost > b2.most), 1000) AS fail FROM bud b2 LEFT JOIN f ON b2.s IS NOT DISTINCT FROM f.s WHERE b2.most IS NOT NULL GROUP BY 1),
 t AS (SELECT p.s, {", ".join(f"min({_CUTS}[p.k + 1]) FILTER (WHERE rule = '{r}') AS {r}" for r in _RULES)} FROM p JOIN e ON p.s IS NOT DISTINCT FROM e.s WHERE p.step < e.fail GROUP BY 1)
 SELECT m.doc_id, m.lang, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({" OR ".join(f"coalesce({m} > t.{r}, false)" for r, m in _RULES.items())}) AS kept FROM m LEFT JOIN t ON m.lang IS NOT DISTINCT FROM t.s""",
+    "op12_merkle_manifest": f"""WITH RECURSIVE h AS (SELECT doc_id, source, text, {"||".join(f"coalesce(concat(strlen(CAST({c} AS VARCHAR)), ':', {c}), '-')" for c in ("doc_id", "source", "lang", "n_chars"))} AS head,
+  list_reduce([4294967295::UBIGINT] || list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''), lambda c: CASE WHEN c = '' THEN NULL ELSE unicode(c)::UBIGINT END),
+    lambda a, b: CASE WHEN b IS NULL THEN a ELSE list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) END) AS crc FROM documents),
+l AS (SELECT doc_id, source, sha256(head || coalesce(concat(strlen(text), ':', text), '-')) AS leaf, sha256(head || coalesce(concat(strlen(u), ':', u), '-')) AS again
+  FROM (SELECT *, CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS u FROM h)),
+n AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM l),
+up AS (SELECT source, 0 AS lv, i, n, leaf AS hash, '' AS pre FROM n
+  UNION ALL SELECT source, any_value(lv) + 1, i // 3, any_value((n + 2) // 3), sha256(string_agg(hash, '' ORDER BY i)), string_agg(hash, '' ORDER BY i) FROM up WHERE n > 1 GROUP BY source, i // 3),
+s AS (SELECT source, hash, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (SELECT 0 AS lv, i, n, hash, '' AS pre FROM s
+  UNION ALL SELECT any_value(lv) + 1, i // 3, any_value((n + 2) // 3), sha256(string_agg(hash, '' ORDER BY i)), string_agg(hash, '' ORDER BY i) FROM top WHERE n > 1 GROUP BY i // 3),
+f AS (SELECT doc_id, source, leaf, i AS own, again AS cur, 0 AS lv, i, '' AS sib FROM n
+  UNION ALL SELECT f.doc_id, f.source, f.leaf, f.own, sha256(left(u.pre, CAST(f.i % 3 * 64 AS BIGINT)) || f.cur || substr(u.pre, f.i % 3 * 64 + 65)), f.lv + 1, f.i // 3, f.sib || left(u.pre, CAST(f.i % 3 * 64 AS BIGINT)) || substr(u.pre, f.i % 3 * 64 + 65)
+  FROM f JOIN up u ON u.source IS NOT DISTINCT FROM f.source AND u.lv = f.lv + 1 AND u.i = f.i // 3),
+a AS (SELECT * FROM f QUALIFY lv = max(lv) OVER (PARTITION BY source)),
+g AS (SELECT a.doc_id, a.leaf, s.hash AS subroot, a.cur, 0 AS lv, s.i, a.sib FROM a JOIN s ON a.source IS NOT DISTINCT FROM s.source
+  UNION ALL SELECT g.doc_id, g.leaf, g.subroot, sha256(left(u.pre, CAST(g.i % 3 * 64 AS BIGINT)) || g.cur || substr(u.pre, g.i % 3 * 64 + 65)), g.lv + 1, g.i // 3, g.sib || left(u.pre, CAST(g.i % 3 * 64 AS BIGINT)) || substr(u.pre, g.i % 3 * 64 + 65)
+  FROM g JOIN top u ON u.lv = g.lv + 1 AND u.i = g.i // 3)
+SELECT doc_id, leaf, subroot, top.hash AS root, sha256(sib) AS proof_sha256, cur AS folded_root, cur = top.hash AS verified FROM g JOIN top ON top.n = 1 AND g.lv = top.lv""",
+    "op13_filter_audit": r"""WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, part, [CAST(b AS INT) FOR b IN [len(ws) < 50, 100 * len(list_distinct(ws)) < 65 * len(ws), 100 * length(regexp_replace(x, '[^A-Z]+', '', 'g')) > 5 * length(x), regexp_matches(x, '[#$%&*|]'), coalesce(doc_id > min(doc_id) OVER (PARTITION BY x), false)]] AS f FROM w),
+l AS (SELECT doc_id, coalesce(max(quality) = 1, false) AS good, coalesce(max(toxic) = 1, false) AS toxic FROM labels GROUP BY 1),
+c AS (SELECT part, f, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM p LEFT JOIN l USING (doc_id) GROUP BY 1, 2),
+k AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS k),
+o AS (SELECT a.k || b.k || c.k || d.k || e.k AS filter_order FROM k a, k b, k c, k d, k e WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+s AS (SELECT filter_order, step, filter_order[step] AS letter, [strpos('ABCDE', x) FOR x IN string_split(filter_order[1:step - 1], '') IF x <> ''] AS earlier, strpos('ABCDE', filter_order[step]) AS own FROM o, range(1, 6) r(step)),
+r AS (SELECT part, filter_order, CAST(step AS INT) AS step, letter,
+  CAST(coalesce(sum(n) FILTER (WHERE f[own] = 0 AND NOT gone), 0) AS BIGINT) AS kept,
+  CAST(coalesce(sum(n) FILTER (WHERE f[own] = 1 AND NOT gone), 0) AS BIGINT) AS removed,
+  CAST(coalesce(sum(n) FILTER (WHERE f[own] = 1 AND gone), 0) AS BIGINT) AS redundant,
+  CAST(coalesce(sum(n) FILTER (WHERE f[own] = 1 AND list_sum(f) = 1), 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(sum(good) FILTER (WHERE f[own] = 1 AND NOT gone), 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(sum(toxic) FILTER (WHERE f[own] = 1 AND NOT gone), 0) AS BIGINT) AS toxic_lost
+  FROM (SELECT c.*, s.*, len(list_filter(earlier, lambda j: f[j] = 1)) > 0 AS gone FROM c, s) GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM r""",
     "op5_exact_dedup": f"""WITH n AS (SELECT doc_id, {_LOWER} AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256 FROM n WINDOW w AS (PARTITION BY t)""",
     "op8_chat_formatting": r"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
