@@ -40,7 +40,7 @@ def main(args: list[str] | None = None) -> None:
     config = Config(a.min_mapq, a.keep_low_quality, a.keep_duplicates, a.mode, a.umi, a.umi_min_num, a.umi_mismatch, a.saturation, a.matrix, not a.no_filter_matrix, a.barcode_source, a.scope)
     spark = SparkSession.builder.appName("siftloom").getOrCreate()
     ship(spark)
-    spark.dataSource.register(bam.BamSource)
+    bam.register(spark)
     files = a.reads.endswith(".bam")
     reads = spark.read.format("bam").load(a.reads) if files else spark.read.parquet(a.reads)
     if a.barcode_source == "qname":
@@ -48,12 +48,11 @@ def main(args: list[str] | None = None) -> None:
     genes = genemodel.gene_model(annotation.read_annotation(spark, a.annotation))
     result = run(reads, genes, config)
     if a.bam and files:
-        names = bam.header(a.reads.split(",")[0])[0]
-        contigs = spark.createDataFrame([(k, c, n) for k, (c, n) in enumerate(names)], "contig_idx int, contig string, length long")
+        contigs = bam.contigs(spark, a.reads)
         added = [c for c in ("cb", "ur", "uy", "xf", "ge", "gs", "ub") if c in result.reads.columns]
         tags = F.map_filter(F.map_concat(F.coalesce("tags", F.create_map().cast("map<string,string>")), F.create_map(*(x for c in added for x in (F.lit(c.upper()), F.col(c))))), lambda _, v: v.isNotNull())
         rows = output_order(result.reads.withColumn("tags", tags).drop(*added, "status"), contigs)
-        rows.write.format("bam").mode("append").option("contigs", ",".join(f"{c}:{n}" for c, n in names)).save(f"{a.out}/reads")
+        rows.write.format("bam").mode("append").option("contigs", ",".join(f"{c.contig}:{c.length}" for c in contigs.orderBy("contig_idx").collect())).save(f"{a.out}/reads")
     else:
         result.reads.write.mode("overwrite").partitionBy("contig").parquet(f"{a.out}/reads")
     sinks.write_expression(result.expression, f"{a.out}/expression", reads=a.umi)

@@ -26,10 +26,12 @@ def on_contig(reads: DataFrame, contig: str) -> DataFrame:
     return reads.filter((F.col("contig") == contig) & included(F.col("contig")))
 
 
-def in_range(reads: DataFrame, contig: str, begin: int, end: int, length: Column) -> DataFrame:
+def in_range(reads: DataFrame, contig: str, begin: int, end: int, length: Column, longest: int | None = None) -> DataFrame:
     """Reads of a contig that overlap the half-open range of 0-based places; length is theirs on the
-    reference."""
-    return reads.filter((F.col("contig") == contig) & (F.col("pos") < end) & (F.col("pos") + length > begin))
+    reference. longest: what no read's length exceeds, if that is known; with it the range is bounded on both
+    sides by the position alone, which a source that is sorted can be searched for."""
+    out = reads.filter((F.col("contig") == contig) & (F.col("pos") < end) & (F.col("pos") + length > begin))
+    return out if longest is None else out.filter(F.col("pos") > begin - longest)
 
 
 def first_read(reads: DataFrame, contigs: DataFrame) -> DataFrame:

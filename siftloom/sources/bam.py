@@ -1,85 +1,88 @@
 """Aligned reads in BAM files, as a Spark data source.
 
-``spark.dataSource.register(BamSource)`` and then ``spark.read.format("bam").load(paths)``, paths being
-separated by commas. A file is read in ranges of compressed blocks, so a large one is many tasks; a
-range begins at the first block whose start can be told, and at the first record that is plausible
-together with those after it. rec_idx is a record's virtual offset, which orders a file's records.
+After ``register(spark)``, ``spark.read.format("bam").load(paths)`` reads files, separated by commas. A file
+is read in ranges of compressed blocks, so a large one is many tasks; a range begins at the first block whose
+start can be told, and at the first record that is plausible together with those after it. rec_idx is a
+record's virtual offset, which orders a file's records. ``.schema(...)`` with some of the columns of READS
+reads those alone.
+
+Conditions on contig, pos, mapq, flag, mpos and isize are pushed into the source. Rows that they rule out are
+dropped before names, bases and tags are decoded. In a file whose header says that it is sorted by
+coordinate, conditions on contig and pos also rule out ranges: the first and the last range that can hold
+such a record are found by bisection over the first records of ranges, so a region of a file of n ranges
+costs 2 log2(n) small reads at planning and then the ranges that hold it.
+
 Writing gives a folder of BAM files, one a task, each with the header given as option ``contigs``
-(name:length, separated by commas). Paths are those that Arrow's file systems open.
+(name:length, separated by commas) and, if ``sorted`` is true, the claim that it is sorted. Tasks write
+attempts into a folder of their own, of which the commit moves those that count into place; a job that fails
+leaves nothing. Paths are those that Arrow's file systems open.
 """
 
 from __future__ import annotations
 
 import struct
-import zlib
-from collections.abc import Iterator
-from dataclasses import dataclass
-
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+import uuid
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
+from functools import cached_property
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from ..schemas import READS
+from ..schemas import CONTIGS, READS
+from .bamcodec import EOF_BLOCK, FIXED, NUMBERS, Blocks, aligned, columns, compressed, first_block, fixed_fields, packed, starts
 
-# Fixed values of the format.
-BASES, OPS = "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
-MAGIC, EXTRA = b"\x1f\x8b\x08\x04", b"BC\x02\x00"
-EOF_BLOCK = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
-SCALARS = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
-FIXED = struct.Struct("<iiBBHHHiiii")
-#: Bytes of a file that a task reads.
-SPLIT = 64 << 20
+#: Bytes of a file that a task reads, and of uncompressed data that it decodes at once.
+SPLIT, STRETCH = 64 << 20, 2 << 20
+#: Where unmapped records stand among contigs: after all.
+UNMAPPED = 1 << 31
+Key = tuple[int, int]
 
 
 def _open(path: str):
     from pyarrow import fs
 
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = path[5:]
     system, inner = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
     return system, inner
 
 
-def _block(f, at: int) -> tuple[bytes, int] | None:
-    """The content of the block at a place, and where the next one begins; None at the end."""
-    f.seek(at)
-    head = f.read(18)
-    if len(head) < 18 or head[:4] != MAGIC or head[12:16] != EXTRA:
-        return None
-    size = struct.unpack("<H", head[16:18])[0] + 1
-    rest = f.read(size - 18)
-    return zlib.decompress(rest[: size - 26], -15), at + size
-
+@dataclass
+class Header:
+    """contigs with their lengths, the virtual offset of the first record, and whether records are said to
+    be sorted by contig and position."""
 
-def _first_block(f, at: int, size: int) -> int:
-    """Where the first block at or after a place begins; size if there is none."""
-    f.seek(at)
-    seen = f.read(min(1 << 17, size - at))
-    k = seen.find(MAGIC)
-    while k >= 0:
-        if seen[k + 12 : k + 16] == EXTRA and (found := _block(f, at + k)) is not None and (found[1] >= size or _block(f, found[1]) is not None):
-            return at + k
-        k = seen.find(MAGIC, k + 1)
-    return size
+    contigs: list[tuple[str, int]]
+    first: int
+    by_place: bool
 
 
-def header(path: str) -> tuple[list[tuple[str, int]], int]:
-    """The contigs of a file with their lengths, and the virtual offset of its first record."""
+def read_header(path: str) -> Header:
     system, inner = _open(path)
     with system.open_input_file(inner) as f:
-        data, starts, at = b"", [], 0
+        data, begins, blocks = b"", [], Blocks(f, 0, 0)
 
         def need(n: int) -> None:
-            nonlocal data, at
+            nonlocal data
             while len(data) < n:
-                found = _block(f, at)
+                found = next(blocks, None)
                 if found is None:
                     raise ValueError(f"{path} ends within its header")
-                starts.append((len(data), at))
-                data, at = data + found[0], found[1]
+                begins.append((len(data), found[0]))
+                data += found[1]
 
         need(8)
         if data[:4] != b"BAM\1":
             raise ValueError(f"{path} is not a BAM file")
         k = 8 + struct.unpack_from("<i", data, 4)[0]
         need(k + 4)
+        lines = data[8:k].decode(errors="replace").splitlines()
         n, k = struct.unpack_from("<i", data, k)[0], k + 4
         out = []
         for _ in range(n):
@@ -88,67 +91,24 @@ def header(path: str) -> tuple[list[tuple[str, int]], int]:
             need(k + 8 + m)
             out.append((data[k + 4 : k + 3 + m].decode(), struct.unpack_from("<i", data, k + 4 + m)[0]))
             k += 8 + m
-        begin, block = max(((b, a) for b, a in starts if b <= k), default=(0, 0))
-        return out, (at << 16) if k == len(data) else (block << 16) | (k - begin)
-
-
-def _plausible(data: bytes, k: int, contigs: int) -> int:
-    """The end of the record at k if it may be one, else -1; 0 if data ends before that is known."""
-    if k + 36 > len(data):
-        return 0
-    size, (ref, pos, name, _, _, ops, _, bases, mate, _, _) = struct.unpack_from("<i", data, k)[0], FIXED.unpack_from(data, k + 4)
-    if not (32 < size < 1 << 28 and -1 <= ref < contigs and -1 <= mate < contigs and pos >= -1 and name > 0 and bases >= 0 and 32 + name + 4 * ops + (bases + 1) // 2 + bases <= size):
-        return -1
-    end = k + 36 + name
-    return 0 if end > len(data) else (k + 4 + size if data[end - 1] == 0 else -1)
-
-
-def _aligned(data: bytes, contigs: int) -> int:
-    """The first place in data from which records follow one another."""
-    for k in range(len(data)):
-        at, seen = k, 0
-        while 0 <= at < len(data) and seen < 8:
-            at = _plausible(data, at, contigs)
-            if at == 0:
-                break
-            seen += 1
-        if at >= 0 and seen:
-            return k
-    return len(data)
-
-
-def _tags(data: bytes) -> dict[str, str]:
-    out, k = {}, 0
-    while k + 3 <= len(data):
-        name, kind, k = data[k : k + 2].decode(), chr(data[k + 2]), k + 3
-        if kind in "ZH":
-            end = data.index(0, k)
-            value, k = data[k:end].decode(errors="replace"), end + 1
-        elif kind == "A":
-            value, k = chr(data[k]), k + 1
-        elif kind == "B":
-            of, n = SCALARS[chr(data[k])], struct.unpack_from("<i", data, k + 1)[0]
-            value, k = ",".join([chr(data[k]), *map(str, struct.unpack_from(f"<{n}{of}", data, k + 5))]), k + 5 + n * struct.calcsize(of)
-        else:
-            of = SCALARS[kind]
-            value, k = str(struct.unpack_from("<" + of, data, k)[0]), k + struct.calcsize(of)
-        out[name] = value
-    return out
-
-
-def record(data: bytes, contigs: list[str], file_idx: int, rec_idx: int) -> tuple:
-    """A row of READS from a record's bytes, without its size."""
-    ref, pos, n_name, mapq, _, n_ops, flag, n, _, mpos, isize = FIXED.unpack_from(data)
-    k = 32 + n_name
-    ops = struct.unpack_from(f"<{n_ops}I", data, k)
-    k += 4 * n_ops
-    packed, k = data[k : k + (n + 1) // 2], k + (n + 1) // 2
-    seq = "".join(BASES[b >> 4] + BASES[b & 15] for b in packed)[:n] or "*"
-    qual = "*" if n == 0 or data[k] == 255 else "".join(chr(q + 33) for q in data[k : k + n])
-    tags = _tags(data[k + n :])
-    hi = tags.pop("HI", None)
-    cigar = "".join(f"{o >> 4}{OPS[o & 15]}" for o in ops) or "*"
-    return (file_idx, rec_idx, data[32 : 31 + n_name].decode(), flag, contigs[ref] if ref >= 0 else None, pos, mapq, cigar, mpos, isize, seq, qual, int(hi) if hi is not None else None, tags)
+        begin, block = max(((b, a) for b, a in begins if b <= k), default=(0, 0))
+        first = (blocks.at << 16) if k == len(data) else (block << 16) | (k - begin)
+        return Header(out, first, any(line.startswith("@HD") and "SO:coordinate" in line.split("\t") for line in lines))
+
+
+def header(path: str) -> tuple[list[tuple[str, int]], int]:
+    """The contigs of a file with their lengths, and the virtual offset of its first record."""
+    found = read_header(path)
+    return found.contigs, found.first
+
+
+def contigs(spark: SparkSession, paths: str) -> DataFrame:
+    """CONTIGS of files, separated by commas: contig_idx, contig and length, as their headers have them. Raises
+    unless all files have the same. A header is read by the driver, as it holds thousands of contigs at most."""
+    heads = [read_header(p.strip()).contigs for p in paths.split(",")]
+    if any(h != heads[0] for h in heads):
+        raise ValueError("the headers of the input files differ")
+    return spark.createDataFrame([(k, c, n) for k, (c, n) in enumerate(heads[0])], CONTIGS)
 
 
 @dataclass
@@ -159,122 +119,259 @@ class Range(InputPartition):
     end: int
 
 
+@dataclass
+class Wanted:
+    """What pushed conditions leave: tests of rows, and the first and last place of a sorted file that a
+    row may have."""
+
+    tests: list[tuple[str, str, object]] = field(default_factory=list)
+
+    SIGNS = {EqualTo: "=", LessThan: "<", LessThanOrEqual: "<=", GreaterThan: ">", GreaterThanOrEqual: ">=", In: "in"}
+
+    def take(self, f: Filter) -> bool:
+        """Whether the condition is one that the source sees to wholly."""
+        if isinstance(f, IsNotNull) and f.attribute[0] in (*NUMBERS, "contig"):
+            if f.attribute == ("contig",):
+                self.tests.append(("contig", "there", None))
+            return True
+        sign = self.SIGNS.get(type(f))
+        if sign is None or len(f.attribute) != 1 or f.value is None:
+            return False
+        (name,) = f.attribute
+        if name in NUMBERS and sign != "in" or name == "contig" and sign in ("=", "in"):
+            self.tests.append((name, sign, f.value))
+            return True
+        return False
+
+    def rows(self, fixed: np.ndarray, names: list[str]) -> np.ndarray:
+        """Which records of these fixed parts hold."""
+        out = np.ones(len(fixed), dtype=bool)
+        for name, sign, value in self.tests:
+            if name == "contig":
+                ref = fixed["ref"]
+                out &= ref >= 0 if sign == "there" else np.isin(ref, self._contigs(sign, value, names))
+            else:
+                x = fixed[name]
+                out &= {"=": x == value, "<": x < value, "<=": x <= value, ">": x > value, ">=": x >= value}[sign]
+        return out
+
+    @staticmethod
+    def _contigs(sign: str, value, names: list[str]) -> list[int]:
+        named = {value} if sign == "=" else set(value)
+        return [k for k, c in enumerate(names) if c in named]
+
+    def span(self, names: list[str]) -> tuple[Key, Key] | None:
+        """The first and the last (contig, pos) that may hold; None if none may."""
+        found, low, high = set(range(len(names))) | {UNMAPPED}, -1, UNMAPPED
+        for name, sign, value in self.tests:
+            if name == "contig":
+                found &= set(range(len(names)) if sign == "there" else self._contigs(sign, value, names))
+            elif name == "pos":
+                low = max(low, {"=": value, ">": value + 1, ">=": value}.get(sign, low))
+                high = min(high, {"=": value, "<": value - 1, "<=": value}.get(sign, high))
+        return ((min(found), low), (max(found), high)) if found and low <= high else None
+
+
 class BamReader(DataSourceReader):
-    def __init__(self, options: dict) -> None:
+    def __init__(self, options: dict, schema: StructType = READS) -> None:
         self.paths = [p.strip() for p in options["path"].split(",")]
         self.split = int(options.get("splitBytes", SPLIT))
+        self.names = schema.names
+        if unknown := set(self.names) - set(READS.names):
+            raise ValueError(f"reads have no column {', '.join(sorted(unknown))}")
+        self.wanted = Wanted()
+
+    @cached_property
+    def heads(self) -> list[Header]:
+        with ThreadPoolExecutor(16) as pool:
+            heads = list(pool.map(read_header, self.paths))
+        if any(h.contigs != heads[0].contigs for h in heads):
+            raise ValueError("the headers of the input files differ")
+        return heads
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        for f in filters:
+            if not self.wanted.take(f):
+                yield f
 
     def partitions(self) -> list[Range]:
-        heads, out = [header(p) for p in self.paths], []
-        if any(h[0] != heads[0][0] for h in heads):
-            raise ValueError("the headers of the input files differ")
-        for k, p in enumerate(self.paths):
-            system, inner = _open(p)
-            size = system.get_file_info(inner).size
-            out += [Range(p, k, at, min(size, at + self.split)) for at in range(0, size, self.split)]
-        return out
+        with ThreadPoolExecutor(16) as pool:
+            return [r for found in pool.map(self._ranges, range(len(self.paths))) for r in found]
+
+    def _ranges(self, k: int) -> list[Range]:
+        """The ranges of a file that may hold what is wanted."""
+        path, head = self.paths[k], self.heads[k]
+        system, inner = _open(path)
+        size = system.get_file_info(inner).size
+        all_ranges = [Range(path, k, at, min(size, at + self.split)) for at in range(0, size, self.split)]
+        span = self.wanted.span([c for c, _ in head.contigs])
+        if span is None:
+            return []
+        if not head.by_place or len(all_ranges) < 2:
+            return all_ranges
+        with system.open_input_file(inner) as f:
+            key = lambda r: self._first_key(f, r.start, head)
+            # a range's records stand between its own first one and the next range's
+            begin = bisect_left(all_ranges, span[0], lo=1, key=key) - 1
+            end = bisect_right(all_ranges, span[1], lo=begin + 1, key=key)
+        return all_ranges[begin:end]
 
-    def read(self, part: Range) -> Iterator[tuple]:
-        """The records that begin in blocks that begin in the range."""
-        names, first = header(part.path)
-        contigs = [c for c, _ in names]
+    @staticmethod
+    def _begin(f, start: int, head: Header) -> tuple[int, int]:
+        """The first block of a range, and what of it to skip; -1 where that is yet to be found."""
+        if start <= head.first >> 16:
+            return head.first >> 16, head.first & 0xFFFF
+        return first_block(f, start, f.size()), -1
+
+    def _first_key(self, f, start: int, head: Header) -> Key:
+        """The place of the first record that begins at or after a place of a sorted file."""
+        at, skip = self._begin(f, start, head)
+        data, blocks = b"", Blocks(f, at, at)
+        while True:
+            found = next(blocks, None)
+            data += found[1] if found else b""
+            k = skip if skip >= 0 else aligned(data, len(head.contigs), found is None)
+            if k is not None and k + 36 <= len(data):
+                ref, pos = FIXED.unpack_from(data, k + 4)[:2]
+                return (ref if ref >= 0 else UNMAPPED, pos)
+            if found is None:
+                return (UNMAPPED + 1, 0)
+
+    def read(self, part: Range) -> Iterator[pa.RecordBatch]:
+        """The records that begin in blocks that begin in the range, as Arrow batches."""
+        head = read_header(part.path)
+        names = [c for c, _ in head.contigs]
+        span, by_name = self.wanted.span(names), pa.array(names, pa.string())
         system, inner = _open(part.path)
         with system.open_input_file(inner) as f:
-            size = f.size()
-            at = first >> 16 if part.start <= first >> 16 else _first_block(f, part.start, size)
-            data, places, k = b"", [], 0  # places: where in data blocks begin, and in the file
-            skip = first & 0xFFFF if part.start <= first >> 16 else -1
-            while True:
-                while not data or len(data) < k + 4 or len(data) < k + 4 + struct.unpack_from("<i", data, k)[0]:
-                    if len(data) == k and at >= part.end:
-                        return
-                    found = _block(f, at) if at < size else None
+            at, skip = self._begin(f, part.start, head)
+            if at >= part.end or span is None:
+                return
+            blocks = Blocks(f, at, part.end)
+            data, begins, places = b"", [], []  # where blocks begin in data, and in the file
+            done = False
+            while not done:
+                parts, size = [data], len(data)
+                while size < STRETCH or len(parts) == 1:
+                    # beyond the range only what its last record still needs is read
+                    if blocks.at >= part.end and len(parts) > 1 and (skip >= 0 or size > 1 << 18):
+                        break
+                    found = next(blocks, None)
                     if found is None:
-                        return
-                    data, places = data[k:], self._moved(places, k, len(data), at)
-                    k, data, at = 0, data + found[0], found[1]
-                    if skip > 0:
-                        k, skip = skip, 0
-                    elif skip < 0 and data:
-                        k, skip = _aligned(data, len(contigs)), 0
-                begin, block = max((b, a) for b, a in places if b <= k)
-                if block >= part.end:
-                    return
-                n = struct.unpack_from("<i", data, k)[0]
-                yield record(data[k + 4 : k + 4 + n], contigs, part.file_idx, (block << 16) | (k - begin))
-                k += 4 + n
+                        done = True
+                        break
+                    begins.append(size)
+                    places.append(found[0])
+                    parts.append(found[1])
+                    size += len(found[1])
+                data = b"".join(parts)
+                if skip < 0:
+                    if (k := aligned(data, len(names), done)) is None:
+                        continue
+                    skip = k
+                whole, rest = starts(data, max(skip, 0))
+                skip = 0
+                offsets = np.array(whole, dtype=np.int64)
+                begin, place = np.array(begins, dtype=np.int64), np.array(places, dtype=np.int64)
+                block = np.searchsorted(begin, offsets, side="right") - 1
+                inside = place[block] < part.end if len(offsets) else np.zeros(0, dtype=bool)
+                if len(offsets) and not inside.all():
+                    done = True
+                offsets, block = offsets[inside], block[inside]
+                if len(offsets):
+                    fixed = fixed_fields(data, offsets)
+                    if head.by_place:
+                        last = fixed[-1]
+                        done |= (int(last["ref"]) if last["ref"] >= 0 else UNMAPPED, int(last["pos"])) > span[1]
+                    keep = self.wanted.rows(fixed, names)
+                    if keep.any():
+                        index = place[block[keep]] << 16 | (offsets[keep] - begin[block[keep]])
+                        yield self._batch(part, data, offsets[keep], fixed[keep], index, by_name)
+                # the next stretch begins with the record that is not whole, in the block it begins in
+                held = max(int(np.searchsorted(begin, rest, side="right")) - 1, 0)
+                done |= blocks.at >= part.end and (rest >= len(data) or not places or places[held] >= part.end)
+                begins, places = [b - rest for b in begins[held:]], places[held:]
+                data = data[rest:]
+                if not data:
+                    begins, places = [], []
+
+    def _batch(self, part: Range, data: bytes, offsets: np.ndarray, fixed: np.ndarray, index: np.ndarray, contigs: pa.Array) -> pa.RecordBatch:
+        found = columns(data, offsets, fixed, contigs, self.names)
+        found |= {"file_idx": pa.array(np.full(len(offsets), part.file_idx, dtype=np.int32)), "rec_idx": pa.array(index)}
+        return pa.RecordBatch.from_arrays([found[c] for c in self.names], names=self.names)
 
-    @staticmethod
-    def _moved(places: list[tuple[int, int]], k: int, end: int, at: int) -> list[tuple[int, int]]:
-        """Where blocks begin once the first k bytes are gone, with the block at `at` after the end. The
-        last one that begins at or before k stays, with a place below 0."""
-        last = max((b for b, _ in places if b <= k), default=0)
-        return [*((b - k, a) for b, a in places if b >= last and end > k), (end - k, at)]
-
-
-def _packed(row, contigs: dict[str, int]) -> bytes:
-    """A record's bytes, with its size."""
-    name = row.qname.encode() + b"\0"
-    ops = []
-    n = ""
-    for c in row.cigar if row.cigar != "*" else "":
-        if c.isdigit():
-            n += c
-        else:
-            ops.append(int(n) << 4 | OPS.index(c))
-            n = ""
-    seq = "" if row.seq in (None, "*") else row.seq
-    codes = [BASES.find(c) if c in BASES else 15 for c in seq] + [0]
-    bases = bytes(codes[i] << 4 | codes[i + 1] for i in range(0, len(seq), 2))
-    qual = b"\xff" * len(seq) if row.qual in (None, "*") else bytes(ord(c) - 33 for c in row.qual)
-    ref = contigs.get(row.contig, -1) if row.contig is not None else -1
-    body = FIXED.pack(ref, row.pos, len(name), row.mapq, 4680, len(ops), row.flag, len(seq), ref, row.mpos, row.isize)
-    body += name + struct.pack(f"<{len(ops)}I", *ops) + bases + qual
-    if row.hi is not None:
-        body += b"HIi" + struct.pack("<i", row.hi)
-    for tag, value in sorted((row.tags or {}).items()):
-        body += tag.encode() + b"Z" + value.encode() + b"\0"
-    return struct.pack("<i", len(body)) + body
-
-
-def _compressed(data: bytes) -> bytes:
-    c = zlib.compressobj(6, zlib.DEFLATED, -15)
-    packed = c.compress(data) + c.flush()
-    return MAGIC + bytes(5) + b"\xff\x06\x00" + EXTRA + struct.pack("<H", len(packed) + 25) + packed + struct.pack("<II", zlib.crc32(data), len(data))
+
+@dataclass
+class Written(WriterCommitMessage):
+    name: str
+    part: int
 
 
 class BamWriter(DataSourceWriter):
-    def __init__(self, options: dict) -> None:
-        self.path = options["path"]
+    def __init__(self, options: dict, overwrite: bool = False) -> None:
+        self.path, self.overwrite, self.id = options["path"], overwrite, uuid.uuid4().hex
         self.contigs = [(c.rpartition(":")[0], int(c.rpartition(":")[2])) for c in options["contigs"].split(",")]
+        self.order = "coordinate" if options.get("sorted", "false").lower() == "true" else "unknown"
+
+    def _folders(self):
+        """The file system, where the files belong, and where attempts are written."""
+        system, inner = _open(self.path)
+        return system, inner, f"{inner}/_attempts-{self.id}"
 
     def write(self, rows: Iterator) -> WriterCommitMessage:
         from pyspark import TaskContext
 
         context = TaskContext.get()
-        system, inner = _open(self.path)
-        system.create_dir(inner, recursive=True)
-        text = "@HD\tVN:1.6\n" + "".join(f"@SQ\tSN:{c}\tLN:{n}\n" for c, n in self.contigs)
+        system, _, attempts = self._folders()
+        system.create_dir(attempts, recursive=True)
+        text = f"@HD\tVN:1.6\tSO:{self.order}\n" + "".join(f"@SQ\tSN:{c}\tLN:{n}\n" for c, n in self.contigs)
         head = b"BAM\1" + struct.pack("<i", len(text)) + text.encode() + struct.pack("<i", len(self.contigs))
         head += b"".join(struct.pack("<i", len(c) + 1) + c.encode() + b"\0" + struct.pack("<i", n) for c, n in self.contigs)
         index = {c: k for k, (c, _) in enumerate(self.contigs)}
-        with system.open_output_stream(f"{inner}/part-{context.partitionId():05d}.bam") as out:
+        name = f"{context.partitionId():05d}-{context.taskAttemptId()}.bam"
+        with system.open_output_stream(f"{attempts}/{name}") as out:
             for k in range(0, len(head), 60_000):
-                out.write(_compressed(head[k : k + 60_000]))
+                out.write(compressed(head[k : k + 60_000]))
             held = b""
             for row in rows:
-                one = _packed(row, index)
+                one = packed(row, index)
                 if held and len(held) + len(one) > 60_000:
-                    out.write(_compressed(held))
+                    out.write(compressed(held))
                     held = b""
                 held += one
                 while len(held) > 60_000:
-                    out.write(_compressed(held[:60_000]))
+                    out.write(compressed(held[:60_000]))
                     held = held[60_000:]
             if held:
-                out.write(_compressed(held))
+                out.write(compressed(held))
             out.write(EOF_BLOCK)
-        return WriterCommitMessage()
+        return Written(name, context.partitionId())
+
+    def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        """Move the attempts that count into place. Files of another write stay, unless they are to be
+        overwritten; attempts that failed or came second go with their folder."""
+        from pyarrow import fs
+
+        system, inner, attempts = self._folders()
+        system.create_dir(inner, recursive=True)
+        old = [f.path for f in system.get_file_info(fs.FileSelector(inner)) if f.type == fs.FileType.File and f.path.endswith(".bam")] if self.overwrite else []
+        for m in messages:
+            if m is not None:
+                system.move(f"{attempts}/{m.name}", f"{inner}/part-{m.part:05d}-{self.id}.bam")
+        for path in old:
+            system.delete_file(path)
+        self._clear(system, attempts)
+
+    def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        system, _, attempts = self._folders()
+        self._clear(system, attempts)
+
+    @staticmethod
+    def _clear(system, attempts: str) -> None:
+        from pyarrow import fs
+
+        if system.get_file_info(attempts).type != fs.FileType.NotFound:
+            system.delete_dir(attempts)
 
 
 class BamSource(DataSource):
@@ -286,7 +383,14 @@ class BamSource(DataSource):
         return READS
 
     def reader(self, schema: StructType) -> BamReader:
-        return BamReader(self.options)
+        return BamReader(self.options, schema)
 
     def writer(self, schema: StructType, overwrite: bool) -> BamWriter:
-        return BamWriter(self.options)
+        return BamWriter(self.options, overwrite)
+
+
+def register(spark: SparkSession) -> None:
+    """Let this session read and write the format bam, with conditions pushed into the reader, which Spark
+    leaves off for Python sources unless told."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(BamSource)

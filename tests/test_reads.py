@@ -260,7 +260,7 @@ def test_density_thresholds():
 
 
 def test_bam_reads_back(spark, tmp_path):
-    spark.dataSource.register(bam.BamSource)
+    bam.register(spark)
     rng = random.Random(5)
     rows = [read(k, cig="3S7M", pos=k * 3, contig=rng.choice(["chr1", "chr2", None]), hi=rng.choice([None, 1, 2]))[:10] + ("".join(rng.choice("ACGTN") for _ in range(10)), "I" * 10, None, {"XX": "v" * (k % 50)}) for k in range(3000)]
     df = spark.createDataFrame(rows, READS).repartition(3)
