@@ -15,7 +15,6 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -204,30 +203,34 @@ def best_two_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.nda
 def pack(pieces: DataFrame, capacity: int, key: str = "doc_id") -> DataFrame:
     """pieces (of token_pieces) with sequence_id and offset.
 
-    Groups are dealt by a hash of all columns, so that reruns agree; rows that are repeated whole
-    share a group. An empty table gives an empty one.
+    Groups are dealt by a hash of a piece's place in the written table, so they are equally large
+    whatever repeats, and a task that runs again agrees. Only lengths are worked with; keys and all
+    else pass through as they are. Of equal lengths the order is that of key (null last), piece, start
+    and ids. An empty table gives an empty one.
     """
     pieces = cut(pieces)
     groups = max(1, pieces.count() // GROUP)
-    order = ["length", key, "piece", "start", "ids_crc32"]
-
-    def work(group: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(order, ascending=[False, True, True, True, True], kind="stable").reset_index(drop=True)
-        bins, frame["offset"] = best_two_fit(frame["length"].to_numpy(), capacity)
-        frame["sequence_id"] = bins + (int(group[0]) << 32)
-        return frame[names]
-
+    order = [("length", "descending"), *((c, "ascending") for c in (key, "piece", "start", "ids_crc32"))]
     schema = schema_and(pieces, offset="bigint", sequence_id="bigint")
     names = schema.names
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64(key, "piece", "length", "ids_crc32"), F.lit(groups)))
-    return dealt.groupBy("_group").applyInPandas(work, schema)
+
+    def work(group: tuple, frame: pa.Table) -> pa.Table:
+        frame = frame.take(pc.sort_indices(frame, order)).combine_chunks()
+        bins, offsets = best_two_fit(frame["length"].to_numpy(), capacity)
+        frame = frame.append_column("offset", pa.array(offsets)).append_column("sequence_id", pa.array(bins + (group[0].as_py() << 32)))
+        return frame.select(names)
+
+    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
+    return dealt.groupBy("_group").applyInArrow(work, schema)
 
 
 def best_fit_packing(docs: DataFrame, capacity: int = 2048, tokenizer: str = "word_bpe_49k.json", end_id: int = 0, text: str = "text", key: str = "doc_id", table_mb: int = TABLE_MB) -> DataFrame:
     """Pack all documents into sequences of at most capacity tokens.
 
     Returns a row per piece: key, piece, start, length, ids_crc32, sequence_id, offset. A sequence
-    is gapless from offset 0. Repeated rows are packed each; null keys are kept as null. table_mb: what
-    a task may keep of words that it has met, which bears on time and memory alone.
+    is gapless from offset 0. Repeated rows are packed each; null keys are kept as null. A text longer
+    than the capacity is cut into full pieces and a rest; an empty or null one is its end id alone. Other
+    columns of docs are not read, whatever their names; an empty table gives an empty one. table_mb: what a
+    task may keep of words that it has met, which bears on time and memory alone.
     """
     return pack(token_pieces(docs, capacity, tokenizer, end_id, text, key, table_mb), capacity, key)

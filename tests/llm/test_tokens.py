@@ -110,3 +110,18 @@ def test_packing_reads_back(spark, docs):
         end[s] = o + n
         assert end[s] <= 16
     assert packing.best_fit_packing(docs([])).count() == 0
+
+
+def test_packing_keeps_large_keys_beside_null_ones(docs):
+    keys = [2**53 + 1, 2**53 + 3, -(2**62) - 1, None, None]
+    got = packing.best_fit_packing(docs([(k, "one two") for k in keys])).collect()
+    assert sorted(map(str, (r["doc_id"] for r in got))) == sorted(map(str, keys))
+
+
+def test_rows_repeated_whole_are_spread_over_groups(spark):
+    n = 20_000
+    pieces = spark.range(n).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "0 AS piece", "CAST(0 AS BIGINT) AS start", "CAST(3 AS BIGINT) AS length", "CAST(7 AS BIGINT) AS ids_crc32")
+    got = packing.pack(pieces, 16).selectExpr("sequence_id >> 32 AS g", "sequence_id", "offset").collect()
+    assert len(got) == n == len({(r["sequence_id"], r["offset"]) for r in got})
+    sizes = np.bincount([r["g"] for r in got])
+    assert len(sizes) == n // packing.GROUP and sizes.min() > packing.GROUP // 2 and sizes.max() < 2 * packing.GROUP
