@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.reads import hamming, marker, with_flag
 from ..schemas import DUPLICATE, NO_GENE, READ_ID
+from ..session import settled
+from .identifiers import rooted
 
-#: Identifiers of a group up to which the correction is an expression; larger groups go to numpy.
+#: Identifiers of a group up to which the correction is an expression; larger groups go by pairs.
 FOLD = 200
 
 
@@ -58,42 +58,25 @@ def _fold(l: Column, mismatch: int) -> Column:
     return F.aggregate(l, start, step)
 
 
-def _fold_large(mismatch: int):
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["cnt", "umi"], ascending=[False, True]).reset_index(drop=True)
-        umis = frame["umi"].tolist()
-        longest = max(map(len, umis))
-        coded = np.array([[ord(c) for c in u] + [-1] * (longest - len(u)) for u in umis], dtype=np.int32)
-        size = np.array([len(u) for u in umis])
-        roots, alive, out = np.zeros(len(umis), dtype=np.int64), 0, []
-        for i, u in enumerate(umis):
-            near = np.flatnonzero((coded[roots[:alive], : size[i]] != coded[i, : size[i]]).sum(axis=1) <= mismatch)
-            if len(near):
-                out.append(umis[roots[near[0]]])
-            else:
-                roots[alive], alive = i, alive + 1
-                out.append(u)
-        return frame.assign(root_umi=out)
-
-    return work
-
-
 def correct_identifiers(counts: DataFrame, min_num: int = 5, mismatch: int = 1, fold: int = FOLD) -> DataFrame:
     """counts with root_umi and cluster_cnt, the summed count of the root's cluster (of a collapsed
     identifier 0). Groups of fewer than min_num identifiers, and those without a gene, stay as they are.
-    Equally frequent identifiers go by name."""
+    Equally frequent identifiers go by name. Groups of more than fold identifiers are spread over tasks."""
     keys = ["contig", "barcode", "gene"]
+    counts = settled(counts, "identifiers")  # read by each way
     sized = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     sized = sized.withColumn("_way", F.when((F.col("_n") < min_num) | (F.col("gene") == NO_GENE), "as is").when(F.col("_n") <= fold, "fold").otherwise("large"))
-    marked = counts.join(sized, keys)
+    marked = settled(counts.join(sized, keys), "identifiers")
     same = marked.filter("_way = 'as is'").select(*keys, "umi", "cnt", F.col("umi").alias("root_umi"))
     item = F.struct((-F.col("cnt")).alias("o"), "umi", "cnt")
     folded = marked.filter("_way = 'fold'").groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("l")).select(*keys, F.explode(_fold(F.col("l"), mismatch)).alias("e"))
     small = folded.select(*keys, F.col("e.umi").alias("umi"), F.col("e.cnt").alias("cnt"), F.col("e.root").alias("root_umi"))
-    large = marked.filter("_way = 'large'").select(*keys, "umi", "cnt").groupBy(*keys).applyInPandas(_fold_large(mismatch), "contig string, barcode string, gene string, umi string, cnt bigint, root_umi string")
-    rooted = same.unionByName(small).unionByName(large)
+    out = same.unionByName(small)
+    large = marked.filter("_way = 'large'").select(*keys, "umi", "cnt")
+    if large.take(1):
+        out = out.unionByName(rooted(large, mismatch))
     total = F.sum("cnt").over(Window.partitionBy(*keys, "root_umi"))
-    return rooted.withColumn("cluster_cnt", F.when(F.col("umi") == F.col("root_umi"), total).otherwise(F.lit(0)))
+    return out.withColumn("cluster_cnt", F.when(F.col("umi") == F.col("root_umi"), total).otherwise(F.lit(0)))
 
 
 def by_corrected(reads: DataFrame, roots: DataFrame, keep: bool = False, scope: str = "contig") -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .expression import across_contigs, barcode_totals
+from .ranking import placed
 
 
 def filtered(expression: DataFrame, threshold: float) -> DataFrame:
@@ -15,14 +16,8 @@ def filtered(expression: DataFrame, threshold: float) -> DataFrame:
 
 
 def indexed(names: DataFrame, column: str, as_: str) -> DataFrame:
-    """The distinct names with their places from 1 in the order of names.
-
-    Names are ranked within ranges and the ranges' sizes are added up, so no task holds them all.
-    """
-    out = names.select(column).distinct().withColumn("_range", F.substring(F.col(column), 1, 2))
-    ahead = out.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    ranked = out.withColumn("_w", F.row_number().over(Window.partitionBy("_range").orderBy(column)))
-    return ranked.join(ahead, "_range").select(column, (F.col("_w") + F.col("_before")).cast("int").alias(as_))
+    """The distinct names with their places from 1 in the order of names."""
+    return placed(names.select(column).distinct(), [column], as_).withColumn(as_, F.col(as_).cast("int"))
 
 
 def triplets(expression: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cigar, locus
 from ..functions import reads as names
-from ..operators import assign, dedup, density, filters, genemodel, matrix, metrics, overlap, saturation
+from ..operators import assign, dedup, density, filters, genemodel, identifiers, matrix, metrics, overlap, ranking, saturation
 from ..operators import expression as counts
 from ..session import settled
 from ..sources import annotation
@@ -422,9 +422,11 @@ def umi_counts(spark, sf_dir):
 
 @query(_COUNTS + " SELECT a.barcode, a.gene, a.umi AS umi_a, b.umi AS umi_b, CAST(hamming(a.umi, b.umi) AS INT) AS distance FROM cnt_v a JOIN cnt_v b ON a.contig = b.contig AND a.barcode = b.barcode AND a.gene = b.gene AND a.umi < b.umi WHERE hamming(a.umi, b.umi) <= 1")
 def umi_distance_pairs(spark, sf_dir):
-    c = dedup.identifier_counts(_ids(spark, sf_dir)).select("contig", "barcode", "gene", "umi")
-    pairs = c.withColumnRenamed("umi", "umi_a").join(c.withColumnRenamed("umi", "umi_b"), ["contig", "barcode", "gene"]).filter("umi_a < umi_b")
-    return pairs.select("barcode", "gene", "umi_a", "umi_b", names.hamming(F.col("umi_a"), F.col("umi_b")).alias("distance")).filter("distance <= 1")
+    c = dedup.identifier_counts(_ids(spark, sf_dir)).select(F.concat_ws("|", "contig", "barcode", "gene").alias("group"), "barcode", "gene", "umi")
+    c = settled(ranking.placed(c, ["umi", "group"], "id"))
+    name = lambda k, at: c.select(F.col("id").alias(k), F.col("umi").alias(at))
+    pairs = identifiers.near_pairs(c, 1, name="umi").join(c.select(F.col("id").alias("x"), "barcode", "gene", F.col("umi").alias("umi_b")), "x").join(name("r", "umi_a"), "r")
+    return pairs.select("barcode", "gene", "umi_a", "umi_b", names.hamming(F.col("umi_a"), F.col("umi_b")).alias("distance"))
 
 
 @query(_ROOTS + " SELECT contig, barcode, gene, umi, cnt, root_umi, cluster_cnt FROM roots_v")
