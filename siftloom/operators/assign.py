@@ -36,7 +36,7 @@ def gene_rows(reads: DataFrame, genes: DataFrame, mode: int, broadcast: bool | N
     columns of reads to keep."""
     g = genes.select("contig", F.col("gene_ord").alias("g_ord"), F.col("gene_name").alias("gene"), F.col("start").alias("g_start"), F.col("end").alias("g_end"), F.col("neg_strand").alias("g_neg"), "transcripts")
     r = with_places(reads.select(*READ_ID, "contig", "pos", "cigar", "flag", *keep))
-    pairs = overlap_join(r, g, broadcast=broadcast)
+    pairs = overlap_join(r, g, broadcast=broadcast, key="g_ord", also=("gene", "g_neg", "transcripts"))
     same = F.col("g_neg") == negative_strand(F.col("flag"))
     base = [*READ_ID, *keep, "g_ord", "g_start", "gene", "g_neg", same.alias("same")]
     if mode == 2:

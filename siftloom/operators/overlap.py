@@ -1,36 +1,110 @@
-"""Joining reads to the genes that they overlap.
+"""Joining reads to the genes that they overlap, or that are near them.
 
-With the genes broadcast, each read meets the genes of its contig and bin and no read is shuffled.
-Both sides are dealt into bins of the genome; a pair that shares several bins is kept in the first,
-so it appears once. A gene table beyond the size that may be broadcast is shuffled by contig and
-bin, which divides a contig as a key alone would not.
+Both sides are dealt into bins of the genome and meet on contig and bin; a pair that shares several bins is
+kept in the first, so it appears once. Only what the condition needs of a gene goes into bins: its key and
+its place. What else is wanted of it (its transcripts above all) is joined to the pairs afterwards, by the
+key. Each of the two tables is broadcast if its bytes, which are counted, are few enough; then no read is
+shuffled. Beyond that both sides are shuffled by contig and bin, and a bin with very many reads is divided:
+its reads are dealt to so many parts, and its genes are copied to each.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from ..session import settled
+
+#: Bases of a bin; bytes of a table that may be broadcast; reads of a bin beyond which it is divided.
+BIN, BROADCAST_BYTES, HOT = 16_384, 32 << 20, 500_000
+#: Bytes that a row takes in a broadcast table besides its texts.
+ROW = 100
+
+
+def _bins(start: Column, end: Column, size: int) -> Column:
+    return F.sequence(F.floor(start / size), F.floor(end / size))
+
 
-#: Bases of a bin, and genes that may be broadcast.
-BIN, BROADCAST_GENES = 16_384, 500_000
+def _bytes(df: DataFrame, copies: Column | None = None) -> int:
+    """About how many bytes df's rows take, each so often."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    deep = [f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "map", "struct")]
+    nested = F.octet_length(F.to_json(F.struct(*deep))) if deep else F.lit(0)
+    each = reduce(lambda a, b: a + b, texts, F.lit(ROW) + nested).cast("long")
+    return df.agg(F.sum(each * (F.lit(1) if copies is None else copies))).first()[0] or 0
 
 
-def _binned(df: DataFrame, start: Column, end: Column, name: str) -> DataFrame:
-    return df.withColumn(name, F.explode(F.sequence(F.floor(start / BIN), F.floor(end / BIN))))
+def divided(reads: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+    """reads (with contig and _bin) with _part, and the bins that are divided (_c, _b, _parts): those of more
+    than hot reads, in parts of about as many. There is one for every hot reads at most."""
+    load = reads.groupBy(F.col("contig").alias("_c"), F.col("_bin").alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    load = settled(load.filter(F.col("_n") > hot).select("_c", "_b", F.ceil(F.col("_n") / hot).cast("int").alias("_parts")), "bins")
+    met = reads.join(load, (F.col("contig") == F.col("_c")) & (F.col("_bin") == F.col("_b")), "left")
+    part = F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(F.monotonically_increasing_id()), "_parts").cast("int"))
+    return met.withColumn("_part", part).drop("_c", "_b", "_parts"), load
 
 
-def overlap_join(reads: DataFrame, genes: DataFrame, begin: str = "begin", end: str = "stop", broadcast: bool | None = None) -> DataFrame:
+def overlap_join(reads: DataFrame, genes: DataFrame, begin: str = "begin", end: str = "stop", broadcast: bool | None = None, key: str | None = None, also: tuple[str, ...] = (), size: int = BIN, hot: int = HOT) -> DataFrame:
     """Pairs of reads (contig, begin, stop: closed) and genes (contig, g_start, g_end) that overlap.
 
-    broadcast: whether genes fit; found by counting them if not given.
+    also: columns of genes that are joined to the pairs by its unique key, rather than put into bins.
+    broadcast: whether genes fit; found by counting bytes if not given. Rows without a contig or a place meet
+    nothing; repeated rows meet each.
     """
-    if broadcast is None:
-        broadcast = genes.limit(BROADCAST_GENES + 1).count() <= BROADCAST_GENES
-    g = _binned(genes.withColumnRenamed("contig", "_contig"), F.col("g_start"), F.col("g_end"), "_gbin")
-    r = _binned(reads, F.col(begin), F.col(end), "_bin")
+    if also or broadcast is None:
+        genes = settled(genes, "genes")  # read for its sizes, its places and the rest
+    places = genes.drop(*also).withColumnRenamed("contig", "_contig")
+    fits = _bytes(places, F.size(_bins(F.col("g_start"), F.col("g_end"), size)).cast("long")) <= BROADCAST_BYTES if broadcast is None else broadcast
+    g = places.withColumn("_gbin", F.explode(_bins(F.col("g_start"), F.col("g_end"), size)))
+    r = reads.withColumn("_bin", F.explode(_bins(F.col(begin), F.col(end), size)))
     meet = (F.col("contig") == F.col("_contig")) & (F.col("_bin") == F.col("_gbin")) & (F.col("g_start") <= F.col(end)) & (F.col("g_end") >= F.col(begin))
-    first = F.col("_bin") == F.greatest(F.floor(F.col(begin) / BIN), F.floor(F.col("g_start") / BIN))
-    return r.join(F.broadcast(g) if broadcast else g, meet & first).drop("_contig", "_gbin", "_bin")
+    first = F.col("_bin") == F.greatest(F.floor(F.col(begin) / size), F.floor(F.col("g_start") / size))
+    if fits:
+        pairs = r.join(F.broadcast(g), meet & first).drop("_contig", "_gbin", "_bin")
+    else:
+        r, load = divided(r, hot)
+        g = g.join(load, (F.col("_contig") == F.col("_c")) & (F.col("_gbin") == F.col("_b")), "left")
+        g = g.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_c", "_b", "_parts")
+        pairs = r.join(g, meet & first & (F.col("_part") == F.col("_copy"))).drop("_contig", "_gbin", "_bin", "_part", "_copy")
+    if not also:
+        return pairs
+    rest = genes.select(F.col(key).alias("_key"), *also)
+    small = _bytes(rest) <= BROADCAST_BYTES if broadcast is None else broadcast
+    return pairs.join(F.broadcast(rest) if small else rest, F.col(key) == F.col("_key")).drop("_key")
+
+
+def near_join(reads: DataFrame, genes: DataFrame, within: int, begin: str = "begin", end: str = "stop", broadcast: bool | None = None) -> DataFrame:
+    """Pairs of a read and a gene of its contig that are at most so many bases apart, with distance: 0 for those
+    that overlap, 1 for neighbours. within is 0 or more."""
+    reach = reads.withColumns({"_from": F.col(begin) - within, "_to": F.col(end) + within})
+    pairs = overlap_join(reach, genes, "_from", "_to", broadcast, size=max(BIN, within)).drop("_from", "_to")
+    return pairs.withColumn("distance", F.greatest(F.lit(0), F.col("g_start") - F.col(end), F.col(begin) - F.col("g_end")))
+
+
+def nearest_join(reads: DataFrame, genes: DataFrame, within: int, ids: list[str], key: str = "gene_ord", begin: str = "begin", end: str = "stop", broadcast: bool | None = None) -> DataFrame:
+    """The nearest gene of each read (ids tell reads apart) that has one within so many bases: ids, key, g_start,
+    g_end and distance. Of equally near ones the one that starts first, then the one with the least key.
+
+    Rings are searched one after the other: what overlaps, what is within a bin, within four bins, and so
+    on. A read goes on to the next ring only while it has found none, so in a dense annotation few rows
+    outlive the first ring, and no read meets genes far beyond its nearest one. Stops once all have found.
+    """
+    left, genes = reads.select(*ids, "contig", begin, end), settled(genes.select("contig", key, "g_start", "g_end"), "genes")
+    found, reach = [], 0
+    while True:
+        pairs = near_join(left, genes, reach, begin, end, broadcast)
+        best = pairs.groupBy(*ids).agg(F.min(F.struct("distance", "g_start", key, "g_end")).alias("_b"))
+        found.append(settled(best.select(*ids, "_b.*"), "near"))
+        if reach >= within:
+            break
+        left = settled(left.join(found[-1].select(*ids), ids, "left_anti"), "left")
+        if not left.take(1):
+            break
+        reach = min(within, max(BIN, 4 * reach))
+    return reduce(DataFrame.unionByName, found).select(*ids, key, "g_start", "g_end", "distance")
 
 
 def contained_join(reads: DataFrame, genes: DataFrame, begin: str = "begin", end: str = "stop") -> DataFrame:

@@ -279,6 +279,26 @@ def overlap_point(spark, sf_dir):
     return overlap.overlap_join(at, g, "at", "at").select("rec_idx", "gene_ord")
 
 
+#: Short genes far apart, so that most reads meet none.
+_SPARSE = {"contig": "concat('chr', p_partkey % 3 + 1)", "gene_ord": "CAST(p_partkey AS BIGINT)", "g_start": "CAST((p_partkey * 7919) % 3000000 + 1 AS INT)", "g_end": "CAST((p_partkey * 7919) % 3000000 + 1 + p_size * 20 AS INT)"}
+_NEAR = f"WITH {READS_SQL}, {_OPS}, sparse_v AS (SELECT {', '.join(f'{e} AS {n}' for n, e in _SPARSE.items())} FROM part), near_v AS (SELECT r.rec_idx, s.gene_ord, s.g_start, s.g_end, CAST(greatest(0, s.g_start - (r.pos + l.ref_len), r.pos + 1 - s.g_end) AS INT) AS distance FROM reads_v r JOIN len_v l USING (rec_idx) JOIN sparse_v s ON s.contig = r.contig)"
+
+
+def _sparse(spark, sf_dir):
+    r = assign.with_places(views.reads(spark, sf_dir)).select("rec_idx", "contig", "begin", "stop")
+    return r, spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr(*(f"{e} AS {n}" for n, e in _SPARSE.items()))
+
+
+@query(_NEAR + " SELECT rec_idx, gene_ord, distance FROM near_v WHERE distance <= 700")
+def overlap_near(spark, sf_dir):
+    return overlap.near_join(*_sparse(spark, sf_dir), 700).select("rec_idx", "gene_ord", "distance")
+
+
+@query(_NEAR + " SELECT rec_idx, gene_ord, g_start, g_end, distance FROM near_v WHERE distance <= 100000 QUALIFY row_number() OVER (PARTITION BY rec_idx ORDER BY distance, g_start, gene_ord) = 1")
+def overlap_nearest(spark, sf_dir):
+    return overlap.nearest_join(*_sparse(spark, sf_dir), 100_000, ["rec_idx"])
+
+
 @query(f"""WITH {READS_SQL} SELECT rec_idx, CAST(CASE WHEN rec_idx % 4 = 0 THEN 1 ELSE greatest(1 + rec_idx % 2 * 2, 4) END AS INT) AS highest, CAST(CASE WHEN rec_idx % 4 = 0 THEN 1 ELSE 0 END AS INT) AS agreed FROM reads_v""")
 def locus_combined(spark, sf_dir):
     f = F.when(F.col("rec_idx") % 4 == 0, F.array().cast("array<int>")).otherwise(F.array((1 + F.col("rec_idx") % 2 * 2).cast("int"), F.lit(4)))
@@ -487,7 +507,7 @@ def _curve_sql(unit: str, x: str, y1: str, y2: str) -> str:
 def _ordered(spark, sf_dir):
     r = _named(spark, sf_dir).select(F.col("cb").alias("barcode"), F.when(F.col("rec_idx") % 9 == 0, "NOGENE").otherwise(F.concat(F.lit("G"), (F.col("rec_idx") % 13).cast("string"))).alias("gene"), F.col("ur").alias("umi"), ((F.col("rec_idx") * 7919) % 1000003).alias("_key"), F.col("rec_idx").alias("k"))
     place = F.shiftleft(F.col("_key"), 40)
-    return saturation.levels(saturation.ranked(r.select("k", "barcode", "gene", "umi", "_key"), place))
+    return saturation.first_seen(saturation.leveled(r.select("k", "barcode", "gene", "umi", "_key"), place))
 
 
 @query(_ORDERED + " " + _curve_sql("barcode", "bar_x", "bar_y1", "bar_y2"))
@@ -497,7 +517,8 @@ def saturation_barcode(spark, sf_dir):
 
 @query(_ORDERED + " " + _curve_sql("concat(CAST(split_part(barcode, '_', 3) AS INT) // 150, '_', CAST(split_part(barcode, '_', 4) AS INT) // 150)", "bin_x", "bin_y1", "bin_y2"))
 def saturation_bin(spark, sf_dir):
-    return saturation.curve(_ordered(spark, sf_dir).withColumn("bin", saturation.spatial_bin(F.col("barcode"))), "bin", "bin_x", "bin_y1", "bin_y2")
+    seen = _ordered(spark, sf_dir).withColumn("bin", saturation.spatial_bin(F.col("barcode")))
+    return saturation.curve(saturation.first_seen(seen, "bin"), "bin", "bin_x", "bin_y1", "bin_y2")
 
 
 # ---- matrix and density -------------------------------------------------------------------
@@ -537,11 +558,26 @@ def barcode_mode(spark, sf_dir):
     return density.mode(density.histogram(counts.barcode_totals(_expression(spark, sf_dir))))
 
 
+_SUPPLIED = "SELECT l_suppkey, CAST(sum(l_quantity) AS BIGINT) AS total FROM lineitem GROUP BY 1"
+
+
+def _supplied(spark, sf_dir):
+    """The quantities that suppliers have delivered, in sum."""
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_suppkey").agg(F.sum("l_quantity").cast("bigint").alias("total"))
+
+
+@query(f"""WITH h_v AS (SELECT total, count(*) AS n FROM ({_SUPPLIED}) GROUP BY 1), m_v AS (SELECT CASE WHEN max(n) > 1 THEN (SELECT max(total) FROM h_v WHERE n = (SELECT max(n) FROM h_v)) ELSE min(total) END AS value FROM h_v),
+k_v AS (SELECT total, n FROM h_v, m_v WHERE total > value - 3), g_v AS (SELECT log10(min(total)) - 0.4 AS low, (log10(max(total)) - log10(min(total)) + 0.8) / 16383 AS step, sum(n) AS n FROM k_v),
+a_v AS (SELECT (log10(total) - g_v.low) / g_v.step AS place, k_v.n / g_v.n AS w FROM k_v, g_v), c_v AS (SELECT CAST(floor(place) AS INT) AS cell, place - floor(place) AS part, w FROM a_v)
+SELECT cell, round(sum(mass), 9) AS mass FROM (SELECT cell, w * (1 - part) AS mass FROM c_v UNION ALL SELECT cell + 1, w * part FROM c_v) GROUP BY 1""")
+def kde_cells(spark, sf_dir):
+    return density.cells(_supplied(spark, sf_dir))[0].select("cell", F.round("mass", 9).alias("mass"))
+
+
 @query()
 def kde_threshold(spark, sf_dir):
-    """The density threshold over the numbers of orders that customers' keys stand for."""
-    totals = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_suppkey").agg(F.sum("l_quantity").cast("bigint").alias("total"))
-    return spark.createDataFrame([(density.barcode_threshold(totals),)], "threshold double")
+    """The density threshold of what suppliers have delivered."""
+    return spark.createDataFrame([(density.barcode_threshold(_supplied(spark, sf_dir)),)], "threshold double")
 
 
 @query()

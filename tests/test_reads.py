@@ -248,12 +248,37 @@ def test_matrix_of_frequent_barcodes(spark, tmp_path):
     assert sorted(r["umi_cnt"] for r in sinks.read_expression(spark, f"{tmp_path}/e").collect()) == [1, 2, 3]
 
 
-def test_density_thresholds():
-    assert density.threshold(np.array([]), np.array([])) == 500 == density.threshold(np.array([7.0]), np.array([3.0]))
+def totals_of(spark, values):
+    return spark.createDataFrame([(float(v),) for v in values], "total double")
+
+
+def test_density_thresholds(spark):
+    for few in ([], [7], [7, 7, 7], [3, 3, 5]):
+        assert density.barcode_threshold(totals_of(spark, few)) == 500
     rng = np.random.default_rng(1)
     totals = np.concatenate([10 ** rng.normal(1.3, 0.15, 4000), 10 ** rng.normal(3.6, 0.15, 900)]).round()
+    # the value of the same steps over all distinct totals in one array
+    assert density.barcode_threshold(totals_of(spark, totals)) == pytest.approx(310.77993648224225, rel=1e-6)
+
+
+def test_mass_in_cells_is_that_of_an_array(spark):
+    rng = np.random.default_rng(2)
+    totals = (10 ** rng.normal(2, 0.6, 3000)).round() + 1
+    held, (low_x, high_x) = density.cells(totals_of(spark, totals))
     values, n = np.unique(totals, return_counts=True)
-    assert 100 <= density.threshold(values, n) <= 3000
+    top = values[n == n.max()].max()
+    values, n = values[values > top - 3], n[values > top - 3]
+    x = np.log10(values)
+    assert (low_x, high_x) == pytest.approx((x.min(), x.max()))
+    low, step = density.grid(low_x, high_x)
+    at = (x - low) / step
+    want = np.zeros(density.GRID + 1)
+    np.add.at(want, at.astype(int), n / n.sum() * (1 - at % 1))
+    np.add.at(want, at.astype(int) + 1, n / n.sum() * (at % 1))
+    got = np.zeros(density.GRID + 1)
+    for r in held.collect():
+        got[r.cell] = r.mass
+    assert np.allclose(got, want, atol=1e-9) and got.sum() == pytest.approx(1)
 
 
 # ---- BAM and whole runs -------------------------------------------------------------------

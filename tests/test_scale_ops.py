@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from siftloom.operators import identifiers, matrix
+from siftloom.operators import identifiers, matrix, overlap, saturation
 from siftloom.operators.dedup import correct_identifiers
 from siftloom.operators.ranking import WITHIN, placed
 
@@ -84,3 +84,107 @@ def test_places_of_names_that_begin_alike(spark):
     assert {r.barcode: r.i for r in got} == {b: k for k, b in enumerate(sorted(r.barcode for r in got), 1)}
     assert len(sizes) == 16 and max(sizes) < 2 * n / 16
     assert matrix.indexed(names.limit(0), "barcode", "i").count() == 0
+
+
+def plain_curve(reads, unit):
+    """By level, of reads (barcode, gene, umi) in order: reads per unit, repeated share, upper median of genes."""
+    out = {}
+    for x in saturation.LEVELS:
+        units = {}
+        for r in reads[: int(x * len(reads))]:
+            units.setdefault(unit(r[0]), []).append(r)
+        if not units:
+            continue
+        known = [r for r in reads[: int(x * len(reads))] if r[1] != "NOGENE"]
+        uniq = len({(unit(r[0]), r[1], r[2]) for r in known})
+        genes = sorted(len({r[1] for r in rs if r[1] != "NOGENE"}) for rs in units.values())
+        out[x] = (sum(map(len, units.values())) // len(units), round(1 - uniq / len(known), 6) if known else None, genes[len(genes) // 2])
+    return out
+
+
+@pytest.mark.parametrize("n", [3, 40, 700])
+def test_levels_of_an_order_that_is_not_spread(spark, n):
+    """Most reads have equal keys, all of one range; equals go by the other columns."""
+    rng = random.Random(n)
+    rows = [(f"1_2_{rng.randrange(4) * 100}_{rng.randrange(3) * 100}", rng.choice(["NOGENE", "a", "b", "c"]), f"u{rng.randrange(5)}", rng.choice([0, 0, 0, 5, 2**61]), k) for k in range(n)]
+    reads = spark.createDataFrame(rows, "barcode string, gene string, umi string, _key long, k long").select("k", "barcode", "gene", "umi", "_key")
+    leveled = saturation.leveled(reads.repartition(5), F.col("_key"))
+    ordered = sorted(rows, key=lambda r: (r[3], r[4]))
+    seen = saturation.first_seen(leveled)
+    side = saturation.BIN_SIDE
+    for unit, table in (("barcode", seen), ("bin", saturation.first_seen(seen.withColumn("bin", saturation.spatial_bin(F.col("barcode"))), "bin"))):
+        of = (lambda b: b) if unit == "barcode" else (lambda b: f"{int(b.split('_')[2]) // side}_{int(b.split('_')[3]) // side}")
+        got = {r.sample: (r.x, r.y1, r.y2) for r in saturation.curve(table, unit).collect()}
+        assert got == plain_curve([r[:3] for r in ordered], of)
+
+
+def test_reads_are_not_repeated_by_level(spark):
+    n = 5000
+    counts = spark.range(n).selectExpr("concat('b', id % 7) AS barcode", "concat('g', id % 50) AS gene", "concat('u', id) AS umi", "CAST(2 AS BIGINT) AS cnt")
+    reads = saturation.exploded(counts)
+    leveled = saturation.leveled(reads, F.shiftrightunsigned(F.xxhash64("barcode", "gene", "umi", "_k"), 2))
+    assert leveled.count() == 2 * n
+    assert "Exchange" not in leveled._jdf.queryExecution().executedPlan().toString()
+    sent = saturation.first_seen(leveled)
+    plan = sent._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and sent.count() == n  # one shuffle, of at most a row for each read
+    assert {tuple(r) for r in leveled.groupBy("level").count().collect()} == {(k, int(b * 2 * n) - int(a * 2 * n)) for k, (a, b) in enumerate(zip((0, *saturation.LEVELS), saturation.LEVELS, strict=False))}
+
+
+GENE = "contig string, gene_ord long, g_start int, g_end int"
+
+
+def plain_near(reads, genes, within):
+    return {(r[0], g[1], max(0, g[2] - r[3], r[2] - g[3])) for r in reads for g in genes if r[1] == g[0] and max(0, g[2] - r[3], r[2] - g[3]) <= within}
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+@pytest.mark.parametrize("within", [0, 1, 300, 50_000])
+def test_near_and_nearest(spark, within, broadcast):
+    rng = random.Random(within)
+    reads = [(k, rng.choice(["c1", "c2", "none", None]), b := rng.randrange(1, 400_000), b + rng.choice([0, 90, 40_000])) for k in range(120)]
+    genes = [(rng.choice(["c1", "c2"]), k, s := rng.randrange(1, 400_000), s + rng.choice([0, 10, 30_000])) for k in range(40)]
+    genes += [("c1", 900, genes[0][2], genes[0][3]), ("c1", 901, 1, 400_000 if within == 1 else 5)]
+    r, g = spark.createDataFrame(reads, "id int, contig string, begin int, stop int"), spark.createDataFrame(genes, GENE)
+    near = overlap.near_join(r, g, within, broadcast=broadcast)
+    want = plain_near(reads, genes, within)
+    rows = near.collect()
+    assert {(x.id, x.gene_ord, x.distance) for x in rows} == want and len(rows) == len(want)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    best = {}
+    start = {g[1]: g[2] for g in genes}
+    for i, o, d in want:
+        best[i] = min(best.get(i, (d, start[o], o)), (d, start[o], o))
+    got = overlap.nearest_join(r, g, within, ["id"], broadcast=broadcast).collect()
+    assert {x.id: (x.distance, x.g_start, x.gene_ord) for x in got} == best and len(got) == len(best)
+
+
+def test_a_hot_bin_is_divided(spark):
+    reads = spark.range(6000).selectExpr("id", "'c1' AS contig", "CAST(100 + id % 50 AS INT) AS begin", "CAST(200 + id % 50 AS INT) AS stop")
+    reads = reads.unionByName(spark.createDataFrame([(-1, "c1", 90_000, 90_100), (-2, "c2", 100, 110)], "id long, contig string, begin int, stop int"))
+    genes = spark.createDataFrame([("c1", 1, 1, 120), ("c1", 2, 240, 20_000), ("c1", 3, 80_000, 95_000), ("c2", 4, 1, 500)], GENE)
+    got = overlap.overlap_join(reads, genes, broadcast=False, hot=500).select("id", "gene_ord").collect()
+    want = overlap.overlap_join(reads, genes, broadcast=True).select("id", "gene_ord").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    dealt, load = overlap.divided(reads.withColumn("_bin", F.floor(F.col("begin") / overlap.BIN)), 500)
+    assert [tuple(r) for r in load.collect()] == [("c1", 0, 12)]
+    sizes = [r["count"] for r in dealt.filter("contig = 'c1' and _bin = 0").groupBy("_part").count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 700
+
+
+def test_what_is_broadcast_is_bound_by_bytes(spark, monkeypatch):
+    """Transcripts do not go into bins, and a table beyond the bound is shuffled."""
+    reads = spark.createDataFrame([(1, "c1", 10, 20)], "id long, contig string, begin int, stop int")
+    genes = spark.createDataFrame([("c1", k, 1, 500_000, "x" * 1000) for k in range(50)], GENE + ", text string")
+
+    def plan(limit):
+        monkeypatch.setattr(overlap, "BROADCAST_BYTES", limit)
+        out = overlap.overlap_join(reads, genes, key="gene_ord", also=("text",))
+        assert out.count() == 50
+        return out._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast")
+
+    # 31 bins of 50 genes at some 100 bytes, and 50 texts of 1,000
+    assert plan(1 << 20) == 2
+    assert plan(100_000) == 1
+    assert plan(10_000) == 0
