@@ -52,6 +52,14 @@ def transcript_models(runs: DataFrame) -> DataFrame:
     )
 
 
+def repeated_names(runs: DataFrame) -> DataFrame:
+    """gene_name of the genes of which two transcripts, by id, of a run have one name; a transcript is named
+    by its first line."""
+    named = runs.filter("feature <> 'gene' and transcript_id <> ''").groupBy("gene_name", "run", "transcript_id").agg(F.min_by("transcript_name", "line_no").alias("_name"))
+    several = named.groupBy("gene_name", "run", "_name").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    return several.select("gene_name").distinct()
+
+
 def validation(annotation: DataFrame) -> DataFrame:
     """gene_name with what is wrong with it, one column a rule; a name is invalid if one of its runs is."""
     runs = contig_runs(annotation)
@@ -63,8 +71,9 @@ def validation(annotation: DataFrame) -> DataFrame:
     shapes = models.groupBy("gene_name").agg(F.max(F.col("crossing").cast("int")).alias("exons_overlap"), F.max(F.col("backward").cast("int")).alias("exon_backward"))
     per_run = extents.join(models.groupBy("gene_name", "run").agg(F.count(F.lit(1)).alias("_n")), ["gene_name", "run"], "left")
     ids = per_run.groupBy("gene_name").agg(F.max((F.col("n_ids") > 1).cast("int")).alias("several_ids"), F.max(F.col("_n").isNull().cast("int")).alias("no_transcripts"))
-    rules = ["several_ids", "extent_differs", "no_transcript_id", "no_transcripts", "exon_backward", "exons_overlap"]
-    out = ids.join(off, "gene_name", "left").join(lines, "gene_name", "left").join(shapes, "gene_name", "left")
+    rules = ["several_ids", "extent_differs", "no_transcript_id", "no_transcripts", "name_repeated", "exon_backward", "exons_overlap"]
+    names = repeated_names(runs).withColumn("name_repeated", F.lit(1))
+    out = ids.join(off, "gene_name", "left").join(lines, "gene_name", "left").join(shapes, "gene_name", "left").join(names, "gene_name", "left")
     out = out.select("gene_name", *(F.coalesce(r, F.lit(0)).alias(r) for r in rules))
     return out.withColumn("invalid", F.greatest(*rules))
 

@@ -11,8 +11,8 @@ from ..functions import cigar, locus
 from ..functions import reads as names
 from ..operators import assign, dedup, density, filters, genemodel, identifiers, matrix, metrics, overlap, ranking, saturation
 from ..operators import expression as counts
-from ..session import settled
-from ..sources import annotation
+from ..session import new_folder, settled
+from ..sources import annotation, bam, sinks
 from . import views
 from .views import GENES_SQL, LINES_SQL, READS_SQL, identifiers_sql
 
@@ -173,6 +173,19 @@ def gff_forward_fill(spark, sf_dir):
     return annotation.gff(lines).select("line_no", "feature", "gene_id", "gene_name", "transcript_id")
 
 
+@query(f"""WITH l AS (SELECT event_id AS line_no, {_GFF} AS feature FROM events),
+g AS (SELECT *, sum(CASE WHEN feature = 'region' THEN 1 ELSE 0 END) OVER (ORDER BY line_no) AS region FROM l),
+f AS (SELECT *, max(CASE WHEN feature = 'gene' THEN line_no END) OVER w AS gene_at, max(CASE WHEN feature = 'mRNA' THEN line_no END) OVER w AS tx_at FROM g WINDOW w AS (PARTITION BY region ORDER BY line_no)),
+t AS (SELECT DISTINCT gene_at // 7 % 300 AS gene, tx_at, (tx_at // 7) * (tx_at // 7) // 7 % 40 AS name FROM f WHERE tx_at >= gene_at AND feature <> 'gene')
+SELECT DISTINCT concat('N', gene) AS gene_name FROM (SELECT gene, name FROM t GROUP BY 1, 2 HAVING count(*) > 1)""")
+def gff_repeated_names(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("event_id AS line_no", f"{_GFF} AS feature")
+    k = F.floor(F.col("line_no") / 7)
+    attributes = F.when(F.col("feature") == "gene", F.format_string("ID=g%d;Name=N%d", "line_no", k % 300)).when(F.col("feature") == "mRNA", F.format_string("ID=t%d;Name=m%d", "line_no", F.floor(k * k / 7) % 40)).otherwise(F.lit("Parent=y"))
+    lines = e.select("line_no", F.concat(F.lit("chr1\tx\t"), "feature", F.lit("\t1\t2\t.\t+\t.\t"), attributes).alias("value"))
+    return genemodel.repeated_names(genemodel.contig_runs(annotation.gff(lines)))
+
+
 _RUNS = LINES_SQL + """, lag_v AS (SELECT *, CASE WHEN contig = lag(contig) OVER (PARTITION BY gene_name ORDER BY line_no) THEN 0 ELSE 1 END AS fresh FROM lines_v),
 runs_v AS (SELECT *, CAST(sum(fresh) OVER (PARTITION BY gene_name ORDER BY line_no) AS INT) AS run FROM lag_v),
 extent_v AS (SELECT gene_name, run, min(line_no) AS gene_ord, arg_min(contig, line_no) AS contig, arg_min(gene_id, line_no) AS gene_id, min(start) AS start, max("end") AS "end", arg_min(strand, line_no) = '-' AS neg_strand, count(DISTINCT gene_id) AS n_ids FROM runs_v GROUP BY 1, 2),
@@ -182,9 +195,10 @@ cds_v AS (SELECT gene_name, run, transcript_id AS transcript_key, min(start) AS
 model_v AS (SELECT t.*, coalesce(cs, tx_start) AS cds_start, coalesce(ce, tx_end) AS cds_end FROM tx_v t LEFT JOIN cds_v USING (gene_name, run, transcript_key)),
 bad_v AS (SELECT e.gene_name, CAST(max(CASE WHEN n_ids > 1 THEN 1 ELSE 0 END) AS INT) AS several_ids,
   CAST(coalesce(max(o.off), 0) AS INT) AS extent_differs, CAST(max(n.nt) AS INT) AS no_transcript_id, CAST(max(CASE WHEN c.k IS NULL THEN 1 ELSE 0 END) AS INT) AS no_transcripts,
-  CAST(coalesce(max(c.backward), 0) AS INT) AS exon_backward, CAST(coalesce(max(c.crossing), 0) AS INT) AS exons_overlap FROM extent_v e
+  CAST(coalesce(max(d.twice), 0) AS INT) AS name_repeated, CAST(coalesce(max(c.backward), 0) AS INT) AS exon_backward, CAST(coalesce(max(c.crossing), 0) AS INT) AS exons_overlap FROM extent_v e
   LEFT JOIN (SELECT r.gene_name, max(CASE WHEN r.start <> x.start OR r."end" <> x."end" THEN 1 ELSE 0 END) AS off FROM runs_v r JOIN extent_v x USING (gene_name, run) WHERE r.feature = 'gene' GROUP BY 1) o USING (gene_name)
   LEFT JOIN (SELECT gene_name, max(CASE WHEN feature <> 'gene' AND transcript_id = '' THEN 1 ELSE 0 END) AS nt FROM runs_v GROUP BY 1) n USING (gene_name)
+  LEFT JOIN (SELECT gene_name, max(CASE WHEN n > 1 THEN 1 ELSE 0 END) AS twice FROM (SELECT gene_name, run, transcript_id AS name, count(DISTINCT transcript_id) AS n FROM runs_v WHERE feature <> 'gene' AND transcript_id <> '' GROUP BY 1, 2, 3) GROUP BY 1) d USING (gene_name)
   LEFT JOIN (SELECT gene_name, run, count(*) AS k, max(crossing) AS crossing, max(backward) AS backward FROM tx_v GROUP BY 1, 2) c ON c.gene_name = e.gene_name AND c.run = e.run GROUP BY 1)"""
 
 
@@ -198,7 +212,7 @@ def gene_extent(spark, sf_dir):
     return genemodel.gene_extents(genemodel.contig_runs(_annotation(spark, sf_dir)))
 
 
-@query(f"WITH {_RUNS} SELECT *, greatest(several_ids, extent_differs, no_transcript_id, no_transcripts, exon_backward, exons_overlap) AS invalid FROM bad_v")
+@query(f"WITH {_RUNS} SELECT *, greatest(several_ids, extent_differs, no_transcript_id, no_transcripts, name_repeated, exon_backward, exons_overlap) AS invalid FROM bad_v")
 def gene_validation(spark, sf_dir):
     return genemodel.validation(_annotation(spark, sf_dir))
 
@@ -208,7 +222,7 @@ def transcript_model(spark, sf_dir):
     return genemodel.transcript_models(genemodel.contig_runs(_annotation(spark, sf_dir))).drop("exons")
 
 
-@query(f"""WITH {_RUNS}, valid_v AS (SELECT gene_name FROM bad_v WHERE greatest(several_ids, extent_differs, no_transcript_id, no_transcripts, exon_backward, exons_overlap) = 0)
+@query(f"""WITH {_RUNS}, valid_v AS (SELECT gene_name FROM bad_v WHERE greatest(several_ids, extent_differs, no_transcript_id, no_transcripts, name_repeated, exon_backward, exons_overlap) = 0)
 SELECT e.gene_ord, e.contig, e.gene_name, e.start AS g_start, e."end" AS g_end, m.transcript_key, m.cds_start, m.cds_end, x.start AS exon_start, x."end" AS exon_end
 FROM extent_v e JOIN valid_v USING (gene_name) JOIN model_v m ON m.gene_name = e.gene_name AND m.run = e.run JOIN exon_v x ON x.gene_name = e.gene_name AND x.run = e.run AND x.transcript_id = m.transcript_key""")
 def gene_model(spark, sf_dir):
@@ -409,7 +423,7 @@ def summary_metrics(spark, sf_dir):
     from ..config import Config
     from .run import run
 
-    return run(views.reads(spark, sf_dir).withColumns({"seq": F.lit("*"), "qual": F.lit("*"), "tags": F.lit(None).cast("map<string,string>")}), views.genes(spark, sf_dir), Config()).summaries["FILTER & DEDUPLICATION METRICS"]
+    return run(_records(spark, sf_dir), views.genes(spark, sf_dir), Config()).summaries["FILTER & DEDUPLICATION METRICS"]
 
 
 # ---- identifiers --------------------------------------------------------------------------
@@ -515,7 +529,10 @@ def saturation_barcode(spark, sf_dir):
     return saturation.curve(_ordered(spark, sf_dir), "barcode", "bar_x", "bar_y1", "bar_y2")
 
 
-@query(_ORDERED + " " + _curve_sql("concat(CAST(split_part(barcode, '_', 3) AS INT) // 150, '_', CAST(split_part(barcode, '_', 4) AS INT) // 150)", "bin_x", "bin_y1", "bin_y2"))
+_BIN_OF = "concat(CAST(split_part(barcode, '_', 3) AS INT) // 150, '_', CAST(split_part(barcode, '_', 4) AS INT) // 150)"
+
+
+@query(_ORDERED + " " + _curve_sql(_BIN_OF, "bin_x", "bin_y1", "bin_y2"))
 def saturation_bin(spark, sf_dir):
     seen = _ordered(spark, sf_dir).withColumn("bin", saturation.spatial_bin(F.col("barcode")))
     return saturation.curve(saturation.first_seen(seen, "bin"), "bin", "bin_x", "bin_y1", "bin_y2")
@@ -580,11 +597,103 @@ def kde_threshold(spark, sf_dir):
     return spark.createDataFrame([(density.barcode_threshold(_supplied(spark, sf_dir)),)], "threshold double")
 
 
-@query()
+# ---- whole runs, and files read back ---------------------------------------------------------
+
+_RUN = _MODE2 + """, base_v AS (SELECT * FROM as_v WHERE hi IS NULL OR hi = 1),
+cnt_v AS (SELECT contig, cb AS barcode, CASE WHEN mapq >= 10 THEN coalesce(ge, 'NOGENE') ELSE 'NOGENE' END AS gene, ur AS umi, count(*) AS cnt FROM base_v GROUP BY 1, 2, 3, 4)""" + _ROOTS[len(_COUNTS):] + """,
+one_v AS (SELECT *, row_number() OVER (PARTITION BY contig, cb, ge, ur ORDER BY rec_idx) = 1 AS one FROM base_v WHERE mapq >= 10 AND ge IS NOT NULL)
+SELECT rec_idx, flag | 512 AS flag, 'lowq' AS status, CAST(NULL AS VARCHAR) AS xf, CAST(NULL AS VARCHAR) AS ge, CAST(NULL AS VARCHAR) AS ub FROM base_v WHERE mapq < 10
+UNION ALL SELECT rec_idx, flag, 'keep', xf, NULL, NULL FROM base_v WHERE mapq >= 10 AND ge IS NULL
+UNION ALL SELECT rec_idx, CASE WHEN one AND ur = root_umi THEN flag ELSE flag | 1024 END, CASE WHEN NOT one THEN 'dup' WHEN ur = root_umi THEN 'keep' ELSE 'collapsed' END, xf, ge, CASE WHEN one AND ur <> root_umi THEN root_umi END FROM one_v o JOIN roots_v r ON r.contig = o.contig AND r.barcode = o.cb AND r.gene = o.ge AND r.umi = o.ur"""
+
+
+@query(_RUN)
 def full_run(spark, sf_dir):
     """The output rows of a run that keeps and flags what it would drop."""
     from ..config import Config
     from .run import run
 
-    r = views.reads(spark, sf_dir).withColumns({"seq": F.lit("*"), "qual": F.lit("*"), "tags": F.lit(None).cast("map<string,string>")})
-    return run(r, views.genes(spark, sf_dir), Config(keep_low_quality=True, keep_duplicates=True, umi=True)).reads.select("rec_idx", "flag", "status", "xf", "ge", "ub")
+    return run(_records(spark, sf_dir), views.genes(spark, sf_dir), Config(keep_low_quality=True, keep_duplicates=True, umi=True)).reads.select("rec_idx", "flag", "status", "xf", "ge", "ub")
+
+
+def _records(spark, sf_dir):
+    """The reads with bases, qualities and tags."""
+    return views.reads(spark, sf_dir).withColumns({"seq": F.lit("*"), "qual": F.lit("*"), "tags": F.create_map(F.lit("XR"), F.col("rec_idx").cast("string"))})
+
+
+_CONTIGS = [("chr1", 80_000), ("chr2", 80_000), ("chr3", 80_000)]
+
+
+def _bam(spark, sf_dir):
+    """The reads as files sorted by place, one a task."""
+    bam.register(spark)
+    folder = new_folder(spark, "bam")
+    rows = _records(spark, sf_dir).repartitionByRange("contig", "pos").sortWithinPartitions("contig", "pos")
+    rows.write.format("bam").mode("append").option("contigs", ",".join(f"{c}:{n}" for c, n in _CONTIGS)).option("sorted", "true").save(folder)
+    files = bam.files(folder)
+    return files, spark.read.format("bam").option("splitBytes", str(256 << 10)).load(files)
+
+
+@query(f"WITH {READS_SQL} SELECT rec_idx, qname, flag, contig, pos, mapq, cigar, mpos, isize, hi FROM reads_v")
+def bam_read_back(spark, sf_dir):
+    read = _bam(spark, sf_dir)[1].withColumn("rec_idx", F.try_element_at("tags", F.lit("XR")).cast("bigint"))
+    return read.select("rec_idx", "qname", "flag", "contig", "pos", "mapq", "cigar", "mpos", "isize", "hi")
+
+
+@query(f"WITH {READS_SQL}, {_OPS} SELECT r.qname FROM reads_v r JOIN len_v USING (rec_idx) WHERE contig = 'chr2' AND pos < 31000 AND pos + ref_len > 30000")
+def bam_range_scan(spark, sf_dir):
+    """No read is longer than 1,100 places, so the range bounds positions on both sides."""
+    length = cigar.reference_length(cigar.operations(F.col("cigar")))
+    return filters.in_range(_bam(spark, sf_dir)[1], "chr2", 30_000, 31_000, length, longest=1100).select("qname")
+
+
+@query(f"WITH {READS_SQL} SELECT CAST(right(contig, 1) AS INT) - 1 AS contig_idx, contig, CAST(80000 AS BIGINT) AS length, count(*) AS n FROM reads_v GROUP BY 2")
+def bam_contigs(spark, sf_dir):
+    """The contigs of files' headers, with the reads on each."""
+    files, read = _bam(spark, sf_dir)
+    return bam.contigs(spark, files).join(read.groupBy("contig").agg(F.count(F.lit(1)).alias("n")), "contig").select("contig_idx", "contig", "length", "n")
+
+
+@query(_EXPRESSION + " SELECT barcode, gene, umi_cnt FROM exp_v")
+def expression_file(spark, sf_dir):
+    folder = new_folder(spark, "expression")
+    sinks.write_expression(_expression_query(spark, sf_dir), folder)
+    return sinks.read_expression(spark, folder)
+
+
+@query(_INDEX + """, t_v AS (SELECT i, j, umi_cnt AS cnt FROM kept_v JOIN i_v USING (barcode) JOIN j_v USING (gene))
+SELECT 'matrix' AS file, concat_ws(' ', i, j, cnt) AS line FROM t_v UNION ALL SELECT 'matrix', unnest(['%%MatrixMarket matrix coordinate real general', '%', concat_ws(' ', (SELECT count(*) FROM i_v), (SELECT count(*) FROM j_v), (SELECT count(*) FROM t_v))])
+UNION ALL SELECT 'barcodes', barcode FROM i_v UNION ALL SELECT 'genes', gene FROM j_v""")
+def matrix_files(spark, sf_dir):
+    folder = new_folder(spark, "matrix")
+    sinks.write_matrix(*matrix.triplets(matrix.filtered(_expression(spark, sf_dir), 3)), folder)
+    read = lambda file, name: spark.read.text(f"{folder}/{name}").select(F.lit(file).alias("file"), F.col("value").alias("line"))
+    return read("matrix", "matrix.mtx").unionByName(read("barcodes", "barcodes.tsv")).unionByName(read("genes", "genes.tsv"))
+
+
+@query(_ORDERED + " " + _curve_sql("barcode", "bar_x", "bar_y1", "bar_y2"))
+def saturation_file(spark, sf_dir):
+    folder = new_folder(spark, "saturation")
+    sinks.write_saturation(saturation.curve(_ordered(spark, sf_dir), "barcode", "bar_x", "bar_y1", "bar_y2"), folder)
+    return spark.read.schema("sample double, bar_x bigint, bar_y1 double, bar_y2 bigint").csv(folder, sep=" ", header=True)
+
+
+_COUNTED = f"sat_v AS (SELECT cb AS barcode, CASE WHEN rec_idx % 9 = 0 THEN 'NOGENE' ELSE concat('G', rec_idx % 13) END AS gene, ur AS umi, CAST(max(rec_idx % 4) AS BIGINT) AS cnt FROM named_v GROUP BY 1, 2, 3)"
+
+
+@query(f"WITH {READS_SQL}, {_COUNTED}, smp_v AS (SELECT 1.0::DOUBLE AS sample, barcode, gene, umi FROM (SELECT *, unnest(range(cnt)) FROM sat_v)) SELECT * FROM ({_curve_sql('barcode', 'bar_x', 'bar_y1', 'bar_y2')}) JOIN ({_curve_sql(_BIN_OF, 'bin_x', 'bin_y1', 'bin_y2')}) USING (sample)")
+def saturation_whole(spark, sf_dir):
+    """The last level of reads in random order, which has them all; identifiers of no reads do not count."""
+    r = _named(spark, sf_dir).select(F.col("cb").alias("barcode"), F.when(F.col("rec_idx") % 9 == 0, "NOGENE").otherwise(F.concat(F.lit("G"), (F.col("rec_idx") % 13).cast("string"))).alias("gene"), F.col("ur").alias("umi"), (F.col("rec_idx") % 4).alias("cnt"))
+    table = r.groupBy("barcode", "gene", "umi").agg(F.max("cnt").alias("cnt"))
+    return saturation.saturation(table, coordinates=True).filter("sample = 1")
+
+
+_HEAD = ("total", "pass_filter", "annotated", "unique", "fail_filter_rate", "fail_annotate_rate", "duplication_rate")
+_VALUES = ", ".join(f"printf('%.2f', {c})" if c.endswith("_rate") else f'"{c}"' for c in _HEAD)
+
+
+@query(f"""WITH {_SQL["summary_metrics"][5:].replace("SELECT *, round(", ", m_v AS (SELECT *, round(", 1)}) SELECT unnest(['## FILTER & DEDUPLICATION METRICS', '{chr(9).join(_HEAD).upper()}', concat_ws(chr(9), {_VALUES})]) AS line FROM m_v""")
+def summary_lines(spark, sf_dir):
+    text = sinks.summary_text({"FILTER & DEDUPLICATION METRICS": summary_metrics(spark, sf_dir)})
+    return spark.createDataFrame([(line,) for line in text.splitlines()], "line string")

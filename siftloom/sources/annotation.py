@@ -32,16 +32,17 @@ def fields(lines: DataFrame) -> DataFrame:
 
 def gtf(lines: DataFrame) -> DataFrame:
     """The annotation of GTF lines (line_no, value). Records without a gene name are left out; a
-    transcript goes by its id."""
+    transcript goes by its id, which is its name too."""
     rows = fields(lines)
     for name in ("gene_id", "gene_name", "transcript_id"):
         rows = rows.withColumn(name, gtf_attribute(F.col("attributes"), name))
-    return rows.drop("attributes").filter("gene_name <> ''")
+    return rows.withColumn("transcript_name", F.col("transcript_id")).drop("attributes").filter("gene_name <> ''")
 
 
 def gff(lines: DataFrame) -> DataFrame:
     """The annotation of GFF lines (line_no, value). Gene and transcript names are those of the last
-    gene and transcript line above, within a region; a line of feature region starts one.
+    gene and transcript line above, within a region; a line of feature region starts one. A transcript
+    without a name has that of the last one above that has any.
 
     Regions are told apart by a running count within each range of line numbers, after what the
     ranges ahead hold. Carrying names forward is done by region.
@@ -59,9 +60,10 @@ def gff(lines: DataFrame) -> DataFrame:
     last = lambda when, c: F.coalesce(F.last(F.when(when, c), ignorenulls=True).over(above), F.lit(""))
     gene_at = F.coalesce(F.max(F.when(is_gene, F.col("line_no"))).over(above), F.lit(-1))
     transcript_at = F.max(F.when(is_transcript, F.col("line_no"))).over(above)
-    rows = rows.withColumns({"gene_id": last(is_gene, F.col("_id")), "gene_name": last(is_gene, F.when(F.col("_name") == "", F.col("_id")).otherwise(F.col("_name"))), "_fresh": F.coalesce(transcript_at >= gene_at, F.lit(False)), "_tx": last(is_transcript, F.col("_id"))})
-    rows = rows.withColumn("transcript_id", F.when(F.col("_fresh") & ~is_gene, F.col("_tx")).otherwise(""))
-    return rows.drop("attributes", "_id", "_name", "_region", "_fresh", "_tx").filter("gene_name <> ''")
+    rows = rows.withColumns({"gene_id": last(is_gene, F.col("_id")), "gene_name": last(is_gene, F.when(F.col("_name") == "", F.col("_id")).otherwise(F.col("_name"))), "_fresh": F.coalesce(transcript_at >= gene_at, F.lit(False)), "_tx": last(is_transcript, F.col("_id")), "_tx_name": last(is_transcript & (F.col("_name") != ""), F.col("_name"))})
+    told = F.col("_fresh") & ~is_gene
+    rows = rows.withColumns({"transcript_id": F.when(told, F.col("_tx")).otherwise(""), "transcript_name": F.when(told, F.col("_tx_name")).otherwise("")})
+    return rows.drop("attributes", "_id", "_name", "_region", "_fresh", "_tx", "_tx_name").filter("gene_name <> ''")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

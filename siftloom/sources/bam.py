@@ -111,6 +111,15 @@ def contigs(spark: SparkSession, paths: str) -> DataFrame:
     return spark.createDataFrame([(k, c, n) for k, (c, n) in enumerate(heads[0])], CONTIGS)
 
 
+def files(folder: str) -> str:
+    """The files that were written to a folder, as load() takes them."""
+    from pyarrow import fs
+
+    system, inner = _open(folder)
+    found = sorted(f.path for f in system.get_file_info(fs.FileSelector(inner)) if f.path.endswith(".bam"))
+    return ",".join(folder.rstrip("/") + "/" + p.rpartition("/")[2] for p in found)
+
+
 @dataclass
 class Range(InputPartition):
     path: str

@@ -382,3 +382,17 @@ def test_command_line(spark, tmp_path):
     assert sinks.read_expression(spark, f"{tmp_path}/out/expression", reads=True).count() > 0
     assert spark.read.text(f"{tmp_path}/out/summary").count() > 8
     assert spark.read.text(f"{tmp_path}/out/saturation").count() == 12
+
+
+def test_a_gene_of_transcripts_that_share_a_name_is_left_out(spark):
+    """Names are those of a transcript's own line, or the last above; a region forgets them."""
+    lines = [
+        "c1\tx\tregion\t1\t999\t.\t+\t.\tID=r", "c1\tx\tgene\t1\t90\t.\t+\t.\tID=1;Name=A",
+        "c1\tx\tmRNA\t1\t90\t.\t+\t.\tID=a;Name=same", "c1\tx\texon\t1\t40\t.\t+\t.\tParent=a", "c1\tx\tmRNA\t1\t90\t.\t+\t.\tID=b;Name=same", "c1\tx\texon\t50\t90\t.\t+\t.\tParent=b",
+        "c1\tx\tgene\t100\t190\t.\t+\t.\tID=2;Name=B", "c1\tx\tmRNA\t100\t190\t.\t+\t.\tID=c;Name=one", "c1\tx\texon\t100\t140\t.\t+\t.\tParent=c", "c1\tx\tmRNA\t100\t190\t.\t+\t.\tID=d;Name=two", "c1\tx\texon\t150\t190\t.\t+\t.\tParent=d",
+        "c1\tx\tgene\t200\t290\t.\t+\t.\tID=3;Name=C", "c1\tx\tmRNA\t200\t290\t.\t+\t.\tID=e;Name=three", "c1\tx\texon\t200\t240\t.\t+\t.\tParent=e", "c1\tx\tmRNA\t200\t290\t.\t+\t.\tID=f", "c1\tx\texon\t250\t290\t.\t+\t.\tParent=f",
+    ]
+    rows = annotation.gff(spark.createDataFrame(list(enumerate(lines)), "line_no long, value string"))
+    assert {r.gene_name for r in genemodel.repeated_names(genemodel.contig_runs(rows)).collect()} == {"A", "C"}
+    assert {r.gene_name: r.name_repeated for r in genemodel.validation(rows).collect()} == {"A": 1, "B": 0, "C": 1}
+    assert [r.gene_name for r in genemodel.gene_model(rows).collect()] == ["B"]
