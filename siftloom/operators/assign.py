@@ -1,9 +1,8 @@
 """Assigning each read the gene it comes from, by one of three rules.
 
 A row for each read and overlapping gene carries what the rules need: the gene's function for the
-read, counts of bases, whether the strands match, and which blocks meet an exon. These narrow rows
-are gathered by read, of which few have more than a handful, and the rules are expressions on the
-gathered array.
+read, counts of bases, whether the strands match, and which blocks meet an exon. The rules are
+aggregates of these narrow rows by read, which combine before they are sent.
 """
 
 from __future__ import annotations
@@ -67,34 +66,50 @@ def rule2(rows: DataFrame) -> DataFrame:
     return out.select(*READ_ID, label(F.col("f")).alias("xf"), F.when(given, F.col("gene")).alias("ge"), F.when(given, _strand(F.col("g_neg"))).alias("gs"), F.col("same").alias("right"), (~F.col("same")).alias("wrong"), F.lit(False).alias("fixed"), F.lit(False).alias("rejected"), "f")
 
 
-def rule01(rows: DataFrame, mode: int) -> DataFrame:
-    """Candidates are genes whose exons blocks meet: for rule 0 a gene that alone is met by any block,
-    for rule 1 those met by every block that meets one after the last that shares none with those
-    before. Of the candidates whose function is exonic or UTR, one on the read's strand is given."""
-    one = F.struct("g_start", "g_ord", "gene", "g_neg", "same", "f", "hits")
-    g = rows.groupBy(*READ_ID).agg(F.array_sort(F.collect_list(one)).alias("g"))
-    names = lambda k: F.transform(F.filter("g", lambda x: F.get(x["hits"], k)), lambda x: x["g_ord"])
-    if mode == 0:
-        met = F.transform(F.filter("g", lambda x: F.exists(x["hits"], lambda h: h)), lambda x: x["g_ord"])
-        met = F.when(F.size(met) == 1, met).otherwise(F.array().cast("array<bigint>"))
-        top = F.array_max(F.transform(F.filter("g", lambda x: x["same"]), lambda x: x["f"]))
-    else:
-        each = F.transform(F.sequence(F.lit(0), F.size(F.get("g", 0)["hits"]) - 1), names)
-        each = F.when(F.size(F.get("g", 0)["hits"]) > 0, each).otherwise(F.array().cast("array<array<bigint>>"))
-        met = F.aggregate(each, F.array().cast("array<bigint>"), lambda a, t: F.when((F.size(a) > 0) & (F.size(t) > 0), F.array_intersect(a, t)).otherwise(t))
-        top = F.array_max(F.transform("g", lambda x: x["f"]))
-    g = g.withColumns({"_met": met, "_top": F.coalesce(top, F.lit(INTERGENIC))})
-    cand = g.withColumn("_c", F.filter("g", lambda x: F.array_contains("_met", x["g_ord"]) & (x["f"] >= UTR)))
-    cand = cand.withColumns({"_s": F.filter("_c", lambda x: x["same"]), "_o": F.size(F.filter("_c", lambda x: ~x["same"]))}).withColumn("_n", F.size("_s"))
+def _by_strand(g: DataFrame, n_same: Column, n_other: Column, one: Column) -> DataFrame:
+    """The gene that is given of candidates counted by strand; one: the candidate on the read's strand, of
+    g with _top."""
+    g = g.withColumns({"_n": n_same, "_o": n_other, "_one": one})
     wrong, rejected, fixed = (F.col("_n") == 0) & (F.col("_o") > 0), F.col("_n") > 1, (F.col("_n") == 1) & (F.col("_o") > 0)
-    only = F.when(F.col("_n") == 1, F.get("_s", 0))
-    return cand.select(*READ_ID, label(F.col("_top")).alias("xf"), only["gene"].alias("ge"), F.when(F.col("_n") == 1, _strand(only["g_neg"])).alias("gs"), (~wrong & ~rejected).alias("right"), wrong.alias("wrong"), fixed.alias("fixed"), rejected.alias("rejected"), F.col("_top").alias("f"))
+    only = lambda c: F.when(F.col("_n") == 1, F.col(f"_one.{c}"))
+    top = F.coalesce("_top", F.lit(INTERGENIC))
+    return g.select(*READ_ID, label(top).alias("xf"), only("gene").alias("ge"), F.when(F.col("_n") == 1, _strand(only("g_neg"))).alias("gs"), (~wrong & ~rejected).alias("right"), wrong.alias("wrong"), fixed.alias("fixed"), rejected.alias("rejected"), top.alias("f"))
+
+
+def rule0(rows: DataFrame) -> DataFrame:
+    """The gene whose exons are met by any block, if it is the only one, its function is exonic or UTR and it
+    is on the read's strand. Aggregates alone, which combine before they are sent."""
+    hit = F.exists("hits", lambda h: h)
+    g = rows.groupBy(*READ_ID).agg(F.count_if(hit).alias("_hit"), F.max(F.when(hit, F.struct("g_ord", "gene", "g_neg", "same", "f"))).alias("_g"), F.max(F.when(F.col("same"), F.col("f"))).alias("_top"))
+    fits = (F.col("_hit") == 1) & (F.col("_g.f") >= UTR)
+    return _by_strand(g, (fits & F.col("_g.same")).cast("long"), (fits & ~F.col("_g.same")).cast("long"), F.col("_g"))
+
+
+def rule1(rows: DataFrame) -> DataFrame:
+    """Of the genes that every block meets which meets one, after the last block that shares none with those
+    before, those whose function is exonic or UTR; the one on the read's strand is given if it is alone.
+
+    Which genes a block keeps depends on nothing but which blocks each gene meets. So genes of a read are
+    counted by that pattern of blocks, before they are sent, and the blocks are gone through on patterns.
+    """
+    pattern = F.array_join(F.transform("hits", lambda h: F.when(h, "1").otherwise("0")), "")
+    fits = F.col("f") >= UTR
+    by = rows.groupBy(*READ_ID, pattern.alias("blocks")).agg(F.count_if(fits & F.col("same")).alias("same"), F.count_if(fits & ~F.col("same")).alias("other"), F.max(F.when(fits & F.col("same"), F.struct("g_ord", "gene", "g_neg"))).alias("one"), F.max("f").alias("_top"))
+    g = by.groupBy(*READ_ID).agg(F.collect_list(F.struct("blocks", "same", "other", "one")).alias("p"), F.max("_top").alias("_top"))
+    meet = lambda k: F.transform(F.filter("p", lambda x: F.substring(x["blocks"], k, F.lit(1)) == "1"), lambda x: x["blocks"])
+    n = F.length(F.get("p", 0)["blocks"])
+    none = F.array().cast("array<string>")
+    each = F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), meet)).otherwise(F.array().cast("array<array<string>>"))
+    left = F.aggregate(each, none, lambda a, t: F.when((F.size(a) > 0) & (F.size(t) > 0), F.array_intersect(a, t)).otherwise(t))
+    g = g.withColumn("_left", left).withColumn("_c", F.filter("p", lambda x: F.array_contains("_left", x["blocks"])))
+    total = lambda c: F.aggregate("_c", F.lit(0).cast("long"), lambda a, x: a + x[c])
+    return _by_strand(g, total("same"), total("other"), F.array_max(F.transform("_c", lambda x: x["one"])))
 
 
 def annotate(reads: DataFrame, genes: DataFrame, mode: int = 2, broadcast: bool | None = None) -> DataFrame:
     """reads with xf (function), ge, gs (gene and its strand), all null where no gene overlaps or is
     given, and what the metrics count: nogene, right, wrong, fixed, rejected and f."""
     rows = gene_rows(reads, genes, mode, broadcast)
-    found = rule2(rows) if mode == 2 else rule01(rows, mode)
+    found = (rule0, rule1, rule2)[mode](rows)
     out = reads.join(found, READ_ID, "left").withColumn("nogene", F.col("f").isNull())
     return out.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("right", "wrong", "fixed", "rejected")})
