@@ -11,6 +11,7 @@ import gc
 import json
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -59,11 +60,15 @@ class _Ids:
             raise ValueError(f"words of a tokenizer that normalises by {kinds} can't be told apart")
         self.split = regex.compile(rule).findall
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        #: A character of every special token, so that words without it hold none; '' if there is no such.
+        self.mark = min(set.intersection(*map(set, self.special)), default="") if self.special else "\0"
         self.model = self.tokenizer.model
         self.words, self.parts = Recent(self.word), Recent(self.part)
 
     def word(self, text: str) -> bytes:
-        if PLAIN.fullmatch(text) and not any(x in text for x in self.special):
+        if text.isascii() and text.isalpha():  # letters alone are one part
+            return self.parts[text.lower()]
+        if PLAIN.fullmatch(text) and (self.mark not in text or not any(x in text for x in self.special)):
             return b"".join(map(self.parts.__getitem__, self.split(text.lower())))
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
@@ -71,7 +76,7 @@ class _Ids:
         """Ids of each text, without an end."""
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         words = lists.flatten().dictionary_encode()
-        ids = [*map(self.words.__getitem__, words.dictionary.to_pylist())]
+        ids = [*map(self.words.__getitem__, words.dictionary.to_numpy(zero_copy_only=False).tolist())]
         at = words.indices.to_numpy()
         sizes = np.array([len(x) // 4 for x in ids], dtype=np.int64)
         starts = np.cumsum(sizes) - sizes
@@ -84,7 +89,7 @@ class _Ids:
 
     def part(self, text: str) -> bytes:
         shown = text if text.isascii() else "".join(map(BYTE_CHARS.__getitem__, text.encode()))
-        return b"".join(x.id.to_bytes(4, "little") for x in self.model.tokenize(shown))
+        return array("I", [x.id for x in self.model.tokenize(shown)]).tobytes()
 
     def room(self, mb: int) -> None:
         """Keep about so many MB of words, twice, and of their parts half of that or 12 MB."""
