@@ -121,7 +121,7 @@ class PieceCodec:
         texts = pc.fill_null(texts, "")
         lists = pc.split_pattern(texts, " ")
         units = lists.flatten().dictionary_encode()
-        words = units.dictionary.to_pylist()
+        words = units.dictionary.to_numpy(zero_copy_only=False).tolist()
         odd = np.array([w == "" or SPACE in w for w in words], dtype=bool)  # next to it a run of spaces, or no word
         known = [b"" if o else self.unit(w) for w, o in zip(words, odd, strict=True)]
         size = np.array([len(b) >> 2 for b in known], dtype=np.int64)
