@@ -2,8 +2,10 @@
 
 Words are counted over all training documents. The most frequent words are the model's outputs; all
 other words share outputs by their last three characters, and within such a class a word has the
-share of its count. Every task trains on its own part of the corpus from the same start and the
-parameters are averaged, so all documents are trained on and the driver sees one set of parameters.
+share of its count. Training documents are dealt into shards of some two million tokens by a hash, so
+how files are split does not matter, and into rounds. In a round each shard goes on from the same
+parameters and step sizes with its documents of that round, and the results are averaged by tokens. All
+documents are trained on once, and the driver sees one set of parameters a round.
 At scoring, one matrix product gives a block of positions their scores over all outputs, which are
 normalised in full.
 
@@ -27,12 +29,14 @@ from pyspark.sql import functions as F
 from .common import byte_slices, cut, in_arrow, words_of
 
 #: Outputs: single words, classes of the other words, and the end.
-WORDS, CLASSES = 191, 64
+WORDS, CLASSES = 959, 64
 END, START = WORDS + CLASSES, WORDS + CLASSES + 1
 #: Words before a position that its score looks at, and numbers that stand for a word.
 CONTEXT, WIDTH = 4, 16
 #: Noise samples of a block of positions, and positions of a block.
 NOISE, BLOCK = 32, 2048
+#: Tokens of a shard, shards until which it stays at that, and rounds of averaging.
+SHARD, SHARDS, ROUNDS = 2_000_000, 64, 4
 #: Words that every task holds with their counts, and the longest of them.
 HEAD, HEAD_CHARS = 1 << 17, 64
 
@@ -133,14 +137,18 @@ class LogBilinear:
         self.parts = [draw(START + 1, WIDTH), draw(END + 1, WIDTH), np.full((CONTEXT, WIDTH), 1 / CONTEXT, dtype=np.float32), np.log(unigram).astype(np.float32)]
         self.noise = unigram
 
+        #: Sums of squared steps, from which step sizes are taken.
+        self.squares = [np.full(p.shape, 1e-4) for p in self.parts]
+
     def flat(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in self.parts])
+        return np.concatenate([p.ravel() for p in (*self.parts, *self.squares)])
 
     def fill(self, flat: np.ndarray) -> None:
         at = 0
-        for k, p in enumerate(self.parts):
-            self.parts[k] = flat[at : at + p.size].reshape(p.shape).astype(np.float32)
-            at += p.size
+        for parts in (self.parts, self.squares):
+            for k, p in enumerate(parts):
+                parts[k] = flat[at : at + p.size].reshape(p.shape).astype(p.dtype)
+                at += p.size
 
     def predicted(self, whole: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         context, _, scale, _ = self.parts
@@ -164,7 +172,7 @@ class LogBilinear:
             out[k : k + BLOCK] = here - np.log(s.sum(axis=1))
         return out
 
-    def train(self, whole: np.ndarray, at: np.ndarray, rng: np.random.Generator, squares: list[np.ndarray], rate: float = 0.15) -> None:
+    def train(self, whole: np.ndarray, at: np.ndarray, rng: np.random.Generator, rate: float = 0.15) -> None:
         """One pass of noise-contrastive estimation with adaptive steps: each true output is told
         from noise drawn for its block."""
         context, target, scale, bias = self.parts
@@ -188,56 +196,97 @@ class LogBilinear:
             for c in range(CONTEXT):
                 steps[0] += spread(seen[c].astype(np.int64), dq * scale[c], START + 1)
                 steps[2][c] = (dq * context[seen[c]]).sum(axis=0)
-            for p, g, s in zip(self.parts, steps, squares, strict=True):
+            for p, g, s in zip(self.parts, steps, self.squares, strict=True):
                 g = g / len(part)
                 s += g * g
                 p += rate * g / np.sqrt(s + 1e-8)
 
 
-def _laid(texts: pa.Array, outputs: Outputs) -> tuple[np.ndarray, np.ndarray]:
-    words, sizes = words_of(texts)
-    return outputs.laid(outputs.look(words)[1], sizes)
+def shards(tokens: int) -> int:
+    """How many shards so many training tokens are dealt into: of SHARD tokens each up to SHARDS of them,
+    which then grow to SHARDS times as much before there are more."""
+    return max(1, min(SHARDS, tokens // SHARD), tokens // (SHARDS * SHARD))
 
 
-def train_model(train: DataFrame, counts: Counts) -> LogBilinear:
-    """One round over all rows of train (column _text), averaged by tokens."""
+def untrained(counts: Counts) -> LogBilinear:
+    """The model before training: outputs have their share of the training tokens as bias."""
     sums = np.full(END + 1, 0.5)
     own = min(WORDS, len(counts.head))
     sums[:own] += counts.head_counts[:own]
     sums[WORDS:END] += counts.class_mass
     ends = counts.words.filter("word = ''").first()
     sums[END] += ends["c"] if ends else 0
-    model = LogBilinear(sums / sums.sum())
-    shared = train.sparkSession.sparkContext.broadcast((model, counts.head))
+    return LogBilinear(sums / sums.sum())
+
+
+def train_model(train: DataFrame, counts: Counts) -> LogBilinear:
+    """One pass over all rows of train (columns _key and _text) in ROUNDS rounds.
+
+    Rows are dealt by a hash of key and text (a null key counts by the row's place, so that copies are not
+    dealt together) and taken in its order, so the result depends on the rows alone. Texts are numbered
+    once, two bytes a token, and these numbers are what is shuffled.
+    """
+    model, spark = untrained(counts), train.sparkSession
+    words = spark.sparkContext.broadcast(counts.head)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        outputs = Outputs(words.value)
+        for batch in batches:
+            for start, rows in byte_slices(batch.column(1)):
+                part = batch.slice(start, rows)
+                found, sizes = words_of(part.column(1))
+                raw = outputs.look(found)[1].astype("<i2").tobytes()
+                edges = (2 * np.concatenate([[0], np.cumsum(sizes)])).tolist()
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([raw[a:b] for a, b in zip(edges, edges[1:], strict=False)], pa.binary())], names=["h", "ids"])
+
+    who = F.coalesce(F.col("_key").cast("string"), F.concat(F.lit(" "), F.monotonically_increasing_id().cast("string")))
+    dealt = cut(in_arrow(train.select(F.xxhash64(who, "_text").alias("h"), "_text"), number, "h long, ids binary"))
+    n = shards(counts.n)
+    for k in range(ROUNDS):
+        part = dealt.filter(F.pmod(F.shiftright("h", 40), F.lit(ROUNDS)) == k).withColumn("_shard", F.pmod("h", F.lit(n)))
+        found = _round(part.repartition(n, "_shard").sortWithinPartitions("h", "ids").select("ids"), model, k)
+        if found:
+            flat = np.zeros(len(found))
+            for r in found:
+                flat[r["i"]] = r["x"]
+            model.fill(flat)
+    return model
+
+
+def _round(dealt: DataFrame, model: LogBilinear, k: int) -> list:
+    """Parameters and squares (i, x) after each partition has gone on from the model, averaged by tokens."""
+    shared = dealt.sparkSession.sparkContext.broadcast((model.noise, model.flat()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, head = shared.value
-        own, outputs = LogBilinear(model.noise), Outputs(head)
-        rng, squares, seen = np.random.default_rng(5), [np.full(p.shape, 1e-4) for p in own.parts], 0
+        from pyspark import TaskContext
+
+        noise, flat = shared.value
+        own, seen = LogBilinear(noise), 0
+        own.fill(flat)
+        rng = np.random.default_rng([5, k, TaskContext.get().partitionId()])
         for batch in batches:
-            for start, rows in byte_slices(batch.column(0)):
-                whole, at = _laid(batch.column(0).slice(start, rows), outputs)
-                own.train(whole, at, rng, squares)
-                seen += len(at)
+            ids = batch.column(0)
+            sizes = pc.binary_length(ids).to_numpy().astype(np.int64) // 2
+            out = np.frombuffer(b"".join(ids.to_pylist()), dtype="<i2")
+            whole, at = Outputs.laid(out, sizes)
+            own.train(whole, at, rng)
+            seen += len(at)
         if seen:
             flat = own.flat().astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * seen), pa.array(np.full(len(flat), float(seen)))], names=["i", "x", "w"])
 
-    found = in_arrow(train.select("_text"), work, "i long, x double, w double").groupBy("i").agg((F.sum("x") / F.sum("w")).alias("x")).collect()
-    if found:
-        flat = np.zeros(len(found))
-        for r in found:
-            flat[r["i"]] = r["x"]
-        model.fill(flat)
-    return model
+    out = in_arrow(dealt, work, "i long, x double, w double").groupBy("i").agg((F.sum("x") / F.sum("w")).alias("x")).collect()  # parameters alone
+    shared.unpersist()
+    return out
 
 
 def lm_scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, held_out (not train), n_tokens, n_known, train_tokens, base_score and score of every row.
 
     base_score is the smoothed unigram's log10 probability of the text, score the model's; both
-    cover the words and one end. A null text is empty: an end alone. Repeated rows and ids stay. An
-    empty table gives an empty one.
+    cover the words and one end. A null text is empty: an end alone. Texts of any length are scored whole.
+    Repeated rows and ids stay. Of equally frequent words the first by name are outputs. Columns of docs other
+    than these two, whatever their names, are read for train alone. An empty table gives an empty one.
     """
     frame = docs.select(F.col(key).alias("_key"), (~train).alias("_held"), F.col(text).alias("_text"))
     learned = frame.filter(~F.col("_held"))

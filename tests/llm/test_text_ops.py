@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
 
@@ -102,6 +103,47 @@ def test_scores_match_counts_and_learn_context(spark, docs):
     assert sum(r["score"] for k, r in got.items() if r["held_out"]) > sum(r["base_score"] for k, r in got.items() if r["held_out"])
 
 
+def test_scores_are_those_of_the_parameters(spark, docs):
+    """Every score from the trained parameters by plain sums: softmax over all outputs, then a word's share
+    of its class."""
+    import math
+
+    rng = random.Random(8)
+    names = [f"w{k}" for k in range(1500)]
+    texts = [" ".join(rng.choices(names, weights=[1 / (k + 1) for k in range(1500)], k=rng.randrange(30))) for _ in range(400)] + ["", None, "unknownword w1", "W1 été"]
+    table, train = docs(texts), F.col("doc_id") % 3 != 0
+    got = {r["doc_id"]: r["score"] for r in lm.lm_scores(table, train).collect()}
+    frame = table.filter(train).select(F.col("doc_id").alias("_key"), F.col("text").alias("_text"))
+    counts = lm.gather(frame)
+    model = lm.train_model(frame, counts)
+    c = {r["word"]: r["c"] for r in counts.words.collect()}
+    place = {w: k for k, w in enumerate(counts.head.to_pylist()[: lm.WORDS])}
+    context, target, scale, bias = model.parts
+    for k in [*range(0, 400, 23), 400, 401, 402, 403]:
+        words = [w.decode() for w in (texts[k] or "").encode().lower().split()]
+        out = [place[w] if w in place else lm.WORDS + zlib.crc32(w[-3:].encode()) % lm.CLASSES for w in words] + [lm.END]
+        seen, total = [lm.START] * lm.CONTEXT, 0.0
+        for i, o in enumerate(out):
+            q = sum(context[seen[-1 - j]].astype(float) * scale[j] for j in range(lm.CONTEXT))
+            s = target.astype(float) @ q + bias
+            total += s[o] - s.max() - math.log(np.exp(s - s.max()).sum())
+            if lm.WORDS <= o < lm.END:
+                total += math.log((c.get(words[i], 0) + 0.5) / counts.class_mass[o - lm.WORDS])
+            seen.append(o)
+        assert got[k] == pytest.approx(total / math.log(10), rel=1e-4, abs=1e-4)
+
+
+def test_what_is_learned_does_not_depend_on_the_split(spark, data):
+    """The gain over the base on held-out documents is the same in 4 and in 64 partitions."""
+    table = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
+    gain = []
+    for n in (4, 64):
+        r = lm.lm_scores(table.repartition(n), F.col("doc_id") % 5 != 1).filter("held_out").agg(F.sum("score") - F.sum("base_score"), F.sum("n_tokens")).first()
+        gain.append(r[0] / r[1])
+    assert gain[0] > 0.02 and gain[1] == pytest.approx(gain[0], rel=1e-3)
+    assert [lm.shards(n) for n in (0, 10**6, 5 * 10**6, 10**9, 10**12)] == [1, 1, 2, 64, 7812]
+
+
 def test_probabilities_of_all_outputs_sum_to_one():
     model = lm.LogBilinear(np.full(lm.END + 1, 1 / (lm.END + 1)))
     whole = np.full(lm.CONTEXT + 1, lm.START, dtype=np.int16)
