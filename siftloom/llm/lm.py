@@ -134,7 +134,8 @@ class LogBilinear:
     def __init__(self, unigram: np.ndarray) -> None:
         rng = np.random.default_rng(11)
         draw = lambda *shape: (rng.standard_normal(shape) * 0.3).astype(np.float32)
-        self.parts = [draw(START + 1, WIDTH), draw(END + 1, WIDTH), np.full((CONTEXT, WIDTH), 1 / CONTEXT, dtype=np.float32), np.log(unigram).astype(np.float32)]
+        # outputs begin as they are frequent, whatever stands before them
+        self.parts = [draw(START + 1, WIDTH), np.zeros((END + 1, WIDTH), dtype=np.float32), np.full((CONTEXT, WIDTH), 1 / CONTEXT, dtype=np.float32), np.log(unigram).astype(np.float32)]
         self.noise = unigram
 
         #: Sums of squared steps, from which step sizes are taken.
