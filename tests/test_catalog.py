@@ -45,3 +45,25 @@ def test_nothing_else_needs_the_corpus_operators():
 
     code = "import sys; sys.modules['siftloom.llm'] = None; import siftloom.plans.catalog as c, siftloom.__main__; assert len(c.queries()) > 50"
     subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[1])
+
+
+def test_the_rest_stands_without_the_corpus_operators(tmp_path):
+    """A copy without both folders and the pipeline imports, lists all other queries and runs one."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    top = Path(__file__).resolve().parents[1]
+    copy = tmp_path / "copy"
+    shutil.copytree(top, copy, ignore=lambda _, names: [n for n in names if n in ("llm", "corpus_pipeline.py", ".git", "__pycache__")])
+    said = """
+import __spark_entry__ as e
+from pyspark.sql import SparkSession
+from siftloom.plans import catalog
+assert set(e.queries()) == set(catalog.queries()) and set(e.oracle_sql()) == set(catalog.oracle_sql())
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+print("ROWS", e.queries()["bam_range_scan"](spark, "/root/testdata/sf0.001").count())
+"""
+    out = subprocess.run([sys.executable, "-c", said], cwd=copy, capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0 and "ROWS" in out.stdout, out.stderr[-2000:]
