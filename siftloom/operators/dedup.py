@@ -14,23 +14,28 @@ from .identifiers import rooted
 FOLD = 200
 
 
-def _first(keys: list[str | Column]) -> Column:
-    return F.row_number().over(Window.partitionBy(*keys).orderBy(*READ_ID)) == 1
+def _firsts(reads: DataFrame, keys: list[Column]) -> DataFrame:
+    """reads with _one, whether they are the first of their keys. The firsts are minima, which combine before
+    they are sent, and are told to the reads by id, so a key with very many reads is no hot task."""
+    first = reads.groupBy(*(k.alias(f"_k{i}") for i, k in enumerate(keys))).agg(F.min(F.struct(*READ_ID)).alias("_f"))
+    first = first.select(*(F.col(f"_f.{c}").alias(f"_{c}") for c in READ_ID))
+    found = reads.join(first, [F.col(c) == F.col(f"_{c}") for c in READ_ID], "left")
+    return found.withColumn("_one", F.col(f"_{READ_ID[0]}").isNotNull()).drop(*(f"_{c}" for c in READ_ID))
 
 
 def by_position(reads: DataFrame, keep: bool = False, scope: str = "contig") -> DataFrame:
     """reads (annotated ones) with status keep for the first of each fragment position and barcode, and
     dup for others, which are flagged if kept and dropped if not. scope whole disregards the contig."""
-    keyed = reads.withColumn("_marker", marker(F.col("pos"), F.col("mpos"), F.col("isize")))
-    out = keyed.withColumn("_one", _first([*(["contig"] if scope == "contig" else []), "_marker", "cb"])).drop("_marker")
+    keys = [marker(F.col("pos"), F.col("mpos"), F.col("isize")), F.col("cb")]
+    out = _firsts(reads, [F.col("contig"), *keys] if scope == "contig" else keys)
     return _settled(out, keep, DUPLICATE)
 
 
 def by_identifier(reads: DataFrame, keep: bool = False, scope: str = "contig") -> DataFrame:
     """reads with status keep for the first of each contig (not for scope whole), barcode, gene and
     identifier, dup for others."""
-    keys = ["cb", "ge", "ur"]
-    return _settled(reads.withColumn("_one", _first(["contig", *keys] if scope == "contig" else keys)), keep, DUPLICATE)
+    keys = [F.col(c) for c in ("cb", "ge", "ur")]
+    return _settled(_firsts(reads, [F.col("contig"), *keys] if scope == "contig" else keys), keep, DUPLICATE)
 
 
 def _settled(marked: DataFrame, keep: bool, bit: int) -> DataFrame:

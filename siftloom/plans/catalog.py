@@ -394,12 +394,12 @@ def _annotated(spark, sf_dir):
 
 @query(_PASSED + " SELECT rec_idx, ge FROM first_v WHERE one")
 def marker_dedup(spark, sf_dir):
-    return dedup.by_position(_annotated(spark, sf_dir)[1].filter("ge is not null")).select("rec_idx", "ge")
+    return dedup.by_position(settled(_annotated(spark, sf_dir)[1].filter("ge is not null"))).select("rec_idx", "ge")
 
 
 @query(_PASSED + " SELECT rec_idx, CASE WHEN one THEN 'keep' ELSE 'dup' END AS status, CAST(CASE WHEN one THEN flag ELSE flag | 1024 END AS INT) AS flag FROM first_v")
 def marker_dedup_flagged(spark, sf_dir):
-    return dedup.by_position(_annotated(spark, sf_dir)[1].filter("ge is not null"), keep=True).select("rec_idx", "status", "flag")
+    return dedup.by_position(settled(_annotated(spark, sf_dir)[1].filter("ge is not null")), keep=True).select("rec_idx", "status", "flag")
 
 
 _EXPRESSION = _PASSED + ", exp_v AS (SELECT contig, cb AS barcode, ge AS gene, count(*) AS umi_cnt FROM first_v WHERE one GROUP BY 1, 2, 3)"

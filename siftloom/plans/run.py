@@ -49,14 +49,14 @@ def run(reads: DataFrame, genes: DataFrame, config: Config | None = None) -> Res
     with_gene = named.filter("ge is not null")
     result = Result(*(_by_identifier if config.umi else _by_position)(base, named, with_gene, config))
     result.summaries["ANNOTATION METRICS"] = metrics.region_metrics(named) if config.mode == 2 else metrics.strand_metrics(named)
-    firsts = expression.by_position(with_gene, config.scope).agg(F.sum("umi_cnt").alias("u")) if not config.umi else dedup.by_identifier(with_gene, scope=config.scope).agg(F.count(F.lit(1)).alias("u"))
+    result.expression = settled(result.expression)
+    firsts = result.expression.agg(F.coalesce(F.sum("umi_cnt"), F.lit(0)).alias("u")) if not config.umi else dedup.by_identifier(with_gene, scope=config.scope).agg(F.count(F.lit(1)).alias("u"))
     counts = base.agg(F.count(F.lit(1)).alias("total"), F.count(F.when(F.col("passed"), 1)).alias("pass_filter")).crossJoin(with_gene.agg(F.count(F.lit(1)).alias("annotated"))).crossJoin(firsts)  # one row each
     rate = lambda of, what: F.round(F.coalesce(F.try_divide((F.col(of) - F.col(what)) * 100.0, F.col(of)), F.lit(0.0)), 4)
     result.summaries["FILTER & DEDUPLICATION METRICS"] = counts.withColumnRenamed("u", "unique").withColumns({"fail_filter_rate": rate("total", "pass_filter"), "fail_annotate_rate": rate("pass_filter", "annotated"), "duplication_rate": rate("annotated", "unique")})
     if config.matrix:
         table = result.expression
         if config.filter_matrix:
-            table = settled(table)
             result.expression = table = matrix.filtered(table, density.barcode_threshold(expression.barcode_totals(table)))
         result.matrix = matrix.triplets(table)
     return result

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 COLUMNS = ("contig", "source", "feature", "start", "end", "score", "strand", "frame", "attributes")
-#: Lines of a range in which regions are counted by one task, as a power of two.
+#: Lines of a range in which names are carried on by one task, as a power of two.
 RANGE_BITS = 14
 
 
@@ -44,26 +44,33 @@ def gff(lines: DataFrame) -> DataFrame:
     gene and transcript line above, within a region; a line of feature region starts one. A transcript
     without a name has that of the last one above that has any.
 
-    Regions are told apart by a running count within each range of line numbers, after what the
-    ranges ahead hold. Carrying names forward is done by region.
+    What stands last is a running maximum of line numbers, within ranges of lines and, before each, over
+    the ranges ahead; so neither a region nor a file is held by one task.
     """
     rows = fields(lines)
-    rows = rows.withColumns({"_id": gff_attribute(F.col("attributes"), "ID"), "_name": gff_attribute(F.col("attributes"), "Name")})
-    rows = rows.withColumns({"_range": F.shiftright("line_no", RANGE_BITS), "_starts": F.coalesce(F.col("feature") == "region", F.lit(False)).cast("int")})
-    starts = rows.groupBy("_range").agg(F.sum("_starts").alias("_n"))
-    ahead = starts.select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    rows = rows.withColumn("_within", F.sum("_starts").over(Window.partitionBy("_range").orderBy("line_no"))).join(ahead, "_range")
-    rows = rows.withColumn("_region", F.col("_before") + F.col("_within")).drop("_range", "_starts", "_within", "_before")
-    above = Window.partitionBy("_region").orderBy("line_no")
+    rows = rows.withColumns({"_id": gff_attribute(F.col("attributes"), "ID"), "_name": gff_attribute(F.col("attributes"), "Name"), "_range": F.shiftright("line_no", RANGE_BITS)})
     is_gene = F.col("feature").isin("gene", "pseudogene")
     is_transcript = F.col("feature").isin("mRNA", "transcript", "ncRNA", "rRNA", "tRNA", "lnc_RNA")
-    last = lambda when, c: F.coalesce(F.last(F.when(when, c), ignorenulls=True).over(above), F.lit(""))
-    gene_at = F.coalesce(F.max(F.when(is_gene, F.col("line_no"))).over(above), F.lit(-1))
-    transcript_at = F.max(F.when(is_transcript, F.col("line_no"))).over(above)
-    rows = rows.withColumns({"gene_id": last(is_gene, F.col("_id")), "gene_name": last(is_gene, F.when(F.col("_name") == "", F.col("_id")).otherwise(F.col("_name"))), "_fresh": F.coalesce(transcript_at >= gene_at, F.lit(False)), "_tx": last(is_transcript, F.col("_id")), "_tx_name": last(is_transcript & (F.col("_name") != ""), F.col("_name"))})
-    told = F.col("_fresh") & ~is_gene
-    rows = rows.withColumns({"transcript_id": F.when(told, F.col("_tx")).otherwise(""), "transcript_name": F.when(told, F.col("_tx_name")).otherwise("")})
-    return rows.drop("attributes", "_id", "_name", "_region", "_fresh", "_tx", "_tx_name").filter("gene_name <> ''")
+    at = lambda when, *columns: F.when(when, F.struct("line_no", *columns))
+    marks = {
+        "_region": at(F.col("feature") == "region"),
+        "_gene": at(is_gene, "_id", F.when(F.col("_name") == "", F.col("_id")).otherwise(F.col("_name")).alias("_name")),
+        "_tx": at(is_transcript, "_id"),
+        "_named": at(is_transcript & (F.col("_name") != ""), "_name"),
+    }
+    rows = rows.withColumns(marks)
+    ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    last = rows.groupBy("_range").agg(*(F.max(m).alias(m) for m in marks))
+    last = last.select(F.col("_range").alias("_of"), *(F.max(m).over(ahead).alias(f"{m}_ahead") for m in marks))  # a row for each range
+    above = Window.partitionBy("_range").orderBy("line_no")
+    rows = rows.withColumns({m: F.max(m).over(above) for m in marks}).join(last, F.col("_range") == F.col("_of"))
+    rows = rows.withColumns({m: F.coalesce(m, f"{m}_ahead") for m in marks})
+    # what stands above the last start of a region is forgotten
+    after = lambda m: F.col(f"{m}.line_no") > F.coalesce("_region.line_no", F.lit(-1))
+    told = lambda m, c: F.coalesce(F.when(after(m), F.col(f"{m}.{c}")), F.lit(""))
+    fresh = after("_tx") & (F.col("_tx.line_no") >= F.coalesce(F.when(after("_gene"), F.col("_gene.line_no")), F.lit(-1))) & ~is_gene
+    rows = rows.withColumns({"gene_id": told("_gene", "_id"), "gene_name": told("_gene", "_name"), "transcript_id": F.when(fresh, told("_tx", "_id")).otherwise(""), "transcript_name": F.when(fresh, told("_named", "_name")).otherwise("")})
+    return rows.drop("attributes", "_id", "_name", "_range", "_of", *marks, *(f"{m}_ahead" for m in marks)).filter("gene_name <> ''")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
