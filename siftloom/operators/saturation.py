@@ -45,8 +45,9 @@ def ends(reads: DataFrame, by: list[str]) -> list[tuple | None]:
     sizes = settled(sizes.withColumn("upto", F.sum("n").over(Window.orderBy("r"))), "ranges")  # 65,536 rows at most
     total = sizes.agg(F.max("upto")).first()[0] or 0
     takes = [int(x * total) for x in LEVELS]
-    marks = sizes.sparkSession.createDataFrame([(m,) for m in {*takes} - {0}], "m long")
-    met = marks.join(sizes, (F.col("m") <= F.col("upto")) & (F.col("m") > F.col("upto") - F.col("n"))).orderBy("m").collect()  # 11 rows
+    marks = F.array(*(F.lit(m).cast("long") for m in sorted({*takes} - {0}))).cast("array<long>")
+    inside = F.filter(marks, lambda m: (m <= F.col("upto")) & (m > F.col("upto") - F.col("n")))
+    met = sizes.select("*", F.explode(inside).alias("m")).orderBy("m").collect()  # 11 rows
     behind, places, last = 0, {}, None
     for row in met:
         if row.r != last:
