@@ -29,12 +29,14 @@ from pyspark.sql import functions as F
 from .common import byte_slices, cut, in_arrow, words_of
 
 #: Outputs: single words, classes of the other words, and the end.
-WORDS, CLASSES = 959, 64
+WORDS, CLASSES = 447, 64
 END, START = WORDS + CLASSES, WORDS + CLASSES + 1
 #: Words before a position that its score looks at, and numbers that stand for a word.
 CONTEXT, WIDTH = 4, 16
 #: Noise samples of a block of positions, and positions of a block.
 NOISE, BLOCK = 32, 2048
+#: Positions that are scored at once, few enough that their scores over all outputs stay in a cache.
+SCORED = 512
 #: Tokens of a shard, shards until which it stays at that, and rounds of averaging.
 SHARD, SHARDS, ROUNDS = 2_000_000, 64, 4
 #: Words that every task holds with their counts, and the longest of them.
@@ -162,15 +164,17 @@ class LogBilinear:
     def log_probs(self, whole: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Natural log-probabilities of the outputs at the places at, normalised over all outputs."""
         _, target, _, bias = self.parts
-        out = np.empty(len(at))
-        for k in range(0, len(at), BLOCK):
-            part = at[k : k + BLOCK]
-            s = self.predicted(whole, part)[0] @ target.T + bias
+        out, held, turned = np.empty(len(at)), np.empty((SCORED, END + 1), dtype=np.float32), np.ascontiguousarray(target.T)
+        for k in range(0, len(at), SCORED):
+            part = at[k : k + SCORED]
+            s = held[: len(part)]
+            np.matmul(self.predicted(whole, part)[0], turned, out=s)
+            s += bias
             top = s.max(axis=1)
             here = s[np.arange(len(part)), whole[part]] - top
             s -= top[:, None]
             np.exp(s, out=s)
-            out[k : k + BLOCK] = here - np.log(s.sum(axis=1))
+            out[k : k + SCORED] = here - np.log(s.sum(axis=1))
         return out
 
     def train(self, whole: np.ndarray, at: np.ndarray, rng: np.random.Generator, rate: float = 0.15) -> None:
