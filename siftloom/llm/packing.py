@@ -64,19 +64,28 @@ class _Ids:
         self.mark = min(set.intersection(*map(set, self.special)), default="") if self.special else "\0"
         self.model = self.tokenizer.model
         self.words, self.parts = Recent(self.word), Recent(self.part)
+        #: Signs that are a part of their own after letters.
+        self.tails = {c for c in map(chr, range(33, 127)) if not c.isalnum() and self.split("ab" + c) == ["ab", c]}
 
     def word(self, text: str) -> bytes:
-        if text.isascii() and text.isalpha():  # letters alone are one part
-            return self.parts[text.lower()]
         if PLAIN.fullmatch(text) and (self.mark not in text or not any(x in text for x in self.special)):
             return b"".join(map(self.parts.__getitem__, self.split(text.lower())))
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def mixed(self, text: str) -> bytes:
+        """Ids of a word that is not of letters alone; of letters and a sign its parts' are put together."""
+        if text[-1:] in self.tails and (body := text[:-1]).isascii() and body.isalpha():
+            return self.parts[body.lower()] + self.parts[text[-1]]
+        return self.words[text]
+
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids of each text, without an end."""
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         words = lists.flatten().dictionary_encode()
-        ids = [*map(self.words.__getitem__, words.dictionary.to_numpy(zero_copy_only=False).tolist())]
+        found, low = (x.to_numpy(zero_copy_only=False).tolist() for x in (words.dictionary, pc.ascii_lower(words.dictionary)))
+        letters = pc.ascii_is_alpha(words.dictionary).to_numpy(zero_copy_only=False).tolist()  # these are one part
+        parts, mixed = self.parts, self.mixed
+        ids = [parts[lower] if one else mixed(word) for word, lower, one in zip(found, low, letters, strict=True)]
         at = words.indices.to_numpy()
         sizes = np.array([len(x) // 4 for x in ids], dtype=np.int64)
         starts = np.cumsum(sizes) - sizes
