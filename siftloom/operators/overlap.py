@@ -62,8 +62,8 @@ def overlap_join(reads: DataFrame, genes: DataFrame, begin: str = "begin", end:
     r = reads.withColumn("_bin", F.explode(_bins(F.col(begin), F.col(end), size)))
     meet = (F.col("contig") == F.col("_contig")) & (F.col("_bin") == F.col("_gbin")) & (F.col("g_start") <= F.col(end)) & (F.col("g_end") >= F.col(begin))
     first = F.col("_bin") == F.greatest(F.floor(F.col(begin) / size), F.floor(F.col("g_start") / size))
-    if fits:
-        pairs = r.join(F.broadcast(g), meet & first).drop("_contig", "_gbin", "_bin")
+    if fits or reads.isStreaming:  # reads that keep arriving can't be counted first
+        pairs = r.join(F.broadcast(g) if fits else g, meet & first).drop("_contig", "_gbin", "_bin")
     else:
         r, load = divided(r, hot)
         g = g.join(load, (F.col("_contig") == F.col("_c")) & (F.col("_gbin") == F.col("_b")), "left")
