@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import byte_slices, cut, in_arrow, words_of
 
 #: Outputs: single words, classes of the other words, and the end.
-WORDS, CLASSES = 447, 64
+WORDS, CLASSES = 191, 64
 END, START = WORDS + CLASSES, WORDS + CLASSES + 1
 #: Words before a position that its score looks at, and numbers that stand for a word.
 CONTEXT, WIDTH = 4, 16
@@ -162,19 +162,28 @@ class LogBilinear:
         return q, seen
 
     def log_probs(self, whole: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Natural log-probabilities of the outputs at the places at, normalised over all outputs."""
+        """Natural log-probabilities of the outputs at the places at, normalised over all outputs.
+
+        The product of matrices adds the bias and takes off a bound of each row's scores, so that no score is
+        too large for its exponential; rows of which the bound lies too high to tell go by their own largest."""
         _, target, _, bias = self.parts
-        out, held, turned = np.empty(len(at)), np.empty((SCORED, END + 1), dtype=np.float32), np.ascontiguousarray(target.T)
+        out, held = np.empty(len(at)), np.empty((SCORED, END + 1), dtype=np.float32)
+        turned = np.vstack([target.T, bias, np.ones_like(bias)]).astype(np.float32)
+        longest, highest = np.sqrt((target * target).sum(axis=1)).max(), bias.max()
+        ones = np.ones((SCORED, 1), dtype=np.float32)
         for k in range(0, len(at), SCORED):
             part = at[k : k + SCORED]
-            s = held[: len(part)]
-            np.matmul(self.predicted(whole, part)[0], turned, out=s)
-            s += bias
-            top = s.max(axis=1)
-            here = s[np.arange(len(part)), whole[part]] - top
-            s -= top[:, None]
+            q, s = self.predicted(whole, part)[0], held[: len(part)]
+            bound = np.sqrt((q * q).sum(axis=1)) * longest + highest
+            np.matmul(np.hstack([q, ones[: len(part)], -bound[:, None]]), turned, out=s)
+            here = s[np.arange(len(part)), whole[part]].astype(np.float64)
             np.exp(s, out=s)
-            out[k : k + SCORED] = here - np.log(s.sum(axis=1))
+            total = s.sum(axis=1)
+            if (total < 1e-20).any():
+                for i in np.flatnonzero(total < 1e-20):
+                    own = q[i].astype(np.float64) @ target.T + bias
+                    here[i], total[i] = own[whole[part[i]]] - own.max(), np.exp(own - own.max()).sum()
+            out[k : k + SCORED] = here - np.log(total)
         return out
 
     def train(self, whole: np.ndarray, at: np.ndarray, rng: np.random.Generator, rate: float = 0.15) -> None:
