@@ -8,7 +8,9 @@ overlap that a link needs are passed over, the rest is verified on the sets.
 
 To spread this over tasks, documents are first divided so that no link is lost: sets that differ in
 d elements at most, dealt into more than d groups, agree on all groups but d, so each document sends a
-hash of each group's content, and those that share enough of them are kept together. What hangs together that way
+hash of each group's content, and those that share enough of them are kept together. Most documents share none,
+which as many of their hashes tell as a link may spoil, and one more; so these alone are sent at first, short and
+beside a number instead of the document's key, and all hashes only of documents that share one. What hangs together that way
 is compared by the R-tree, large parts by blocks: first each block by itself with a few documents that
 all have, then what is not connected with the most, in blocks of its own, against all blocks, each pair of
 blocks by itself. Copies are collapsed before
@@ -41,6 +43,8 @@ BLOCK, PIVOTS = 96, 4
 HOT = 128
 #: How often documents that share too few keys are left out.
 LOOKS = 2
+#: Bits of a key that are sent at first, and bits of a document's number that tell its size class.
+SHORT, CLASS_BITS = 40, 7
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -211,6 +215,18 @@ def _of_several_at_first(keys: DataFrame) -> DataFrame:
     return cold.unionByName(_of_several(keys.join(maybe_broadcast(hot, n_hot), "k", "left_semi")).select(*cold.columns))
 
 
+def first_keys(single: DataFrame) -> DataFrame:
+    """_key (a document's _id and size class) and k (a key, cut short) of the keys by which documents meet at first.
+
+    A document that differs from a linked one in so many groups at most has with any that many and one of its
+    groups one that the two agree on; the first group that they agree on is therefore within that many and one
+    of each. Keys are in the order of groups, so the first ones are enough: all but one less than are shared.
+    """
+    of = F.transform("_keys", lambda x, c: F.struct(F.shiftleft("_id", CLASS_BITS).bitwiseOR(c.cast("long")).alias("at"), F.slice(x["keys"], F.lit(1), F.size(x["keys"]) - x["need"] + 1).alias("keys")))
+    each = single.select(F.explode(of).alias("_of")).select(F.col("_of.at").alias("_key"), F.explode("_of.keys").alias("k"))
+    return each.withColumn("k", F.shiftrightunsigned("k", 64 - SHORT))
+
+
 def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fraction(90, 100), text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, n_shingles and component_id, the smallest key reachable by links, of every row of docs.
 
@@ -223,26 +239,32 @@ def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fracti
     kinds = pa.list_(pa.struct([("need", pa.int32()), ("keys", pa.list_(pa.int64()))]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 33
         for batch in batches:
             for start, rows in byte_slices(batch.column(1)):
                 sets = shingle_sets(batch.column(1).slice(start, rows), width)
                 one = np.array([_mix(s).sum(dtype=np.uint64) for s in sets]).view(np.int64)
                 two = np.array([np.bitwise_xor.reduce(_mix(s + _K2)) if len(s) else 0 for s in sets], dtype=np.uint64).view(np.int64)
                 keys = [[{"need": need, "keys": found.view(np.int64)} for found, need in class_keys(s, t)] if len(s) else [] for s in sets]
-                cols = [batch.column(0).slice(start, rows), pa.array([len(s) for s in sets], pa.int64()), pa.array(one), pa.array(two), pa.array(keys, kinds)]
-                yield pa.RecordBatch.from_arrays(cols, names=["_key", "n_shingles", "_d1", "_d2", "_keys"])
+                cols = [batch.column(0).slice(start, rows), pa.array([len(s) for s in sets], pa.int64()), pa.array(one), pa.array(two), pa.array(np.arange(number, number + rows)), pa.array(keys, kinds)]
+                yield pa.RecordBatch.from_arrays(cols, names=["_key", "n_shingles", "_d1", "_d2", "_id", "_keys"])
+                number += rows
         give_back()
 
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    base = cut(in_arrow(rows, scan, f"_key {kind}, n_shingles bigint, _d1 bigint, _d2 bigint, _keys array<struct<need: int, keys: array<bigint>>>"))
+    base = cut(in_arrow(rows, scan, f"_key {kind}, n_shingles bigint, _d1 bigint, _d2 bigint, _id bigint, _keys array<struct<need: int, keys: array<bigint>>>"))
 
     same = ["_d1", "_d2", "n_shingles"]
     firsts = cut(base.filter("n_shingles > 0 and _key is not null").groupBy(*same).agg(F.min("_key").alias("_first")))
     single = base.join(maybe_broadcast(firsts.withColumnRenamed("_first", "_key"), firsts.count()), ["_key", *same], "left_semi")
-    keys = single.select("_key", F.posexplode("_keys").alias("_c", "_of")).select("_key", "_c", "_of.need", F.explode("_of.keys").alias("k"))
     # what shares a key with another document; a document that shares fewer than its links would
     # share has none, and those left are looked at again without it
     by_class = ["_key", "_c"]
+    met = _of_several_at_first(first_keys(single)).select(F.shiftright("_key", CLASS_BITS).alias("_id"), F.col("_key").bitwiseAND((1 << CLASS_BITS) - 1).cast("int").alias("_in"))
+    met = cut(met.groupBy("_id").agg(F.collect_set("_in").alias("_in")))
+    keys = base.join(maybe_broadcast(met, met.count()), "_id").select("_key", "_in", F.posexplode("_keys").alias("_c", "_of")).filter(F.array_contains("_in", F.col("_c"))).select("_key", "_c", "_of.need", F.explode("_of.keys").alias("k"))
     live = cut(_of_several_at_first(keys))
     for _ in range(LOOKS):
         enough = live.groupBy(*by_class).agg(F.count(F.lit(1)).alias("_n"), F.min("need").alias("_least")).filter("_n >= _least").select(*by_class)
@@ -318,5 +340,5 @@ def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fracti
     if n_left:
         found = components(links)
     named = firsts.join(found, F.col("_first") == F.col("node"), "left").select(*same, F.coalesce("component", "_first").alias("_component"))
-    out = base.drop("_keys").join(named, same, "left")
+    out = base.drop("_id", "_keys").join(named, same, "left")
     return out.select(F.col("_key").alias(key), "n_shingles", F.when(F.col("_key").isNull(), F.lit(None)).otherwise(F.coalesce("_component", "_key")).cast(kind).alias("component_id"))

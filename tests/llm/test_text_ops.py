@@ -489,3 +489,23 @@ def test_components(spark):
     links = [(k, k + 1) for k in range(30)] + [(50, 40), (60, 50), (7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {k: 0 for k in range(31)} | {40: 40, 50: 40, 60: 40}
+
+
+def test_keys_sent_at_first_lose_no_link(spark):
+    """Linked sets share one of the keys by which documents meet at first, which are fewer and shorter."""
+    rng, t, sets, pairs = np.random.default_rng(3), Fraction(8, 10), [], []
+    for n in [1, 2, 3, 5, 9, 14, 40, 97, 300, 301, 700] * 6:
+        own = rng.integers(0, 2**63, n).astype(np.uint64)
+        both = own[int(rng.integers(0, n // 9 + 1)) :]  # the other has some of its own, as many as a link allows
+        more = len(both) * t.denominator // t.numerator - n if n * t.numerator <= len(both) * t.denominator else 0
+        pairs.append((len(sets), len(sets) + 1))
+        sets += [np.unique(own), np.unique(np.concatenate([both, rng.integers(0, 2**63, max(0, more)).astype(np.uint64)]))]
+    linked = [p for p in pairs if jaccard.linked(sets[p[0]], sets[p[1]], t)]
+    assert len(linked) > 40
+    rows = [(i, [(need, keys.view(np.int64).tolist()) for keys, need in jaccard.class_keys(s, t)]) for i, s in enumerate(sets)]
+    sent = jaccard.first_keys(spark.createDataFrame(rows, "_id long, _keys array<struct<need: int, keys: array<bigint>>>")).collect()
+    held = {}
+    for r in sent:
+        held.setdefault(r["_key"] >> jaccard.CLASS_BITS, set()).add(r["k"])
+    assert all(held[a] & held[b] for a, b in linked)
+    assert len(sent) < 0.9 * sum(len(keys) for _, found in rows for _, keys in found) and max(r["k"] for r in sent) < 2**jaccard.SHORT
