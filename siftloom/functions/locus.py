@@ -54,7 +54,8 @@ def gene_counts(blocks: Column, transcripts: Column) -> Column:
     none = F.struct(F.lit(0).alias("exon"), F.lit(0).alias("intron"))
 
     def best(b: Column) -> Column:
-        each = F.transform(transcripts, lambda t: F.struct(exon_bases(b, t).alias("exon"), (clipped(b, t) - exon_bases(b, t)).alias("intron")))
+        found = F.transform(transcripts, lambda t: F.struct(exon_bases(b, t).alias("exon"), clipped(b, t).alias("all")))
+        each = F.transform(found, lambda x: F.struct(x["exon"].alias("exon"), (x["all"] - x["exon"]).alias("intron")))
         return F.greatest(none, F.coalesce(F.array_max(each), none))
 
     return F.aggregate(F.transform(blocks, best), none, lambda a, x: F.struct((a["exon"] + x["exon"]).alias("exon"), (a["intron"] + x["intron"]).alias("intron")))

@@ -1,8 +1,9 @@
 """Assigning each read the gene it comes from, by one of three rules.
 
 A row for each read and overlapping gene carries what the rules need: the gene's function for the
-read, counts of bases, whether the strands match, and which blocks meet an exon. The rules are
-aggregates of these narrow rows by read, which combine before they are sent.
+read, counts of bases, whether the strands match, and which blocks meet an exon. A read gets its genes as
+a list, and the rules are expressions of it. Of reads longer than a bin of lists, they are aggregates of
+rows by read, which combine before they are sent. Both give the same.
 """
 
 from __future__ import annotations
@@ -14,10 +15,12 @@ from ..functions.cigar import blocks, operations, reference_length
 from ..functions.locus import count_function, gene_counts, gene_function, label, touches_exon
 from ..functions.reads import negative_strand
 from ..schemas import CODING, INTERGENIC, INTRONIC, READ_ID, UTR
-from .overlap import overlap_join
+from .overlap import overlap_join, overlap_lists
 
 #: All functions that a gene may have for a read.
 FUNCTIONS = (INTERGENIC, INTRONIC, UTR, CODING)
+#: What a read has besides its own columns while its genes are a list.
+_PLACED = ["_read", "begin", "stop", "_p"]
 #: Reads of at least this mapping quality are confident, for the metrics of rule 2.
 CONFIDENT = 255
 
@@ -62,18 +65,23 @@ def rule2(rows: DataFrame) -> DataFrame:
     picked = picked.withColumn("_one", n_top == 1)
     pick = lambda c: F.when(F.col("_one"), F.col(f"_t.{c}")).otherwise(F.col(f"_m.{c}"))
     out = picked.select(*READ_ID, pick("f").alias("f"), pick("gene").alias("gene"), pick("g_neg").alias("g_neg"), pick("same").alias("same"))
+    return _given(out, READ_ID)
+
+
+def _given(out: DataFrame, keep: list[str]) -> DataFrame:
+    """What rule 2 gives by f, gene, g_neg and same of the pick."""
     given = F.col("f") > INTERGENIC
-    return out.select(*READ_ID, label(F.col("f")).alias("xf"), F.when(given, F.col("gene")).alias("ge"), F.when(given, _strand(F.col("g_neg"))).alias("gs"), F.col("same").alias("right"), (~F.col("same")).alias("wrong"), F.lit(False).alias("fixed"), F.lit(False).alias("rejected"), "f")
+    return out.select(*keep, label(F.col("f")).alias("xf"), F.when(given, F.col("gene")).alias("ge"), F.when(given, _strand(F.col("g_neg"))).alias("gs"), F.col("same").alias("right"), (~F.col("same")).alias("wrong"), F.lit(False).alias("fixed"), F.lit(False).alias("rejected"), "f")
 
 
-def _by_strand(g: DataFrame, n_same: Column, n_other: Column, one: Column) -> DataFrame:
+def _by_strand(g: DataFrame, n_same: Column, n_other: Column, one: Column, keep: list[str] = READ_ID) -> DataFrame:
     """The gene that is given of candidates counted by strand; one: the candidate on the read's strand, of
     g with _top."""
     g = g.withColumns({"_n": n_same, "_o": n_other, "_one": one})
     wrong, rejected, fixed = (F.col("_n") == 0) & (F.col("_o") > 0), F.col("_n") > 1, (F.col("_n") == 1) & (F.col("_o") > 0)
     only = lambda c: F.when(F.col("_n") == 1, F.col(f"_one.{c}"))
     top = F.coalesce("_top", F.lit(INTERGENIC))
-    return g.select(*READ_ID, label(top).alias("xf"), only("gene").alias("ge"), F.when(F.col("_n") == 1, _strand(only("g_neg"))).alias("gs"), (~wrong & ~rejected).alias("right"), wrong.alias("wrong"), fixed.alias("fixed"), rejected.alias("rejected"), top.alias("f"))
+    return g.select(*keep, label(top).alias("xf"), only("gene").alias("ge"), F.when(F.col("_n") == 1, _strand(only("g_neg"))).alias("gs"), (~wrong & ~rejected).alias("right"), wrong.alias("wrong"), fixed.alias("fixed"), rejected.alias("rejected"), top.alias("f"))
 
 
 def rule0(rows: DataFrame) -> DataFrame:
@@ -106,10 +114,57 @@ def rule1(rows: DataFrame) -> DataFrame:
     return _by_strand(g, total("same"), total("other"), F.array_max(F.transform("_c", lambda x: x["one"])))
 
 
+def _list_rule2(reads: DataFrame) -> DataFrame:
+    """rule2 of reads with _p, the genes of each."""
+    reads = reads.withColumn("_most", F.array_max(F.transform("_p", lambda x: x["f"])))
+    reads = reads.withColumn("_tops", F.filter("_p", lambda x: x["f"] == F.col("_most")))
+    reads = reads.withColumn("_pick", F.when(F.size("_tops") == 1, F.get("_tops", 0)).otherwise(F.array_max("_p")))
+    return _given(reads.withColumns({c: F.col(f"_pick.{c}") for c in ("f", "gene", "g_neg", "same")}), _PLACED)
+
+
+def _list_rule0(reads: DataFrame) -> DataFrame:
+    hit = F.filter("_p", lambda x: F.exists(x["hits"], lambda h: h))
+    g = reads.withColumns({"_hits": hit, "_top": F.array_max(F.transform(F.filter("_p", lambda x: x["same"]), lambda x: x["f"]))}).withColumn("_g", F.array_max("_hits"))
+    fits = (F.size("_hits") == 1) & (F.col("_g.f") >= UTR)
+    return _by_strand(g, F.coalesce((fits & F.col("_g.same")).cast("long"), F.lit(0)), F.coalesce((fits & ~F.col("_g.same")).cast("long"), F.lit(0)), F.col("_g"), _PLACED)
+
+
+def _list_rule1(reads: DataFrame) -> DataFrame:
+    none = F.array().cast("array<bigint>")
+    met = lambda k: F.transform(F.filter("_p", lambda x: F.get(x["hits"], k)), lambda x: x["g_ord"])
+    each = F.when(F.size("blocks") > 0, F.transform(F.sequence(F.lit(0), F.greatest(F.size("blocks"), F.lit(1)) - 1), met)).otherwise(F.array().cast("array<array<bigint>>"))
+    left = F.aggregate(each, none, lambda a, t: F.when((F.size(a) > 0) & (F.size(t) > 0), F.array_intersect(a, t)).otherwise(t))
+    g = reads.withColumns({"_left": left, "_top": F.array_max(F.transform("_p", lambda x: x["f"]))})
+    g = g.withColumn("_c", F.filter("_p", lambda x: (x["f"] >= UTR) & F.array_contains(F.col("_left"), x["g_ord"])))
+    one = F.filter("_c", lambda x: x["same"])
+    return _by_strand(g, F.size(one).cast("long"), (F.size("_c") - F.size(one)).cast("long"), F.array_max(one), _PLACED)
+
+
 def annotate(reads: DataFrame, genes: DataFrame, mode: int = 2, broadcast: bool | None = None) -> DataFrame:
     """reads with xf (function), ge, gs (gene and its strand), all null where no gene overlaps or is
     given, and what the metrics count: nogene, right, wrong, fixed, rejected and f."""
-    rows = gene_rows(reads, genes, mode, broadcast)
-    found = (rule0, rule1, rule2)[mode](rows)
-    out = reads.join(found, READ_ID, "left").withColumn("nogene", F.col("f").isNull())
+    g = genes.select("contig", F.col("gene_ord").alias("g_ord"), F.col("gene_name").alias("gene"), F.col("start").alias("g_start"), F.col("end").alias("g_end"), F.col("neg_strand").alias("g_neg"), "transcripts")
+    placed = with_places(reads.select(F.struct(*reads.columns).alias("_read"), "contig", "pos", "cigar", "flag"))
+    placed, short, size = overlap_lists(placed, g, ("g_ord", "gene", "g_neg", "transcripts"), "_g", broadcast=broadcast)
+    met = F.filter("_g", lambda x: (x["g_start"] <= F.col("stop")) & (x["g_end"] >= F.col("begin")))
+    same = lambda x: (x["g_neg"] == negative_strand(F.col("flag"))).alias("same")
+    if mode == 2:
+        counted = F.transform(met, lambda x: F.struct(gene_counts(F.col("blocks"), x["transcripts"]).alias("c"), x["g_start"].alias("s"), x["g_ord"].alias("o"), x["gene"].alias("gene"), x["g_neg"].alias("g_neg"), same(x)))
+        length = F.aggregate("blocks", F.lit(0), lambda n, b: n + b["len"])
+        placed = placed.withColumns({"_p": counted, "_len": length})  # counts once, to be used thrice
+        seen = lambda x: F.struct(x["c"]["exon"].alias("exon"), x["c"]["intron"].alias("intron"), (-x["s"]).alias("s"), (-x["o"]).alias("o"), count_function(x["c"]["exon"], x["c"]["intron"], F.col("_len")).alias("f"), x["gene"].alias("gene"), x["g_neg"].alias("g_neg"), x["same"].alias("same"))
+        placed = placed.withColumn("_p", F.transform("_p", seen))
+    else:
+        hits = lambda x: F.transform("blocks", lambda b: touches_exon(b, x["transcripts"])).alias("hits")
+        placed = placed.withColumn("_p", F.transform(met, lambda x: F.struct(x["g_ord"].alias("g_ord"), x["gene"].alias("gene"), x["g_neg"].alias("g_neg"), same(x), gene_function(F.col("blocks"), x["transcripts"]).alias("f"), hits(x))))
+    placed = placed.withColumn("_p", F.when(F.size("_p") > 0, F.col("_p")))
+    told = (_list_rule0, _list_rule1, _list_rule2)[mode](placed)
+    names = [c for c in told.columns if c not in _PLACED]
+    longer = with_places(reads).filter(F.col("stop").cast("long") - F.col("begin") > size).select(*reads.columns)
+    some = bool(longer.select("pos").take(1))
+    out = (told.filter(short) if some else told).select("_read.*", *(F.when(F.col("_p").isNotNull(), F.col(c)).alias(c) for c in names))
+    if some:
+        found = (rule0, rule1, rule2)[mode](gene_rows(longer, genes, mode, broadcast))
+        out = out.unionByName(longer.join(found, READ_ID, "left").select(*out.columns))
+    out = out.withColumn("nogene", F.col("f").isNull())
     return out.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("right", "wrong", "fixed", "rejected")})

@@ -396,3 +396,25 @@ def test_a_gene_of_transcripts_that_share_a_name_is_left_out(spark):
     assert {r.gene_name for r in genemodel.repeated_names(genemodel.contig_runs(rows)).collect()} == {"A", "C"}
     assert {r.gene_name: r.name_repeated for r in genemodel.validation(rows).collect()} == {"A": 1, "B": 0, "C": 1}
     assert [r.gene_name for r in genemodel.gene_model(rows).collect()] == ["B"]
+
+
+@pytest.mark.parametrize("mode", [0, 1, 2])
+def test_genes_as_lists_are_as_genes_in_rows(spark, mode):
+    """Reads get their genes as a list and no pair is sent; reads longer than a bin, and lists that are
+    shuffled, tell the same as aggregates of rows."""
+    rng = random.Random(mode)
+    genes = [gene(k, s, s + 900, [(s, s + 200), (s + 500, s + 900)]) for k in range(60) for s in [rng.randrange(1, 30_000)]]
+    reads = [read(k, cig=rng.choice(["100M", "50M200N50M", "30M1000N70M", "40M9000N60M"]), pos=rng.randrange(0, 30_000), flag=rng.choice([0, 16])) for k in range(200)]
+    r, g = spark.createDataFrame(reads, READS), spark.createDataFrame(genes, GENES)
+    rows = {x["rec_idx"]: x for x in (assign.rule0, assign.rule1, assign.rule2)[mode](assign.gene_rows(r, g, mode)).collect()}
+    told = ("xf", "ge", "gs", "right", "wrong", "fixed", "rejected", "f")
+    for broadcast in (None, True, False):
+        got = assign.annotate(r, g, mode, broadcast)
+        held = {x["rec_idx"]: x for x in got.collect()}
+        assert len(held) == len(reads)
+        for k, x in held.items():
+            assert x["nogene"] == (k not in rows)
+            assert k not in rows or [x[c] for c in told] == [rows[k][c] for c in told]
+    short = assign.annotate(r.filter("cigar = '100M'"), g, mode)
+    plan = short._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan.split("BroadcastExchange")[0] and "Exchange hashpartitioning(file_idx" not in plan
