@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from ..schemas import NAME_SEPARATOR, REVERSE
 
 
-def name_part(qname: Column, tag: str) -> Column:
-    """The value of the last part `tag:Z:value` of a read name, or ''."""
-    parts = F.filter(F.split(qname, "\\|\\|\\|"), lambda p: F.startswith(p, F.lit(f"{tag}:Z:")))
-    return F.coalesce(F.substring(F.try_element_at(parts, F.lit(-1)), 6, 1 << 30), F.lit(""))
+def name_parts(qname: Column) -> Column:
+    return F.split(qname, "\\|\\|\\|")
+
+
+def name_part(parts: Column, tag: str) -> Column:
+    """The value of the last part `tag:Z:value` of the parts of a read name, or ''."""
+    found = F.filter(parts, lambda p: F.startswith(p, F.lit(f"{tag}:Z:")))
+    return F.coalesce(F.substring(F.try_element_at(found, F.lit(-1)), 6, 1 << 30), F.lit(""))
 
 
 def plain_name(qname: Column) -> Column:

@@ -3,7 +3,8 @@
 A row for each read and overlapping gene carries what the rules need: the gene's function for the
 read, counts of bases, whether the strands match, and which blocks meet an exon. A read gets its genes as
 a list, and the rules are expressions of it. Of reads longer than a bin of lists, they are aggregates of
-rows by read, which combine before they are sent. Both give the same.
+rows by read, which combine before they are sent. Both give the same. What is told depends on nothing but
+where a read lies, so it is found once for each distinct place, however many reads lie there.
 """
 
 from __future__ import annotations
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 from ..functions.cigar import blocks, operations, reference_length
 from ..functions.locus import count_function, gene_counts, gene_function, label, touches_exon
 from ..functions.reads import negative_strand
-from ..schemas import CODING, INTERGENIC, INTRONIC, READ_ID, UTR
-from .overlap import overlap_join, overlap_lists
+from ..schemas import CODING, INTERGENIC, INTRONIC, READ_ID, REVERSE, UTR
+from ..session import settled
+from .overlap import BROADCAST_BYTES, _bytes, overlap_join, overlap_lists
 
 #: All functions that a gene may have for a read.
 FUNCTIONS = (INTERGENIC, INTRONIC, UTR, CODING)
@@ -23,6 +25,8 @@ FUNCTIONS = (INTERGENIC, INTRONIC, UTR, CODING)
 _PLACED = ["_read", "begin", "stop", "_p"]
 #: Reads of at least this mapping quality are confident, for the metrics of rule 2.
 CONFIDENT = 255
+#: What tells places of reads apart; reads of a place beyond which it is broadcast.
+PLACE, OFTEN = ["contig", "pos", "cigar", "flag"], 10_000
 
 
 def with_places(reads: DataFrame) -> DataFrame:
@@ -140,9 +144,8 @@ def _list_rule1(reads: DataFrame) -> DataFrame:
     return _by_strand(g, F.size(one).cast("long"), (F.size("_c") - F.size(one)).cast("long"), F.array_max(one), _PLACED)
 
 
-def annotate(reads: DataFrame, genes: DataFrame, mode: int = 2, broadcast: bool | None = None) -> DataFrame:
-    """reads with xf (function), ge, gs (gene and its strand), all null where no gene overlaps or is
-    given, and what the metrics count: nogene, right, wrong, fixed, rejected and f."""
+def _annotated(reads: DataFrame, genes: DataFrame, mode: int, broadcast: bool | None) -> DataFrame:
+    """What annotate gives, each read by itself."""
     g = genes.select("contig", F.col("gene_ord").alias("g_ord"), F.col("gene_name").alias("gene"), F.col("start").alias("g_start"), F.col("end").alias("g_end"), F.col("neg_strand").alias("g_neg"), "transcripts")
     placed = with_places(reads.select(F.struct(*reads.columns).alias("_read"), "contig", "pos", "cigar", "flag"))
     placed, short, size = overlap_lists(placed, g, ("g_ord", "gene", "g_neg", "transcripts"), "_g", broadcast=broadcast)
@@ -169,3 +172,31 @@ def annotate(reads: DataFrame, genes: DataFrame, mode: int = 2, broadcast: bool
         out = out.unionByName(longer.join(found, READ_ID, "left").select(*out.columns))
     out = out.withColumn("nogene", F.col("f").isNull())
     return out.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("right", "wrong", "fixed", "rejected")})
+
+
+def annotate(reads: DataFrame, genes: DataFrame, mode: int = 2, broadcast: bool | None = None) -> DataFrame:
+    """reads with xf (function), ge, gs (gene and its strand), all null where no gene overlaps or is
+    given, and what the metrics count: nogene, right, wrong, fixed, rejected and f.
+
+    The distinct places (of the flag the strand) are annotated as if they were reads, and reads are told by place.
+    Grouping also deals this work evenly, in however few parts reads are read."""
+    strand = F.col("flag").bitwiseAND(REVERSE)
+    places = reads.groupBy(*PLACE[:-1], strand.alias("flag")).agg(F.count(F.lit(1)).alias("_n"))
+    # numbered once they are written, when a number stays with its place
+    places = settled(places.select(F.lit(0).alias("file_idx"), F.monotonically_increasing_id().alias("rec_idx"), *PLACE, "_n"), "places")
+    told = _annotated(places, genes, mode, broadcast)
+    names = [c for c in told.columns if c not in places.columns]
+    told = settled(told.select(*(F.col(c).alias(f"_{c}") for c in PLACE), *names, "_n"), "told")
+    met = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in PLACE[:-1]] + [strand.eqNullSafe(F.col("_flag"))]
+    keys = [f"_{c}" for c in PLACE]
+    if broadcast or broadcast is None and _bytes(told) <= BROADCAST_BYTES:
+        return reads.join(F.broadcast(told.drop("_n")), met).drop(*keys)
+    often = told.filter(F.col("_n") > OFTEN)
+    if not often.take(1):
+        return reads.join(told.drop("_n"), met).drop(*keys)
+    # places of very many reads are told before the shuffle, which then deals these reads by their ids
+    found = reads.join(F.broadcast(often.select(*keys, F.struct(*names).alias("_often"))), met, "left").drop(*keys)
+    found = found.withColumn("_deal", F.when(F.col("_often").isNotNull(), F.xxhash64(*READ_ID)))
+    rest = told.filter(F.col("_n") <= OFTEN).select(*keys, F.struct(*names).alias("_rest"), F.lit(None).cast("bigint").alias("_none"))
+    found = found.join(rest, [*met, F.col("_deal").eqNullSafe(F.col("_none"))], "left")
+    return found.select(*reads.columns, F.inline(F.array(F.coalesce("_often", "_rest"))))

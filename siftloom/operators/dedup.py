@@ -95,3 +95,20 @@ def by_corrected(reads: DataFrame, roots: DataFrame, keep: bool = False, scope:
         return out.filter("_one").drop("_one", "root_umi")
     change = F.when(F.col("_one"), F.col("flag")).otherwise(with_flag(F.col("flag"), DUPLICATE))
     return out.withColumns({"status": F.when(F.col("_one"), F.col("status")).otherwise("collapsed"), "flag": change}).drop("_one", "root_umi")
+
+
+def by_both(reads: DataFrame, roots: DataFrame, keep: bool = False, scope: str = "contig") -> DataFrame:
+    """by_identifier and then by_corrected of its firsts, all reads in one table. Firsts meet their roots before
+    they are told to the reads, so reads are sent once."""
+    keys = [*(["contig"] if scope == "contig" else []), "cb", "ge", "ur"]
+    firsts = reads.groupBy(*keys).agg(F.min(F.struct(*READ_ID)).alias("_f"))
+    r = roots.select("contig", F.col("barcode").alias("cb"), F.col("gene").alias("ge"), F.col("umi").alias("ur"), "root_umi", "cluster_cnt")
+    # an identifier that is null meets no root, but has a first
+    told = firsts.join(r.select(*keys, "root_umi", "cluster_cnt"), keys, "left").select(*(F.col(f"_f.{c}").alias(f"_{c}") for c in READ_ID), "root_umi", "cluster_cnt")
+    found = reads.join(told, [F.col(c) == F.col(f"_{c}") for c in READ_ID], "left")
+    first, root = F.col(f"_{READ_ID[0]}").isNotNull(), F.coalesce(F.col("root_umi") == F.col("ur"), F.lit(False))
+    out = found.withColumns({"ub": F.when(first & ~root, F.col("root_umi")), "status": F.when(~first, "dup").when(root, "keep").otherwise("collapsed")})
+    out = out.drop(*(f"_{c}" for c in READ_ID), "root_umi")
+    if not keep:
+        return out.filter("status = 'keep'")
+    return out.withColumn("flag", F.when(F.col("status") == "keep", F.col("flag")).otherwise(with_flag(F.col("flag"), DUPLICATE)))

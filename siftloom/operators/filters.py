@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.reads import name_part, plain_name, with_flag
+from ..functions.reads import name_part, name_parts, plain_name, with_flag
 from ..schemas import EXCLUDED_CONTIGS, QC_FAIL
 
 
@@ -58,8 +58,9 @@ def with_names(reads: DataFrame, source: str = "qname") -> DataFrame:
     if source == "tags":
         tag = lambda t: F.try_element_at("tags", F.lit(t))
         return reads.withColumns({"cb": tag("CB"), "ur": tag("UR"), "uy": F.coalesce(tag("UY"), F.lit(""))}).filter("cb is not null and ur is not null")
-    q = F.col("qname")
-    return reads.withColumns({"cb": name_part(q, "CB"), "ur": name_part(q, "UR"), "uy": name_part(q, "UY"), "qname": plain_name(q)})
+    parts = F.col("_parts")  # a column, so that a name is split once
+    out = reads.withColumn("_parts", name_parts(F.col("qname")))
+    return out.withColumns({"cb": name_part(parts, "CB"), "ur": name_part(parts, "UR"), "uy": name_part(parts, "UY"), "qname": plain_name(F.col("qname"))}).drop("_parts")
 
 
 def check_names(reads: DataFrame, umi: bool) -> None:

@@ -81,9 +81,7 @@ def _by_identifier(base: DataFrame, named: DataFrame, with_gene: DataFrame, conf
     counted = named.select("contig", "cb", "ge", "ur").unionByName(base.filter("not passed").select("contig", "cb", F.lit(None).cast("string").alias("ge"), "ur"))
     roots = settled(dedup.correct_identifiers(dedup.identifier_counts(counted, config.scope), config.umi_min_num, config.umi_mismatch))
     first = base.select(F.length("ur").alias("n")).first()
-    firsts = dedup.by_identifier(with_gene, config.keep_duplicates, config.scope)
-    marked = dedup.by_corrected(firsts.filter("status = 'keep'"), roots, config.keep_duplicates, config.scope)
-    rows = marked.unionByName(firsts.filter("status = 'dup'"), allowMissingColumns=True) if config.keep_duplicates else marked
+    rows = dedup.by_both(with_gene, roots, config.keep_duplicates, config.scope)
     summaries = {"UMI METRICS": metrics.identifier_totals(roots), "UMI MISMATCH POSITIONS": metrics.mismatch_positions(roots, first["n"] if first and first["n"] else 0), "UMI MISMATCH TYPES": metrics.mismatch_types(roots)}
     kept = roots.filter("cluster_cnt > 0").select("barcode", "gene", "umi", F.col("cluster_cnt").alias("cnt"))
     curve = saturation.saturation(kept, coordinates=not config.matrix) if config.saturation else None

@@ -418,3 +418,48 @@ def test_genes_as_lists_are_as_genes_in_rows(spark, mode):
     short = assign.annotate(r.filter("cigar = '100M'"), g, mode)
     plan = short._jdf.queryExecution().executedPlan().toString()
     assert "Aggregate" not in plan.split("BroadcastExchange")[0] and "Exchange hashpartitioning(file_idx" not in plan
+
+
+def test_a_name_is_split_once(spark):
+    named = filters.with_names(spark.createDataFrame([read(1)], READS))
+    assert named._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
+@pytest.mark.parametrize("mode", [0, 1, 2])
+@pytest.mark.parametrize("way", ["broadcast", "shuffled", "often"])
+def test_places_are_annotated_once(spark, monkeypatch, mode, way):
+    """Reads of one place and strand are told what one of them is, whatever else they hold; genes are looked at
+    by place only."""
+    rng = random.Random(mode)
+    genes = [gene(k, s, s + 900, [(s, s + 200), (s + 500, s + 900)], neg=k % 2 == 0) for k in range(20) for s in [rng.randrange(1, 9000)]]
+    places = [(rng.choice(["100M", "50M200N50M", "40M9000N60M", "*", None]), rng.randrange(0, 9000), rng.choice([0, 16]), rng.choice(["chr1", "chr1", "chr2", None])) for _ in range(30)]
+    reads = []
+    for k in range(300):
+        cig, pos, flag, contig = places[min(rng.randrange(40), 29)]
+        reads.append(read(k, cig=cig, pos=pos, flag=flag | rng.choice([0, 1, 1024]), contig=contig, mapq=rng.choice([3, 255])))
+    r, g = spark.createDataFrame(reads, READS), spark.createDataFrame(genes, GENES)
+    want = assign._annotated(r, g, mode, None)
+    if way != "broadcast":
+        monkeypatch.setattr(assign, "BROADCAST_BYTES", 0)
+    if way == "often":
+        monkeypatch.setattr(assign, "OFTEN", 20)
+    got = assign.annotate(r, g, mode)
+    assert got.columns == want.columns and "lambda" not in got._jdf.queryExecution().optimizedPlan().toString()
+    by_id = lambda df: sorted((tuple(str(v) for v in x) for x in df.collect()), key=lambda x: int(x[1]))
+    assert by_id(got) == by_id(want)
+
+
+@pytest.mark.parametrize("keep", [True, False])
+@pytest.mark.parametrize("scope", ["contig", "whole"])
+def test_firsts_meet_their_roots_in_one_pass(spark, keep, scope):
+    rng = random.Random(4)
+    rows = [(0, k, rng.choice([0, 16]), rng.choice(["c1", "c2"]), f"b{rng.randrange(2)}", f"g{rng.randrange(2)}", "".join(rng.choice("ACGT") for _ in range(3))) for k in range(400)]
+    reads = spark.createDataFrame(rows, "file_idx int, rec_idx long, flag int, contig string, cb string, ge string, ur string")
+    roots = dedup.correct_identifiers(dedup.identifier_counts(reads, scope), 5, 1)
+    firsts = dedup.by_identifier(reads, keep, scope)
+    want = dedup.by_corrected(firsts.filter("status = 'keep'"), roots, keep, scope)
+    if keep:
+        want = want.unionByName(firsts.filter("status = 'dup'"), allowMissingColumns=True)
+    got = dedup.by_both(reads, roots, keep, scope)
+    told = lambda df: {tuple(x) for x in df.select("rec_idx", "status", "flag", "ub", "cluster_cnt").collect()}
+    assert told(got) == told(want) and got.count() == want.count() and set(got.columns) == set(want.columns)
