@@ -8,7 +8,7 @@ import ctypes
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -73,19 +73,38 @@ def tables_so_far() -> int:
     return len(_TABLES)
 
 
-def drop_tables(since: int, but: str | None = None) -> None:
+def newest_table() -> str:
+    return _TABLES[-1]
+
+
+def drop_tables(since: int, but: str | Collection[str] = ()) -> None:
     """Delete the tables written since then (a number from tables_so_far), for a caller that has
-    written out what was made of them; but: one to keep."""
+    written out what was made of them; but: those to keep."""
+    kept = {but} if isinstance(but, str) else {*but}
     for folder in _TABLES[since:]:
-        if folder != but:
+        if folder not in kept:
             _DELETE[0](folder)
-    _TABLES[since:] = [folder for folder in _TABLES[since:] if folder == but]
+    _TABLES[since:] = [folder for folder in _TABLES[since:] if folder in kept]
+
+
+@contextlib.contextmanager
+def shuffles_end(spark: SparkSession) -> Iterator[None]:
+    """Within this, what a query has shuffled is deleted as soon as the query ends, and not when the
+    driver next collects its garbage, before which the shuffles of several queries add up."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Write df as a table to the shared folder and go on from that, without its history."""
     folder = new_folder(df.sparkSession)
-    df.write.parquet(folder)
+    with shuffles_end(df.sparkSession):
+        df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

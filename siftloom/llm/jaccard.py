@@ -8,9 +8,10 @@ overlap that a link needs are passed over, the rest is verified on the sets.
 
 To spread this over tasks, documents are first divided so that no link is lost: sets that differ in
 d elements at most, dealt into more than d groups, agree on all groups but d, so each document sends a
-hash of each group's content, and those that share enough of them are kept together. Most documents share none,
-which as many of their hashes tell as a link may spoil, and one more; so these alone are sent at first, short and
-beside a number instead of the document's key, and all hashes only of documents that share one. What hangs together that way
+hash of each group's content, and those that share enough of them are kept together. Of a document's hashes, as many
+as a link may spoil and a few more are sent, cut short and beside a hash of the document's set; it must share as many as
+are sent more. They are sent in slices, one after the other, so that disk holds the shuffle of one of them; what is wide
+(all hashes, texts) is never shuffled to find out which of it is wanted. What hangs together that way
 is compared by the R-tree, large parts by blocks: first each block by itself with a few documents that
 all have, then what is not connected with the most, in blocks of its own, against all blocks, each pair of
 blocks by itself. Copies are collapsed before
@@ -19,17 +20,17 @@ all that, and links within what is already connected are not looked for, as only
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from fractions import Fraction
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_slices, cut, give_back, in_arrow, maybe_broadcast, words_of
+from .common import BROADCAST_ROWS, byte_slices, cut, drop_tables, give_back, in_arrow, maybe_broadcast, newest_table, tables_so_far, words_of
 from .components import components
 
 #: Groups that count vectors have.
@@ -43,8 +44,12 @@ BLOCK, PIVOTS = 96, 4
 HOT = 128
 #: How often documents that share too few keys are left out.
 LOOKS = 2
-#: Bits of a key that are sent at first, and bits of a document's number that tell its size class.
-SHORT, CLASS_BITS = 40, 7
+#: Bits of a key that are sent, and bits of a document's number that tell its size class.
+SHORT, CLASS_BITS = 48, 7
+#: Keys that are sent beyond those of which a link leaves one, and slices in which keys are sent.
+MORE, SLICES = 32, 4
+#: Documents of which a task tells copies, so as to send the keys of one.
+SEEN = 100_000
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -199,34 +204,43 @@ def _of_several(keys: DataFrame) -> DataFrame:
     return keys.join(seen, "k")
 
 
-def _of_several_at_first(keys: DataFrame) -> DataFrame:
-    """_of_several(keys) of a table in which most keys are of one document, with each key sent once.
+def _shared_keys(keys: DataFrame) -> DataFrame:
+    """_of_several(keys), each once, of a table in which most keys are of one document, with each key sent once.
 
     Keys that very many share, as those of a sixteenth of the documents tell, are combined; the
-    others meet by a window. Which way a key goes does not bear on the result.
+    others meet by a window. Which way a key goes does not bear on the result. A slice of keys is
+    done and its shuffle gone before the next one begins.
     """
     some = keys.filter(F.pmod(F.xxhash64("_key", F.lit(3)), F.lit(16)) == 0)
     hot = cut(some.groupBy("k").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= HOT).select("k"))
-    by_key, n_hot = Window.partitionBy("k"), hot.count()
-    cold = keys.join(maybe_broadcast(hot, n_hot), "k", "left_anti") if n_hot else keys
-    cold = cold.select("*", F.min("_key").over(by_key).alias("_low"), F.max("_key").over(by_key).alias("_high")).filter("_low < _high").drop("_high")
-    if not n_hot:
-        return cold
-    return cold.unionByName(_of_several(keys.join(maybe_broadcast(hot, n_hot), "k", "left_semi")).select(*cold.columns))
+    by_key, n_hot, found = Window.partitionBy("k"), hot.count(), []
+    for k in range(SLICES):
+        own = keys.filter(F.pmod("k", F.lit(SLICES)) == k)
+        cold = own.join(maybe_broadcast(hot, n_hot), "k", "left_anti") if n_hot else own
+        cold = cold.select("_key", "k", F.min("_key").over(by_key).alias("_low"), F.max("_key").over(by_key).alias("_high")).filter("_low < _high").drop("_high")
+        if n_hot:
+            cold = cold.unionByName(_of_several(own.join(maybe_broadcast(hot, n_hot), "k", "left_semi").distinct()))
+        found.append(cut(cold.distinct()))
+    return reduce(DataFrame.unionByName, found)
 
 
-def first_keys(single: DataFrame) -> DataFrame:
-    """_key (a document's _id and size class) and k (a key, cut short) of the keys by which documents meet at first.
+def first_keys(single: DataFrame, more: int = 0) -> DataFrame:
+    """_key (a document's _id and size class) and k (a key, cut short) of the keys by which documents meet.
 
     A document that differs from a linked one in so many groups at most has with any that many and one of its
     groups one that the two agree on; the first group that they agree on is therefore within that many and one
-    of each. Keys are in the order of groups, so the first ones are enough: all but one less than are shared.
+    of each, and the next ones within as many more. Keys are in the order of groups, so the first ones are enough:
+    all but those that must be shared, one and more.
     """
-    of = F.transform("_keys", lambda x, c: F.struct(F.shiftleft("_id", CLASS_BITS).bitwiseOR(c.cast("long")).alias("at"), F.slice(x["keys"], F.lit(1), F.size(x["keys"]) - x["need"] + 1).alias("keys")))
+    of = F.transform("_keys", lambda x, c: F.struct(_class_of(F.col("_id"), c).alias("at"), F.slice(x["keys"], F.lit(1), F.size(x["keys"]) - x["need"] + 1 + more).alias("keys")))
     each = single.select(F.explode(of).alias("_of")).select(F.col("_of.at").alias("_key"), F.explode("_of.keys").alias("k"))
     return each.withColumn("k", F.shiftrightunsigned("k", 64 - SHORT))
 
 
+def _class_of(number: Column, c: Column) -> Column:
+    return F.shiftleft(number, CLASS_BITS).bitwiseOR(c.cast("long"))
+
+
 def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fraction(90, 100), text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, n_shingles and component_id, the smallest key reachable by links, of every row of docs.
 
@@ -239,43 +253,50 @@ def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fracti
     kinds = pa.list_(pa.struct([("need", pa.int32()), ("keys", pa.list_(pa.int64()))]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        number = TaskContext.get().partitionId() << 33
+        seen = set()
         for batch in batches:
             for start, rows in byte_slices(batch.column(1)):
                 sets = shingle_sets(batch.column(1).slice(start, rows), width)
+                ids = batch.column(0).slice(start, rows)
                 one = np.array([_mix(s).sum(dtype=np.uint64) for s in sets]).view(np.int64)
                 two = np.array([np.bitwise_xor.reduce(_mix(s + _K2)) if len(s) else 0 for s in sets], dtype=np.uint64).view(np.int64)
-                keys = [[{"need": need, "keys": found.view(np.int64)} for found, need in class_keys(s, t)] if len(s) else [] for s in sets]
-                cols = [batch.column(0).slice(start, rows), pa.array([len(s) for s in sets], pa.int64()), pa.array(one), pa.array(two), pa.array(np.arange(number, number + rows)), pa.array(keys, kinds)]
-                yield pa.RecordBatch.from_arrays(cols, names=["_key", "n_shingles", "_d1", "_d2", "_id", "_keys"])
-                number += rows
+                keys = []
+                for s, same, there in zip(sets, zip(one.tolist(), two.tolist(), strict=True), ids.is_valid().to_pylist(), strict=True):
+                    sent = len(s) and there and same not in seen
+                    keys.append([{"need": need, "keys": found.view(np.int64)} for found, need in class_keys(s, t)] if sent else [])
+                    if sent and len(seen) < SEEN:
+                        seen.add(same)
+                cols = [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(one), pa.array(two), pa.array(keys, kinds)]
+                yield pa.RecordBatch.from_arrays(cols, names=["_key", "n_shingles", "_d1", "_d2", "_keys"])
         give_back()
 
+    since, same = tables_so_far(), ["_d1", "_d2", "n_shingles"]
+    number = F.shiftright(F.shiftleft(F.xxhash64(*same), CLASS_BITS), CLASS_BITS)
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    base = cut(in_arrow(rows, scan, f"_key {kind}, n_shingles bigint, _d1 bigint, _d2 bigint, _id bigint, _keys array<struct<need: int, keys: array<bigint>>>"))
-
-    same = ["_d1", "_d2", "n_shingles"]
+    wide = cut(in_arrow(rows, scan, f"_key {kind}, n_shingles bigint, _d1 bigint, _d2 bigint, _keys array<struct<need: int, keys: array<bigint>>>"))
+    base, kept = cut(wide.drop("_keys")), [newest_table()]
     firsts = cut(base.filter("n_shingles > 0 and _key is not null").groupBy(*same).agg(F.min("_key").alias("_first")))
-    single = base.join(maybe_broadcast(firsts.withColumnRenamed("_first", "_key"), firsts.count()), ["_key", *same], "left_semi")
-    # what shares a key with another document; a document that shares fewer than its links would
-    # share has none, and those left are looked at again without it
-    by_class = ["_key", "_c"]
-    met = _of_several_at_first(first_keys(single)).select(F.shiftright("_key", CLASS_BITS).alias("_id"), F.col("_key").bitwiseAND((1 << CLASS_BITS) - 1).cast("int").alias("_in"))
-    met = cut(met.groupBy("_id").agg(F.collect_set("_in").alias("_in")))
-    keys = base.join(maybe_broadcast(met, met.count()), "_id").select("_key", "_in", F.posexplode("_keys").alias("_c", "_of")).filter(F.array_contains("_in", F.col("_c"))).select("_key", "_c", "_of.need", F.explode("_of.keys").alias("k"))
-    live = cut(_of_several_at_first(keys))
+    kept.append(newest_table())
+
+    # what shares keys with other documents; one that shares fewer than its links would share has
+    # none, and those left are looked at again without it
+    numbered = wide.select(number.alias("_id"), "_keys")
+    needs = numbered.select("_id", F.posexplode("_keys.need").alias("_c", "_need")).select(_class_of(F.col("_id"), F.col("_c")).alias("_key"), F.least("_need", F.lit(1 + MORE)).alias("need")).distinct()
+    live = cut(_shared_keys(first_keys(numbered, MORE)).join(needs, "_key"))
     for _ in range(LOOKS):
-        enough = live.groupBy(*by_class).agg(F.count(F.lit(1)).alias("_n"), F.min("need").alias("_least")).filter("_n >= _least").select(*by_class)
-        live = cut(_of_several(live.drop("_low").join(enough, by_class, "left_semi")))
-    shared = live.filter("_key <> _low").select(F.col("_key").alias("a"), F.col("_low").alias("b")).distinct()
+        enough = live.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min("need").alias("_least")).filter("_n >= _least").select("_key")
+        live = cut(_of_several(live.drop("_low").join(enough, "_key", "left_semi")))
+    plain = lambda c: F.shiftright(c, CLASS_BITS)
+    shared = live.select(plain("_key").alias("a"), plain("_low").alias("b")).filter("a <> b").distinct()
     parts = cut(components(shared))
+    kept.append(newest_table())
+    drop_tables(since, but=kept)
 
     sizes = parts.groupBy("component").agg(F.count(F.lit(1)).alias("_m"))
     blocks = F.ceil(F.col("_m") / BLOCK).cast("int")
     pivot = (F.col("node") == F.col("component")) | (F.pmod(F.xxhash64("node", F.lit(1)), F.col("_m")) < PIVOTS)
-    members = cut(parts.join(sizes, "component").select(F.col("node").alias("_key"), "component", blocks.alias("_blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("_block"), pivot.alias("_pivot")))
+    named = parts.join(sizes, "component").join(firsts.select(number.alias("node"), F.col("_first").alias("_key")), "node")
+    members = cut(named.select("_key", "component", blocks.alias("_blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("_block"), pivot.alias("_pivot")))
 
     def compared(dealt: DataFrame) -> DataFrame:
         """Links within each (component, _of, _group) of _key, _label (an id, or null), _own, _asks,
@@ -310,13 +331,22 @@ def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fracti
         dealt = dealt.repartition(*by_group).sortWithinPartitions(*by_group, "_key")
         return in_arrow(dealt, work, f"a {kind}, b {kind}")
 
+    def by_parts(wanted: DataFrame, n: int, deal: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Links of compared(deal(wanted, n of them, with their texts)), so many parts at a time that wanted
+        ones are few enough to be broadcast, and only their texts are sent."""
+        times = -(-4 * n // (3 * BROADCAST_ROWS)) or 1
+        found = []
+        for k in range(times):
+            some = wanted.filter(F.pmod(F.xxhash64("component"), F.lit(times)) == k) if times > 1 else wanted
+            found.append(cut(compared(deal(rows.join(maybe_broadcast(some, some.count() if times > 1 else n), "_key")))))
+        return reduce(DataFrame.unionByName, found)
+
     # first each block by itself, with a few documents of its part that all its blocks have
     everywhere = F.sequence(F.lit(0), F.col("_blocks") - 1)
-    texts = rows.join(maybe_broadcast(members, members.count()), "_key")
     group = F.explode(F.when(F.col("_pivot"), everywhere).otherwise(F.array("_block"))).alias("_group")
     true = F.lit(True)
-    first = texts.select("_key", "component", group, F.lit(0).alias("_of"), F.lit(None).cast(kind).alias("_label"), true.alias("_own"), true.alias("_asks"), true.alias("_asking"), "_text")
-    found = cut(components(compared(first)))
+    first = by_parts(members, members.count(), lambda texts: texts.select("_key", "component", group, F.lit(0).alias("_of"), F.lit(None).cast(kind).alias("_label"), true.alias("_own"), true.alias("_asks"), true.alias("_asking"), "_text"))
+    found = cut(components(first))
 
     # of parts that this leaves in several pieces, what is not of the largest meets all blocks
     named = members.filter("_blocks > 1").join(found.withColumnRenamed("component", "_label"), F.col("_key") == F.col("node"), "left")
@@ -331,8 +361,8 @@ def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fracti
         owned = F.transform(F.sequence(F.lit(0), F.col("_askers") - 1), lambda k: F.struct(k.alias("_of"), F.col("_block").alias("_group"), true.alias("_own"), (F.col("_asking") & (k == F.col("_asker"))).alias("_asks")))
         asked = F.when(F.col("_asking"), F.transform(F.filter(everywhere, lambda k: k != F.col("_block")), lambda k: F.struct(F.col("_asker").alias("_of"), k.alias("_group"), F.lit(False).alias("_own"), true.alias("_asks"))))
         dealt = F.explode(F.concat(owned, F.coalesce(asked, F.array().cast("array<struct<_of: int, _group: int, _own: boolean, _asks: boolean>>")))).alias("_at")
-        second = rows.join(maybe_broadcast(left, n_left), "_key").select("_key", "component", dealt, "_label", "_asking", "_text")
-        links = links.unionByName(compared(second.select("_key", "component", "_at.*", "_label", "_asking", "_text")))
+        second = by_parts(left, n_left, lambda texts: texts.select("_key", "component", dealt, "_label", "_asking", "_text").select("_key", "component", "_at.*", "_label", "_asking", "_text"))
+        links = links.unionByName(second)
     several = base.filter("n_shingles > 0 and _key is not null").select("_key", *same).distinct().groupBy("_key").count().filter("count > 1").select("_key")
     if several.take(1):  # rows of one document are linked through it
         links = links.unionByName(base.join(several, "_key", "left_semi").join(firsts, same).select(F.col("_key").alias("a"), F.col("_first").alias("b")))
@@ -340,5 +370,5 @@ def similar_groups(docs: DataFrame, width: int = 3, threshold: Fraction = Fracti
     if n_left:
         found = components(links)
     named = firsts.join(found, F.col("_first") == F.col("node"), "left").select(*same, F.coalesce("component", "_first").alias("_component"))
-    out = base.drop("_id", "_keys").join(named, same, "left")
+    out = base.join(named, same, "left")
     return out.select(F.col("_key").alias(key), "n_shingles", F.when(F.col("_key").isNull(), F.lit(None)).otherwise(F.coalesce("_component", "_key")).cast(kind).alias("component_id"))

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -12,6 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from siftloom.llm import chat, exactdedup, jaccard, langid, linededup, lm, mixing, quality
+from siftloom.llm.common import cut, maybe_broadcast
 from siftloom.llm.components import components
 
 
@@ -509,3 +511,35 @@ def test_keys_sent_at_first_lose_no_link(spark):
         held.setdefault(r["_key"] >> jaccard.CLASS_BITS, set()).add(r["k"])
     assert all(held[a] & held[b] for a, b in linked)
     assert len(sent) < 0.9 * sum(len(keys) for _, found in rows for _, keys in found) and max(r["k"] for r in sent) < 2**jaccard.SHORT
+
+
+def test_a_written_table_leaves_no_shuffle(spark):
+    """What a table between steps took to make does not stay on disk beside it."""
+    held = lambda: sum("shuffle_" in f for f in str(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")).split("\n"))
+    name, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", held()
+    was = spark.conf.get(name, None)
+    made = cut(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    began = time.time()
+    while held() > before and time.time() - began < 10:
+        time.sleep(0.2)
+    assert held() <= before and spark.conf.get(name, None) == was
+    assert len(made.collect()) == 7
+
+
+def test_many_similar_documents_are_sent_by_parts(spark, docs, monkeypatch):
+    """Documents beyond what may be broadcast are looked up part by part, so that texts are not shuffled to be looked up."""
+    joined = []
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 40)
+    monkeypatch.setattr(jaccard, "maybe_broadcast", lambda df, n: joined.append((set(df.columns), n)) or maybe_broadcast(df, n))
+    rng = random.Random(5)
+    base = [[rng.choice("abcdefgh") + str(rng.randrange(99)) for _ in range(40)] for _ in range(30)]
+    rows = []
+    for k in range(150):
+        w = [*base[k % 30]]
+        for i in rng.sample(range(40), rng.choice([0, 1, 2])):
+            w[i] = "x" + str(k)
+        rows.append((k, " ".join(w)))
+    got = jaccard.similar_groups(docs(rows), 3, Fraction(8, 10)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == _brute_groups(rows, 3, Fraction(8, 10))
+    with_texts = [n for c, n in joined if "component" in c]
+    assert len(with_texts) > 2 and max(with_texts) <= 60 and not any("_keys" in c or "_d1" in c for c, _ in joined)
