@@ -209,3 +209,14 @@ def test_nearest_makes_no_pairs_of_dense_genes(spark, monkeypatch, turned):
     got = overlap.nearest_join(r, g, 2000, ["id"]).collect()
     assert {x.id: (x.distance, x.g_start, x.gene_ord) for x in got} == best and len(got) == len(best)
     assert all(start[x.gene_ord] == x.g_start for x in got)
+
+
+def test_near_genes_meet_each_place_once(spark):
+    """Reads of a place follow each other with the same genes, repeated rows and rows without a place as in near_join."""
+    reads = spark.createDataFrame([(k, None if k == 7 else f"chr{k % 2}", None if k == 8 else k % 5 * 900, k % 5 * 900 + 40 + k % 3) for k in [*range(300), 5]], "rec_idx long, contig string, begin int, stop int")
+    genes = spark.createDataFrame([(k, f"chr{k % 3}", k * 35, k * 35 + 20) for k in range(120)], "gene_ord long, contig string, g_start int, g_end int")
+    wanted = ["rec_idx", "gene_ord", "distance"]
+    got = overlap.near_by_place(reads, genes, 300).select(*wanted, "contig", "begin", "stop").coalesce(1).collect()
+    assert sorted(tuple(r[c] for c in wanted) for r in got) == sorted(map(tuple, overlap.near_join(reads, genes, 300).select(*wanted).collect()))
+    places = [tuple(r[3:]) for r in got]
+    assert sum(a != b for a, b in zip(places, places[1:])) + 1 == len(set(places)) > 10
